@@ -35,6 +35,11 @@ def share(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole)
 
 
+def count_where(condition: Column) -> Column:
+    """Aggregate: rows where the condition holds."""
+    return F.count(F.when(condition, 1))
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it is false or unknown."""
     return F.when(condition, 1).otherwise(0)

@@ -1,22 +1,27 @@
 """Per-user feature blocks.
 
-A block is a set of aggregate expressions plus the feature columns computed from
-them. Blocks are only described here; ``user_table`` evaluates any number of them
-in ONE ``groupBy``: one scan, one shuffle of one row per user and task, and no
-joins between blocks. A period is a condition inside the aggregates, so features
-of the whole log and of each user's last week come out of the same scan.
+A block describes aggregates and the feature columns computed from them;
+``user_table`` evaluates any number of blocks together. A period is a condition
+inside the aggregates, so features of the whole log and of each user's last week
+come out of the same scan.
+
+A block with one column per page or hour aggregates twice: events per (user,
+value), which keeps the rows narrow while they are many, then the few rows of a
+user into one wide row. Aggregating straight into the wide row would shuffle all
+its columns, nearly all of them 0, for every task that sees the user.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.constants import BASE_LEVEL, CANCEL_PAGES, HOURS
-from churnlens.functions.scalars import hour_of_day, name_parts, seconds_between, share
+from churnlens.functions.scalars import count_where, hour_of_day, name_parts, seconds_between, share
+from churnlens.operators.assemble import join_tables
 from churnlens.operators.slices import is_recent
 
 HOUR = "hour"
@@ -30,15 +35,15 @@ class Period:
     name: str
     flag: str | None = None
 
-    def only(self, condition: Column) -> Column:
-        return condition if self.flag is None else F.col(self.flag) & condition
+    def count(self, condition: Column | None = None) -> Column:
+        """Aggregate: events of the period (that fulfil the condition)."""
+        if self.flag is not None:
+            condition = F.col(self.flag) if condition is None else F.col(self.flag) & condition
+        return F.count(F.lit(1)) if condition is None else count_where(condition)
 
-    def rows(self) -> Column:
-        return F.lit(True) if self.flag is None else F.col(self.flag)
-
-    def value(self, column: str | Column) -> Column:
-        value = F.col(column) if isinstance(column, str) else column
-        return value if self.flag is None else F.when(F.col(self.flag), value)
+    def value(self, column: str) -> Column:
+        """The column, NULL outside the period."""
+        return F.col(column) if self.flag is None else F.when(F.col(self.flag), F.col(column))
 
 
 ALL = Period("all")
@@ -47,12 +52,19 @@ LAST_WEEK = Period("lw", RECENT)
 
 @dataclass(frozen=True)
 class Block:
-    """``aggregates`` run in the ``groupBy``, ``features`` are computed from them,
-    and a user is part of the block when the aggregate ``present`` is above 0."""
+    """Features of a user.
+
+    Without a ``dimension``, ``aggregates`` run over the events of a user. With
+    one, ``measures`` run over the events per (user, dimension value) and
+    ``aggregates`` over those results. ``features`` are computed from the
+    aggregates. A user is part of the block when aggregate ``present`` is above 0.
+    """
 
     aggregates: dict[str, Column]
     features: dict[str, Column]
     present: str | None = None
+    dimension: str | None = None
+    measures: dict[str, Column] = field(default_factory=dict)
 
 
 def eligible_page(excluded: Sequence[str] = CANCEL_PAGES) -> Column:
@@ -60,55 +72,46 @@ def eligible_page(excluded: Sequence[str] = CANCEL_PAGES) -> Column:
     return F.col("page").isNotNull() & ~F.col("page").isin(*excluded)
 
 
-def _page_aggregates(pages: Sequence[str], period: Period, excluded: Sequence[str]) -> tuple[dict[str, Column], str]:
-    total = f"__pages_{period.name}"
-    aggregates = {total: F.count_if(period.only(eligible_page(excluded)))}
+def _pages(pages: Sequence[str], period: Period, excluded: Sequence[str], prefix: str, feature) -> Block:
+    visits, total = f"__visits_{period.name}", f"__pages_{period.name}"
+    aggregates = {total: F.sum(F.when(eligible_page(excluded), F.col(visits)).otherwise(0))}
+    features = {}
     for page, part in name_parts(pages).items():
-        aggregates[f"__page_{period.name}_{part}"] = F.count_if(period.only(F.col("page") == page))
-    return aggregates, total
+        count = f"__page_{period.name}_{part}"
+        aggregates[count] = F.max(F.when(F.col("page") == page, F.col(visits)))
+        features[f"{prefix}_{period.name}_{part}"] = feature(F.coalesce(count, F.lit(0)), F.col(total))
+    return Block(aggregates, features, total, "page", {visits: period.count()})
 
 
 def page_share(pages: Sequence[str], period: Period = ALL, excluded: Sequence[str] = CANCEL_PAGES) -> Block:
     """Part of a user's page visits that went to each page."""
-    aggregates, total = _page_aggregates(pages, period, excluded)
-    features = {
-        f"page_pct_{period.name}_{part}": F.coalesce(
-            share(F.col(f"__page_{period.name}_{part}"), F.col(total)), F.lit(0.0)
-        )
-        for part in name_parts(pages).values()
-    }
-    return Block(aggregates, features, total)
+    part = lambda count, total: F.coalesce(share(count, total), F.lit(0.0))
+    return _pages(pages, period, excluded, "page_pct", part)
 
 
 def page_counts(pages: Sequence[str], period: Period = ALL, excluded: Sequence[str] = CANCEL_PAGES) -> Block:
     """A user's visits to each page."""
-    aggregates, total = _page_aggregates(pages, period, excluded)
-    features = {
-        f"page_count_{period.name}_{part}": F.col(f"__page_{period.name}_{part}")
-        for part in name_parts(pages).values()
-    }
-    return Block(aggregates, features, total)
+    return _pages(pages, period, excluded, "page_count", lambda count, total: count)
 
 
 def level_share(levels: Sequence[str], period: Period = ALL, dropped: str = BASE_LEVEL) -> Block:
     """Part of a user's events on each plan, without the plan the others imply."""
     total = f"__levels_{period.name}"
-    aggregates = {total: F.count_if(period.only(F.col("level").isNotNull()))}
+    aggregates = {total: period.count(F.col("level").isNotNull())}
     features = {}
     for level, part in name_parts(v for v in levels if v != dropped).items():
         count = f"__level_{period.name}_{part}"
-        aggregates[count] = F.count_if(period.only(F.col("level") == level))
+        aggregates[count] = period.count(F.col("level") == level)
         features[f"level_pct_{period.name}_{part}"] = F.coalesce(share(F.col(count), F.col(total)), F.lit(0.0))
     return Block(aggregates, features, total)
 
 
 def length_stats(period: Period = ALL) -> Block:
     """Mean and sample deviation of song length; 0 when there is none, or only one."""
-    name = f"song_length_{period.name}"
-    seen = f"__events_{period.name}"
+    name, seen = f"song_length_{period.name}", f"__events_{period.name}"
     length = period.value("length")
     aggregates = {
-        seen: F.count_if(period.rows()),
+        seen: period.count(),
         f"__{name}_mean": F.avg(length),
         f"__{name}_std": F.stddev_samp(length),
     }
@@ -116,28 +119,27 @@ def length_stats(period: Period = ALL) -> Block:
     return Block(aggregates, features, seen)
 
 
-def hourly_counts(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
-    """A user's events (of every kind, not only songs) in each hour of the day."""
-    seen = f"__events_{period.name}"
-    aggregates = {seen: F.count_if(period.rows())}
+def _hours(period: Period, hours: Sequence[int], name: str, measure: str, how: Column, missing: Column) -> Block:
+    events, seen = f"__hour_events_{period.name}", f"__hours_{period.name}"
+    aggregates = {seen: F.sum(events)}
     features = {}
     for hour in hours:
-        name = f"hourly_event_counts_{period.name}_{hour}"
-        aggregates[f"__{name}"] = F.count_if(period.only(F.col(HOUR) == hour))
-        features[name] = F.col(f"__{name}")
-    return Block(aggregates, features, seen)
+        column = f"{name}_{period.name}_{hour}"
+        aggregates[f"__{column}"] = F.max(F.when(F.col(HOUR) == hour, F.col(measure)))
+        features[column] = F.coalesce(f"__{column}", missing)
+    return Block(aggregates, features, seen, HOUR, {events: period.count(), measure: how})
+
+
+def hourly_counts(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
+    """A user's events (of every kind, not only songs) in each hour of the day."""
+    events = f"__hour_events_{period.name}"
+    return _hours(period, hours, "hourly_event_counts", events, period.count(), F.lit(0))
 
 
 def hourly_mean_length(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
     """Mean song length in each hour of the day, 0 where nothing was played."""
-    seen = f"__events_{period.name}"
-    aggregates = {seen: F.count_if(period.rows())}
-    features = {}
-    for hour in hours:
-        name = f"hourly_mean_song_length_{period.name}_{hour}"
-        aggregates[f"__{name}"] = F.avg(F.when(period.only(F.col(HOUR) == hour), F.col("length")))
-        features[name] = F.coalesce(f"__{name}", F.lit(0.0))
-    return Block(aggregates, features, seen)
+    mean = f"__hour_length_{period.name}"
+    return _hours(period, hours, "hourly_mean_song_length", mean, F.avg(period.value("length")), F.lit(0.0))
 
 
 def age_features() -> Block:
@@ -167,7 +169,7 @@ def user_table(
     extra: dict[str, Column] | None = None,
     presence: dict[str, Iterable[Block]] | None = None,
 ) -> DataFrame:
-    """Evaluate blocks for every user in one aggregation.
+    """Evaluate blocks for every user, one aggregation per dimension.
 
     ``inner`` keeps only users that are part of every block (as a join of the
     blocks would); ``left`` keeps all users, with 0 for what is missing. ``extra``
@@ -177,21 +179,39 @@ def user_table(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    blocks = list(blocks)
-    aggregates = dict(extra or {})
-    for block in blocks:
-        aggregates.update(block.aggregates)
-    features = {name: column for block in blocks for name, column in block.features.items()}
-
+    blocks, extra = list(blocks), dict(extra or {})
     inputs = events.withColumn(HOUR, hour_of_day(F.col("ts")))
     if "last_ts" in events.columns:
         inputs = inputs.withColumn(RECENT, is_recent())
-    table = inputs.groupBy(key).agg(*[column.alias(name) for name, column in aggregates.items()])
+
+    by_dimension: dict[str | None, list[Block]] = {None: []} if extra else {}
+    for block in blocks:
+        by_dimension.setdefault(block.dimension, []).append(block)
+    parts = []
+    for dimension, members in by_dimension.items():
+        aggregates = dict(extra) if dimension is None else {}
+        for block in members:
+            aggregates.update(block.aggregates)
+        rows = inputs
+        if dimension is not None:
+            measures = {name: column for block in members for name, column in block.measures.items()}
+            rows = inputs.groupBy(key, dimension).agg(*_aliased(measures))
+            # A user has one row per value by now, so they can be put together:
+            # the wide row is then built where its parts are, and never shuffled.
+            rows = rows.repartition(F.col(key))
+        parts.append(rows.groupBy(key).agg(*_aliased(aggregates)))
+    # Every part has all users, partitioned by user.
+    table = join_tables(parts, key)
+
     if how == "inner":
         table = table.where(_in_all(blocks))
-    marks = [_in_all(list(group)).alias(name) for name, group in (presence or {}).items()]
-    outputs = [column.alias(name) for name, column in features.items()]
-    return table.select(key, *(extra or {}), *outputs, *marks)
+    features = {name: column for block in blocks for name, column in block.features.items()}
+    marks = {name: _in_all(list(group)) for name, group in (presence or {}).items()}
+    return table.select(key, *extra, *_aliased(features), *_aliased(marks))
+
+
+def _aliased(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def _in_all(blocks: list[Block]) -> Column:

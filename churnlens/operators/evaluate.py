@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.constants import CLASSIFIER_PRIORITY, LABELS
+from churnlens.functions.scalars import count_where
 
 
 def _or_zero(part: Column, whole: Column) -> Column:
@@ -89,7 +90,7 @@ def confusion_matrix(predictions: DataFrame, labels: Sequence[int] = LABELS) ->
     cell = lambda a, b: f"n_{a}_{b}"
     counts = predictions.agg(
         *[
-            F.count_if((F.col("label") == a) & (F.col("prediction") == b)).alias(cell(a, b))
+            count_where((F.col("label") == a) & (F.col("prediction") == b)).alias(cell(a, b))
             for a in labels
             for b in labels
         ]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.constants import CHURN_PAGE
-from churnlens.functions.scalars import flag
+from churnlens.functions.scalars import count_where, flag
 
 
 def churned(page: str = CHURN_PAGE) -> Column:
@@ -20,7 +20,7 @@ def churn_label(events: DataFrame, key: str = "userId", page: str = CHURN_PAGE)
 
 def churn_rate(labels: DataFrame) -> DataFrame:
     """One row: users, churned users, and their ratio."""
-    positive = F.count_if(F.col("label") == 1)
+    positive = count_where(F.col("label") == 1)
     users = F.count(F.lit(1))
     return labels.agg(
         users.alias("users"), positive.alias("churned"), F.try_divide(positive, users).alias("churn_rate")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.constants import ALS_RANK, ALS_REG, SEED
-from churnlens.functions.scalars import share
+from churnlens.functions.scalars import count_where, share
 from churnlens.operators.lookup import BROADCAST_BYTES, lookup
 from churnlens.operators.slices import LAST_TS, is_recent
 from churnlens.session import ensure_checkpoint_dir
@@ -39,7 +39,7 @@ def period_ratings(events: DataFrame, user: str = "userId", item: str = "artist"
     heard = events.where(F.col("artist").isNotNull())
     plays = heard.groupBy(user, item).agg(
         F.count("song").alias("plays"),
-        F.count_if(F.col("song").isNotNull() & is_recent()).alias("recent_plays"),
+        count_where(F.col("song").isNotNull() & is_recent()).alias("recent_plays"),
     )
     mine = Window.partitionBy(user)
     recent = share(F.col("recent_plays"), F.max("recent_plays").over(mine))

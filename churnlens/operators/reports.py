@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.constants import HISTOGRAM_BINS, LABEL_NAMES, SECOND_MS, SONG_PAGE
-from churnlens.functions.scalars import flag
+from churnlens.functions.scalars import count_where, flag
 from churnlens.operators.labels import with_label
 
 
@@ -56,7 +56,7 @@ def activity_by_age_day(events: DataFrame, labels: DataFrame, key: str = "userId
     and label. An event without a page counts as another interaction."""
     song = F.col("page") == SONG_PAGE
     daily = events.groupBy(key, F.col("elapsed_days").alias("user_age_when_played")).agg(
-        F.count_if(song).alias("songs_played"),
+        count_where(song).alias("songs_played"),
         F.sum(F.lit(1) - flag(song)).alias("page_interactions"),
     )
     daily = with_label(daily, labels, key)
