@@ -15,6 +15,15 @@ def prefix_columns(table: DataFrame, prefix: str, key: str = "userId") -> DataFr
     return table.select(*[F.col(f"`{c}`").alias(c if c == key else f"{prefix}_{c}") for c in table.columns])
 
 
+def whole_key(table: DataFrame, key: str) -> DataFrame:
+    """The table with an id column as a whole number.
+
+    Ids are doubles in stored tables. As join keys, Spark would first normalise
+    doubles (NaN, -0.0) and so shuffle again what is partitioned already.
+    """
+    return table.withColumn(key, F.col(key).cast("long"))
+
+
 def join_tables(tables: Sequence[DataFrame], key: str = "userId", how: str = "inner") -> DataFrame:
     """Join per-user tables on the user.
 

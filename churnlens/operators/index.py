@@ -61,15 +61,17 @@ def attach_index(
     *,
     invalid: str = "error",
     broadcast_bytes: int = BROADCAST_BYTES,
+    measured: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add the id column ``output`` (and the index's extra columns) to ``rows``.
 
     A null or unknown value raises (``error``), drops the row (``skip``) or gets
-    the first unused id (``keep``).
+    the first unused id (``keep``). ``measured`` is what ``measure`` says about the
+    index, when the caller has asked already.
     """
     if invalid not in ("error", "skip", "keep"):
         raise ValueError(f"unknown way to treat invalid values: {invalid!r}")
-    values, size = measure(index)
+    values, size = measured or measure(index)
     found = lookup(
         rows,
         index,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from churnlens.constants import ALS_RANK, ALS_REG, SEED
 from churnlens.functions.scalars import count_where, share
+from churnlens.operators.assemble import whole_key
 from churnlens.operators.lookup import BROADCAST_BYTES, lookup
 from churnlens.operators.slices import LAST_TS, is_recent
 from churnlens.session import ensure_checkpoint_dir
@@ -114,8 +115,8 @@ def latent_features(
     user's items of rating times factor k. Neither matrix is ever local: ratings
     meet factors in a join, and the sums are combined before they are shuffled.
     """
-    by_item = factors.select(F.col("id").cast("double").alias(item), F.col("features"))
-    pairs = lookup(ratings, by_item, item, how="inner", broadcast_bytes=broadcast_bytes)
+    by_item = factors.select(F.col("id").cast("long").alias(item), F.col("features"))
+    pairs = lookup(whole_key(ratings, item), by_item, item, how="inner", broadcast_bytes=broadcast_bytes)
     products = _products(outputs, rank)
     return pairs.groupBy(user).agg(*products)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.constants import ALS_RANK, CANCEL_PAGES
-from churnlens.operators.assemble import assemble_features, join_tables
+from churnlens.operators.assemble import assemble_features, join_tables, whole_key
 from churnlens.operators.blocks import (
     ALL,
     LAST_WEEK,
@@ -53,6 +53,9 @@ def feature_columns(
     ``in_all`` and ``in_last_week`` say in which feature tables the user belongs:
     one that lacks a block in the period is in neither table of that period.
     """
+    doubled = dict(events.dtypes)[key] == "double"
+    if doubled:
+        events, latent = whole_key(events, key), whole_key(latent, key)
     whole = [*period_blocks(pages, levels, ALL), age_features()]
     recent = period_blocks(pages, levels, LAST_WEEK)
     table = user_table(
@@ -63,7 +66,8 @@ def feature_columns(
         extra={"label": churned()},
         presence={IN_ALL: whole, IN_LAST_WEEK: whole + recent},
     )
-    return join_tables([latent, table, session_features(events, key)], key)
+    joined = join_tables([latent, table, session_features(events, key)], key)
+    return joined.withColumn(key, F.col(key).cast("double")) if doubled else joined
 
 
 def whole_period(table: DataFrame) -> DataFrame:
@@ -80,8 +84,8 @@ def both_periods(table: DataFrame) -> DataFrame:
 def write_features(spark: SparkSession, out: Layout, *, rank: int = ALS_RANK) -> tuple[DataFrame, DataFrame]:
     """Write ``no_lw_features`` (whole log) and ``features`` (with last week).
 
-    Events are scanned three times: ratings, sessions, and all other blocks at
-    once. Ratings and the feature columns are read twice, so they are written.
+    Events are scanned for ratings, sessions, pages, hours, and everything else;
+    ratings and the feature columns are read twice, so they are written.
     """
     events = read_table(spark, out.events)
     key, item = "userIdIndex", "artistIndex"

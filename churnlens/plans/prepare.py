@@ -11,7 +11,7 @@ from churnlens.constants import DERIVED_COLUMNS, EVENT_COLUMNS
 from churnlens.operators.clean import after_registration, project_events, sort_events, valid_events, with_times
 from churnlens.operators.index import attach_index, frequency_index
 from churnlens.operators.labels import churn_label
-from churnlens.operators.lookup import BROADCAST_BYTES
+from churnlens.operators.lookup import BROADCAST_BYTES, measure
 from churnlens.operators.slices import LAST_TS, last_period
 from churnlens.sources.events import read_json_events, read_table, write_table
 
@@ -34,6 +34,7 @@ def index_events(
     user_index_path: str | None = None,
     artist_index_path: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    sort: bool = False,
 ) -> DataFrame:
     """Valid events with both indices, derived times and ``last_ts``, without the
     events from before registration.
@@ -41,6 +42,11 @@ def index_events(
     Ids are fitted before that filter, ``last_ts`` after it. The user's last time
     is aggregated along with the user ids, so one lookup attaches both. Artists
     come first: the user lookup then decides how the rows are laid out.
+
+    ``sort`` orders the result by user and time. Finding the range bounds reads
+    the input one more time, so that happens before the lookups if both indices are
+    broadcast and leave rows where they are; only the sort inside the partitions
+    comes after (Spark drops a sort below a join).
     """
     timed = with_times(valid)
     counted_ts = F.when(F.col("elapsed_days") >= 0, F.col("ts"))
@@ -48,9 +54,18 @@ def index_events(
         timed, "userId", "userIdIndex", extra={LAST_TS: F.max(counted_ts)}, path=user_index_path
     )
     artists = frequency_index(timed, "artist", "artistIndex", path=artist_index_path)
+    artists_size, users_size = measure(artists), measure(users)
+    stays = max(artists_size[1], users_size[1]) <= broadcast_bytes
+    limit = {"broadcast_bytes": broadcast_bytes}
     kept = after_registration(timed)
-    kept = attach_index(kept, artists, "artist", "artistIndex", invalid="keep", broadcast_bytes=broadcast_bytes)
-    kept = attach_index(kept, users, "userId", "userIdIndex", broadcast_bytes=broadcast_bytes)
+    if sort and stays:
+        kept = kept.repartitionByRange("userId", "ts")
+    kept = attach_index(
+        kept, artists, "artist", "artistIndex", invalid="keep", measured=artists_size, **limit
+    )
+    kept = attach_index(kept, users, "userId", "userIdIndex", measured=users_size, **limit)
+    if sort:
+        kept = kept.sortWithinPartitions("userId", "ts") if stays else sort_events(kept)
     return kept.select(*EVENT_COLUMNS, *DERIVED_COLUMNS, LAST_TS)
 
 
@@ -63,8 +78,10 @@ def prepare(spark: SparkSession, json_path: str, root: str, *, sort: bool = True
     """
     out = Layout(root)
     valid = write_table(valid_events(project_events(read_json_events(spark, json_path))), out.valid_events)
-    indexed = index_events(valid, user_index_path=out.user_index, artist_index_path=out.artist_index)
-    events = write_table(sort_events(indexed) if sort else indexed, out.events)
+    indexed = index_events(
+        valid, user_index_path=out.user_index, artist_index_path=out.artist_index, sort=sort
+    )
+    events = write_table(indexed, out.events)
     write_table(last_period(events), out.last_week_events)
     write_table(churn_label(events, "userIdIndex"), out.churn)
     return out

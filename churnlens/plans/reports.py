@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens.operators import reports as R
+from churnlens.operators.assemble import whole_key
 from churnlens.plans.prepare import Layout, events_of
 from churnlens.sources.events import write_table
 
@@ -35,6 +36,6 @@ def report_tables(events: DataFrame, labels: DataFrame, key: str = KEY) -> dict[
 
 def write_reports(spark: SparkSession, out: Layout) -> dict[str, DataFrame]:
     """Write every chart table under ``reports``. They are a row per day or bin."""
-    events, labels = events_of(spark, out)
+    events, labels = (whole_key(table, KEY) for table in events_of(spark, out))
     tables = report_tables(events, labels)
     return {name: write_table(build().coalesce(1), f"{out.reports}/{name}") for name, build in tables.items()}

@@ -22,9 +22,15 @@ LEVELS = ("free", "paid")
 
 
 def clickstream(events: DataFrame) -> DataFrame:
-    user, kind, value = F.col("user_id"), F.col("event_type"), F.col("value")
-    k = F.regexp_extract("props", r"(\d+)", 1).cast("long")
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    # The two parsed values are used many times: a projection of their own makes
+    # Spark compute them once per row.
+    events = events.withColumns(
+        {
+            "k": F.regexp_extract("props", r"(\d+)", 1).cast("long"),
+            "ms": F.unix_millis(F.col("ts").cast("timestamp")),
+        }
+    )
+    user, kind, value, k, ms = (F.col(c) for c in ("user_id", "event_type", "value", "k", "ms"))
     view = kind == "view"
 
     user_id = F.when(user == 0, "").when(user != 1, user.cast("string"))

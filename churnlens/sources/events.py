@@ -31,7 +31,7 @@ def read_json_events(spark: SparkSession, path: str, keep_corrupt: bool = False)
     A line that cannot be parsed has no user and is dropped by cleaning; with
     ``keep_corrupt`` its text is in ``_corrupt_record``.
     """
-    schema = T.StructType(EVENT_SCHEMA.fields)
+    schema = T.StructType(list(EVENT_SCHEMA.fields))
     if keep_corrupt:
         schema = schema.add(CORRUPT, T.StringType())
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
