@@ -119,27 +119,28 @@ def length_stats(period: Period = ALL) -> Block:
     return Block(aggregates, features, seen)
 
 
-def _hours(period: Period, hours: Sequence[int], name: str, measure: str, how: Column, missing: Column) -> Block:
+def _hours(period: Period, hours: Sequence[int], name: str, measure: str, how: Column, missing: str) -> Block:
+    # As text: two calls to the JVM per column instead of ten, for 24 columns a block.
     events, seen = f"__hour_events_{period.name}", f"__hours_{period.name}"
     aggregates = {seen: F.sum(events)}
     features = {}
     for hour in hours:
         column = f"{name}_{period.name}_{hour}"
-        aggregates[f"__{column}"] = F.max(F.when(F.col(HOUR) == hour, F.col(measure)))
-        features[column] = F.coalesce(f"__{column}", missing)
+        aggregates[f"__{column}"] = F.expr(f"max(CASE WHEN {HOUR} = {hour} THEN {measure} END)")
+        features[column] = F.expr(f"coalesce(__{column}, {missing})")
     return Block(aggregates, features, seen, HOUR, {events: period.count(), measure: how})
 
 
 def hourly_counts(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
     """A user's events (of every kind, not only songs) in each hour of the day."""
     events = f"__hour_events_{period.name}"
-    return _hours(period, hours, "hourly_event_counts", events, period.count(), F.lit(0))
+    return _hours(period, hours, "hourly_event_counts", events, period.count(), "0")
 
 
 def hourly_mean_length(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
     """Mean song length in each hour of the day, 0 where nothing was played."""
     mean = f"__hour_length_{period.name}"
-    return _hours(period, hours, "hourly_mean_song_length", mean, F.avg(period.value("length")), F.lit(0.0))
+    return _hours(period, hours, "hourly_mean_song_length", mean, F.avg(period.value("length")), "0D")
 
 
 def age_features() -> Block:

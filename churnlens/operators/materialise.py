@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 
 from churnlens.session import ensure_checkpoint_dir
@@ -11,11 +13,13 @@ def materialise(table: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``table`` once and hand back what was written.
 
     With a path it becomes a Parquet table that later runs can read as well;
-    without one it goes to the reliable checkpoint folder. Both outlive executors.
+    without one, a Parquet table in the checkpoint folder that all executors share.
+    Either way it outlives executors, is computed once, has a known size, and
+    later scans read only the columns they need.
     """
     spark = table.sparkSession
-    if path is not None:
-        table.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    ensure_checkpoint_dir(spark)
-    return table.checkpoint()
+    if path is None:
+        ensure_checkpoint_dir(spark)
+        path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+    table.write.mode("overwrite").parquet(path)
+    return spark.read.schema(table.schema).parquet(path)

@@ -75,15 +75,20 @@ def item_factors(
     rank: int = ALS_RANK,
     reg: float = ALS_REG,
     seed: int = SEED,
-    blocks: int | None = None,
+    user_blocks: int | None = None,
+    item_blocks: int | None = None,
 ) -> DataFrame:
-    """Item factors ``(id, features)`` of an explicit ALS fit. ``blocks`` is how
-    many user and item blocks the fit is cut into (by default one per shuffle
-    partition, at least Spark's own 10)."""
+    """Item factors ``(id, features)`` of an explicit ALS fit; ids have to fit an int.
+
+    Blocks are how the fit is spread out. Left open, they follow the shuffle
+    partitions, between Spark's own 10 and what one task can keep apart (each task
+    that groups ratings has a buffer per pair of blocks).
+    """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    if blocks is None:
-        blocks = max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    user_blocks = user_blocks or min(max(partitions, 10), 1000)
+    item_blocks = item_blocks or min(max(partitions // 10, 10), 100)
     als = ALS(
         rank=rank,
         regParam=reg,
@@ -91,8 +96,8 @@ def item_factors(
         itemCol=item,
         ratingCol=rating,
         coldStartStrategy="drop",
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=user_blocks,
+        numItemBlocks=item_blocks,
         seed=seed,
     )
     return als.fit(rated(ratings, rating)).itemFactors
@@ -123,7 +128,7 @@ def latent_features(
 
 def _products(outputs: dict[str, str], rank: int) -> Sequence:
     return [
-        F.sum(F.col(rating) * F.col("features")[k].cast("double")).alias(f"{prefix}_{k}")
+        F.expr(f"sum(`{rating}` * CAST(features[{k}] AS DOUBLE)) AS `{prefix}_{k}`")
         for prefix, rating in outputs.items()
         for k in range(rank)
     ]

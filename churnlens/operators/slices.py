@@ -38,11 +38,17 @@ def last_period(events: DataFrame, key: str = "userId", days: int = RECENT_DAYS)
 
 def last_state(events: DataFrame, column: str, key: str = "userId") -> DataFrame:
     """The value of ``column`` on the user's last event; of two values at the same
-    time the greater one."""
-    return events.groupBy(key).agg(F.max_by(column, F.struct("ts", column)).alias(column))
+    time the greater one.
+
+    The last time of each value comes first, as that is a hash aggregation of
+    numbers; picking a value needs a sort, of the few rows that are left.
+    """
+    times = events.groupBy(key, column).agg(F.max("ts").alias("ts"))
+    return times.groupBy(key).agg(F.max_by(column, F.struct("ts", column)).alias(column))
 
 
 def first_state(events: DataFrame, column: str, key: str = "userId") -> DataFrame:
     """The value of ``column`` on the user's first event; of two values at the same
     time the smaller one."""
-    return events.groupBy(key).agg(F.min_by(column, F.struct("ts", column)).alias(column))
+    times = events.groupBy(key, column).agg(F.min("ts").alias("ts"))
+    return times.groupBy(key).agg(F.min_by(column, F.struct("ts", column)).alias(column))

@@ -375,7 +375,7 @@ latent AS (
 LATENT = _latent_cte()
 
 
-def _feature_table(with_last_week: bool) -> str:
+def _feature_table(with_last_week: bool, final: str | None = None) -> str:
     blocks = WHOLE.all() + (LAST_WEEK.all() if with_last_week else [])
     ctes = dict.fromkeys(cte for _, cte in blocks if cte)
     selects = [s for s, _ in blocks] + [AGE, _session_select(), "SELECT userId, label FROM churn"]
@@ -384,6 +384,8 @@ def _feature_table(with_last_week: bool) -> str:
     joins = "\n".join(f"JOIN {n} USING (userId)" for n in names)
     drop = ["userId", "occurrences"] + ([] if with_last_week else [f"als_lw_{k}" for k in range(ALS_RANK)])
     select = f"SELECT * EXCLUDE ({', '.join(drop)}) FROM users JOIN latent USING (userId)\n{joins}"
+    if final is not None:
+        select = final.format(table=select)
     return sql(
         select,
         RECENT,
@@ -399,6 +401,25 @@ def _feature_table(with_last_week: bool) -> str:
     )
 
 
+VECTOR_SUM = """
+SELECT userIdIndex, CAST(any_value(label) AS INTEGER) AS label, CAST(count(*) AS INTEGER) AS width,
+  round(sum(CAST(x AS DOUBLE)), 6) AS total
+FROM (
+  UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ({table})) ON COLUMNS(* EXCLUDE (userIdIndex, label)) INTO NAME f VALUE x
+)
+GROUP BY userIdIndex"""
+
+
+def _differences() -> str:
+    parts = [
+        f"""SELECT '{c}' AS feature,
+  round(abs(avg({c}) FILTER (label = 1) - avg({c}) FILTER (label = 0)), 6) AS coefficient
+FROM session_table JOIN churn USING (userId)"""
+        for c in ["sessions_count", *SESSION_COLUMNS]
+    ]
+    return sql("\nUNION ALL\n".join(parts), CHURN, SESSION_FEATURES)
+
+
 # Encoders -----------------------------------------------------------------------
 
 
@@ -584,6 +605,8 @@ FROM ratings r LEFT JOIN recent_ratings l USING (userId, artist)""",
     "latent_projection": sql("SELECT * FROM latent", RECENT, ARTIST_INDEX, RATINGS, RECENT_RATINGS, LATENT),
     "feature_table": _feature_table(False),
     "feature_table_last_week": _feature_table(True),
+    "assembled_features": _feature_table(True, VECTOR_SUM),
+    "ranked_differences": _differences(),
     "max_abs_scaled": sql(_scaled(), SESSION_FEATURES),
     "hash_split": sql(
         f"SELECT userId, label, CASE WHEN {HASHED} < 0.75 THEN 'training' ELSE 'test' END AS part FROM churn", CHURN

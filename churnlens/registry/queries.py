@@ -62,8 +62,9 @@ def formula_factors(artists: DataFrame, rank: int = ALS_RANK) -> DataFrame:
 
 
 def rounded(table: DataFrame, places: int = 6) -> DataFrame:
-    doubles = [f.name for f in table.schema.fields if f.dataType.typeName() == "double"]
-    return table.withColumns({c: F.round(F.col(f"`{c}`"), places) for c in doubles})
+    return table.selectExpr(
+        *[f"round(`{c}`, {places}) AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in table.dtypes]
+    )
 
 
 # Cleaning, indices, slices ------------------------------------------------------
@@ -277,6 +278,25 @@ def feature_table_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(both_periods(_formula_features(spark, sf_dir)))
 
 
+def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Width and sum of each user's feature vector (of the rounded features)."""
+    vectors = assemble.assemble_features(feature_table_last_week(spark, sf_dir), USER_INDEX)
+    values = vectors.select(USER_INDEX, "label", vector_to_array("features").alias("v"))
+    total = F.aggregate("v", F.lit(0.0), lambda a, b: a + b)
+    return rounded(values.select(USER_INDEX, "label", F.size("v").alias("width"), total.alias("total")))
+
+
+def ranked_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session features ranked by how far users who left are from the others."""
+    events, churn = labelled(spark, sf_dir)
+    table = labels.with_label(blocks.session_features(events), churn)
+    names = [c for c in table.columns if c not in ("userId", "label")]
+    mean = lambda c, label: F.avg(F.when(F.col("label") == label, F.col(c)))
+    gaps = table.agg(*[(mean(c, 1) - mean(c, 0)).alias(c) for c in names])
+    long = gaps.unpivot([], names, "feature", "coefficient")
+    return rounded(evaluate.rank_coefficients(long, by_size=True))
+
+
 def max_abs_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = blocks.session_features(cleaned(spark, sf_dir))
     return rounded(assemble.scale_columns(table, [c for c in table.columns if c != "userId"]))
@@ -416,6 +436,8 @@ QUERIES: dict[str, Query] = {
     "latent_projection": latent_projection,
     "feature_table": feature_table,
     "feature_table_last_week": feature_table_last_week,
+    "assembled_features": assembled_features,
+    "ranked_differences": ranked_differences,
     "max_abs_scaled": max_abs_scaled,
     "hash_split": hash_split,
     "random_split": random_split,

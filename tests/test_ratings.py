@@ -85,7 +85,7 @@ def test_latent_features_are_a_matrix_product(spark, broadcast_bytes):
 def test_factors_reproduce_the_ratings(spark):
     cells = [(float(u), float(i), float((u + 1) * (i + 1)) / 12) for u in range(3) for i in range(4)]
     ratings = spark.createDataFrame(cells, "userIdIndex double, artistIndex double, rating double")
-    factors = {r["id"]: np.array(r["features"]) for r in item_factors(ratings, rank=2, blocks=2).collect()}
+    factors = {r["id"]: np.array(r["features"]) for r in item_factors(ratings, rank=2, user_blocks=2, item_blocks=2).collect()}
     assert set(factors) == {0, 1, 2, 3}
     # Rank-one ratings: item factors are multiples of each other.
     base = factors[0]
@@ -96,7 +96,7 @@ def test_factors_reproduce_the_ratings(spark):
 def test_factors_are_the_same_when_run_again(spark, sf_dir):
     pairs = Q.ratings.period_ratings(Q._indexed(spark, sf_dir), "userIdIndex", "artistIndex")
     first, second = (
-        {r["id"]: r["features"] for r in item_factors(pairs, rank=3, blocks=2).collect()} for _ in range(2)
+        {r["id"]: r["features"] for r in item_factors(pairs, rank=3, user_blocks=2, item_blocks=2).collect()} for _ in range(2)
     )
     assert first.keys() == second.keys()
     assert all(np.allclose(first[i], second[i], atol=1e-4) for i in first)
