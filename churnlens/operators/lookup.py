@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlens.operators.materialise import materialise
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 512
 _ROW_OVERHEAD = 32
-_HOT = "__hot"
+_HOT, _FOUND = "__hot", "__found"
 
 
 def measure(table: DataFrame) -> tuple[int, int]:
@@ -32,12 +34,14 @@ def measure(table: DataFrame) -> tuple[int, int]:
 
 
 def heaviest_keys(rows: DataFrame, table: DataFrame, key: str, weight: str | None, limit: int) -> DataFrame:
-    """The rows of ``table`` for the ``limit`` keys with the most rows."""
+    """The ``limit`` keys with the most rows, with what ``table`` has for them;
+    ``__found`` is NULL for a key that ``table`` does not have."""
     if weight is not None:
-        return table.orderBy(F.desc(weight), F.asc(key)).limit(limit)
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_HOT))
-    top = counts.orderBy(F.desc(_HOT), F.asc(key)).limit(limit).select(key)
-    return table.join(F.broadcast(top), key, "left_semi")
+        return table.orderBy(F.desc(weight), F.asc(key)).limit(limit).withColumn(_FOUND, F.lit(True))
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    top = materialise(counts.orderBy(F.desc("n"), F.asc(key)).limit(limit).select(key))
+    found = table.join(F.broadcast(top), key, "left_semi").withColumn(_FOUND, F.lit(True))
+    return top.join(F.broadcast(found), key, "left")
 
 
 def lookup(
@@ -54,9 +58,10 @@ def lookup(
     """Join ``table`` (unique on ``key``, materialised) to every row of ``rows``.
 
     ``how`` is ``left`` or ``inner``. ``weight`` names a column of ``table`` that
-    says how many rows each key has; it is used to find the heavy keys and is not
-    part of the result. Without it the keys of ``rows`` are counted. ``size`` is
-    the measured size of ``table`` in bytes, when the caller has it already.
+    says how many of the ``rows`` each key has, if that was counted with it; it is
+    used to find the heavy keys and is not part of the result. Without it the keys
+    of ``rows`` are counted. ``size`` is the measured size of ``table`` in bytes,
+    when the caller has it already.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
@@ -67,10 +72,10 @@ def lookup(
         return rows.join(F.broadcast(table.select(wanted)), key, how)
 
     # At most `hot_keys` rows, so the broadcast is bounded for any data size.
-    hot = heaviest_keys(rows, table, key, weight, hot_keys).select(wanted)
+    hot = heaviest_keys(rows, table, key, weight, hot_keys).select(*wanted, _FOUND)
     direct = rows.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
-    keep = F.col(_HOT) if how == "inner" else F.col(_HOT) | F.col(key).isNull()
-    direct = direct.where(keep).drop(_HOT)
+    keep = F.col(_FOUND) if how == "inner" else F.col(_HOT) | F.col(key).isNull()
+    direct = direct.where(keep).drop(_HOT, _FOUND)
 
     others = rows.where(F.col(key).isNotNull())
     others = others.join(F.broadcast(hot.select(key)), key, "left_anti")

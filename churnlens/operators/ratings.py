@@ -80,15 +80,15 @@ def item_factors(
 ) -> DataFrame:
     """Item factors ``(id, features)`` of an explicit ALS fit; ids have to fit an int.
 
-    Blocks are how the fit is spread out. Left open, they follow the shuffle
-    partitions, between Spark's own 10 and what one task can keep apart (each task
-    that groups ratings has a buffer per pair of blocks).
+    Blocks are how the fit is spread out. Left open, they grow with the number of
+    ratings (which should be stored, as they are counted for it), from Spark's own
+    10 to what one task can keep apart when it groups ratings by pairs of blocks.
     """
-    spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    user_blocks = user_blocks or min(max(partitions, 10), 1000)
-    item_blocks = item_blocks or min(max(partitions // 10, 10), 100)
+    ensure_checkpoint_dir(ratings.sparkSession)
+    if user_blocks is None or item_blocks is None:
+        count = ratings.count()
+        user_blocks = user_blocks or min(max(count // 2_000_000, 10), 1000)
+        item_blocks = item_blocks or min(max(count // 20_000_000, 10), 100)
     als = ALS(
         rank=rank,
         regParam=reg,

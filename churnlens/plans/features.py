@@ -24,6 +24,20 @@ from churnlens.plans.prepare import Layout
 from churnlens.sources.events import read_table, write_table
 
 LATENT_ALL, LATENT_LAST_WEEK = "als_all", "als_lw"
+# The event columns that features are computed from.
+FEATURE_INPUTS = (
+    "userIdIndex",
+    "artistIndex",
+    "sessionId",
+    "level",
+    "page",
+    "artist",
+    "song",
+    "length",
+    "ts",
+    "elapsed_days",
+    "last_ts",
+)
 IN_ALL, IN_LAST_WEEK = "in_all", "in_last_week"
 
 _LAST_WEEK_PREFIXES = tuple(

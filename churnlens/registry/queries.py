@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from churnlens.constants import ALS_RANK, DERIVED_COLUMNS, EVENT_COLUMNS
 from churnlens.operators import assemble, blocks, clean, evaluate, index, labels, models, ratings, reports, slices
 from churnlens.operators.materialise import materialise
-from churnlens.plans.features import both_periods, feature_columns, whole_period
+from churnlens.plans.features import FEATURE_INPUTS, both_periods, feature_columns, whole_period
 from churnlens.plans.prepare import index_events
 from churnlens.session import pin_time_zone
 from churnlens.sources.clickstream import LEVELS, PAGES, clickstream
@@ -260,8 +260,8 @@ def latent_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with both indices and ``last_ts``, written once for several scans."""
-    return materialise(index_events(valid(spark, sf_dir)))
+    """What features need of the indexed events, written once for several scans."""
+    return materialise(index_events(valid(spark, sf_dir)).select(*FEATURE_INPUTS))
 
 
 def _formula_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +357,7 @@ def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = ratings.period_ratings(_indexed(spark, sf_dir), USER_INDEX, ARTIST_INDEX)
+    pairs = materialise(ratings.period_ratings(_indexed(spark, sf_dir), USER_INDEX, ARTIST_INDEX))
     return ratings.item_factors(pairs).select("id", F.posexplode("features").alias("factor", "value"))
 
 

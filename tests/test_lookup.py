@@ -35,6 +35,14 @@ def test_split_lookup_equals_plain_join(skewed, table, how, weight, hot_keys):
     assert sorted(rows(small), key=repr) == sorted(rows(plain), key=repr)
 
 
+def test_heavy_key_without_a_match(skewed, table):
+    other = materialise(table.where("key <> 'hot'"))
+    for how in ("left", "inner"):
+        plain = skewed.join(other.drop("n"), "key", how)
+        split = lookup(skewed, other.drop("n"), "key", how=how, broadcast_bytes=0, hot_keys=1)
+        assert sorted(rows(split), key=repr) == sorted(rows(plain), key=repr)
+
+
 def test_heavy_rows_are_not_shuffled(spark, skewed, table):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
