@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from churnlens.operators.materialise import materialise
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_KEYS = 512
 _ROW_OVERHEAD = 32
 _HOT, _FOUND = "__hot", "__found"

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.constants import HISTOGRAM_BINS, LABEL_NAMES, SECOND_MS, SONG_PAGE
@@ -14,28 +14,43 @@ from churnlens.operators.labels import with_label
 
 
 def date_ranges(events: DataFrame) -> DataFrame:
-    registered, active = F.to_date("registration_date"), F.to_date("timestamp")
+    """First and last day of registration and of activity. A day is taken from the
+    extreme time, once, rather than from every row."""
     return events.agg(
-        F.min(registered).alias("min_registration_date"),
-        F.max(registered).alias("max_registration_date"),
-        F.min(active).alias("min_activity_date"),
-        F.max(active).alias("max_activity_date"),
+        F.to_date(F.min("registration_date")).alias("min_registration_date"),
+        F.to_date(F.max("registration_date")).alias("max_registration_date"),
+        F.to_date(F.min("timestamp")).alias("min_activity_date"),
+        F.to_date(F.max("timestamp")).alias("max_activity_date"),
     )
 
 
-def _users_by_date(events: DataFrame, labels: DataFrame, day: Column, name: str, key: str) -> DataFrame:
-    users = with_label(events.groupBy(key).agg(day.alias(name)), labels, key)
-    return users.groupBy(name, "label").agg(F.count(key).alias("count"))
+def user_profile(events: DataFrame, labels: DataFrame, key: str = "userId") -> DataFrame:
+    """One row per user: day of (first) ``registration``, day of the last event
+    (``ts``), highest ``age`` and mean ``avg_age`` in days, and the label. The
+    reports about users are computed from it; what one does not use is not computed.
+    """
+    users = events.groupBy(key).agg(
+        F.to_date(F.min("registration_date")).alias("registration"),
+        F.to_date(F.max("timestamp")).alias("ts"),
+        F.max("elapsed_days").alias("age"),
+        F.avg("elapsed_days").alias("avg_age"),
+    )
+    return with_label(users, labels, key)
 
 
-def users_by_registration(events: DataFrame, labels: DataFrame, key: str = "userId") -> DataFrame:
-    """Users per day of (first) registration and label."""
-    return _users_by_date(events, labels, F.min(F.to_date("registration_date")), "registration", key)
+def users_by_registration(users: DataFrame) -> DataFrame:
+    """Users per day of registration and label."""
+    return users.groupBy("registration", "label").agg(F.count(F.lit(1)).alias("count"))
 
 
-def users_by_last_activity(events: DataFrame, labels: DataFrame, key: str = "userId") -> DataFrame:
+def users_by_last_activity(users: DataFrame) -> DataFrame:
     """Users per day of their last event and label."""
-    return _users_by_date(events, labels, F.max(F.to_date("timestamp")), "ts", key)
+    return users.groupBy("ts", "label").agg(F.count(F.lit(1)).alias("count"))
+
+
+def user_age(users: DataFrame, key: str = "userId") -> DataFrame:
+    """Highest and mean account age of each user, with the label."""
+    return users.select(key, "age", "avg_age", "label")
 
 
 def mean_age_by_day(events: DataFrame, labels: DataFrame, key: str = "userId") -> DataFrame:
@@ -45,12 +60,6 @@ def mean_age_by_day(events: DataFrame, labels: DataFrame, key: str = "userId") -
     return daily.groupBy("ts", "label").agg(F.count(key).alias("users"), F.avg("age").alias("age"))
 
 
-def user_age(events: DataFrame, labels: DataFrame, key: str = "userId") -> DataFrame:
-    """Highest and mean account age of each user, with the label."""
-    ages = events.groupBy(key).agg(F.max("elapsed_days").alias("age"), F.avg("elapsed_days").alias("avg_age"))
-    return with_label(ages, labels, key)
-
-
 def activity_by_age_day(events: DataFrame, labels: DataFrame, key: str = "userId") -> DataFrame:
     """Songs and other interactions per user and age day, summed up per age day
     and label. An event without a page counts as another interaction."""

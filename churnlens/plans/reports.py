@@ -14,19 +14,21 @@ from churnlens.sources.events import write_table
 KEY = "userIdIndex"
 
 
-def report_tables(events: DataFrame, labels: DataFrame, key: str = KEY) -> dict[str, Callable[[], DataFrame]]:
-    """Chart tables by name. The reports they are drawn from are nested inside."""
+def report_tables(
+    events: DataFrame, labels: DataFrame, users: DataFrame, key: str = KEY
+) -> dict[str, Callable[[], DataFrame]]:
+    """Chart tables by name. ``users`` are the profiles of the users in ``events``."""
     return {
         "date_ranges": lambda: R.date_ranges(events),
         "users_by_registration_date": lambda: R.cumulative(
-            R.chart_table(R.users_by_registration(events, labels, key), "registration"), "registration"
+            R.chart_table(R.users_by_registration(users), "registration"), "registration"
         ),
         "users_by_last_activity_date": lambda: R.cumulative(
-            R.chart_table(R.users_by_last_activity(events, labels, key), "ts"), "ts"
+            R.chart_table(R.users_by_last_activity(users), "ts"), "ts"
         ),
         "mean_age_by_activity_date": lambda: R.chart_table(R.mean_age_by_day(events, labels, key), "ts"),
-        "users_by_age": lambda: R.histogram(R.user_age(events, labels, key), "age"),
-        "users_by_mean_age": lambda: R.histogram(R.user_age(events, labels, key), "avg_age"),
+        "users_by_age": lambda: R.histogram(users, "age"),
+        "users_by_mean_age": lambda: R.histogram(users, "avg_age"),
         "activity_by_age_day": lambda: R.chart_table(
             R.activity_by_age_day(events, labels, key), "user_age_when_played"
         ),
@@ -35,7 +37,9 @@ def report_tables(events: DataFrame, labels: DataFrame, key: str = KEY) -> dict[
 
 
 def write_reports(spark: SparkSession, out: Layout) -> dict[str, DataFrame]:
-    """Write every chart table under ``reports``. They are a row per day or bin."""
+    """Write every chart table under ``reports``; they are a row per day or bin.
+    Four of them are about users, and read the written profiles."""
     events, labels = (whole_key(table, KEY) for table in events_of(spark, out))
-    tables = report_tables(events, labels)
+    users = write_table(R.user_profile(events, labels, KEY), out.user_profile)
+    tables = report_tables(events, labels, users)
     return {name: write_table(build().coalesce(1), f"{out.reports}/{name}") for name, build in tables.items()}

@@ -47,6 +47,10 @@ def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return events, labels.churn_label(events)
 
 
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.user_profile(*labelled(spark, sf_dir))
+
+
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``labels`` table as predictions: quality is the truth, toxic the guess."""
     rows = read_table(spark, f"{sf_dir}/labels.parquet")
@@ -144,7 +148,7 @@ def date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users_by_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.users_by_registration(*labelled(spark, sf_dir))
+    return reports.users_by_registration(profiles(spark, sf_dir))
 
 
 def registration_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +157,7 @@ def registration_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users_by_last_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.users_by_last_activity(*labelled(spark, sf_dir))
+    return reports.users_by_last_activity(profiles(spark, sf_dir))
 
 
 def last_activity_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,19 +174,19 @@ def mean_age_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reports.user_age(*labelled(spark, sf_dir)))
+    return rounded(reports.user_age(profiles(spark, sf_dir)))
 
 
 def churned_user_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.of_label(reports.user_age(*labelled(spark, sf_dir)), 1, "age")
+    return reports.of_label(reports.user_age(profiles(spark, sf_dir)), 1, "age")
 
 
 def age_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reports.histogram(reports.user_age(*labelled(spark, sf_dir)), "age"))
+    return rounded(reports.histogram(profiles(spark, sf_dir), "age"))
 
 
 def mean_age_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reports.histogram(reports.user_age(*labelled(spark, sf_dir)), "avg_age"))
+    return rounded(reports.histogram(profiles(spark, sf_dir), "avg_age"))
 
 
 def activity_by_age_day(spark: SparkSession, sf_dir: str) -> DataFrame:

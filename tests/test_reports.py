@@ -70,10 +70,11 @@ def test_date_ranges_and_users_by_date(spark):
     )
     row = R.date_ranges(frame).first()
     assert (row["max_activity_date"] - row["min_activity_date"]).days == 2
-    assert sorted((r["label"], r["count"]) for r in R.users_by_registration(*labelled(frame)).collect()) == [(0, 1), (1, 1)]
-    last = {r["label"]: r["ts"] for r in R.users_by_last_activity(*labelled(frame)).collect()}
+    users = R.user_profile(*labelled(frame))
+    assert sorted((r["label"], r["count"]) for r in R.users_by_registration(users).collect()) == [(0, 1), (1, 1)]
+    last = {r["label"]: r["ts"] for r in R.users_by_last_activity(users).collect()}
     assert (last[0] - last[1]).days == 2
-    ages = R.user_age(*labelled(frame))
+    ages = R.user_age(users)
     assert rows(R.of_label(ages, 1, "age")) == [(10,)]
 
 
