@@ -357,8 +357,8 @@ def _latent_cte() -> str:
         return f"sum({rating} * ((CAST(artistIndex AS BIGINT) * 7 + {k * 3}) % 11 - 5) / 10)"
 
     columns = _columns(
-        [(f"als_all_{k}", f"round({product(k, 'rating')}, 6)") for k in range(ALS_RANK)]
-        + [(f"als_lw_{k}", f"round({product(k, 'recent_rating')}, 6)") for k in range(ALS_RANK)]
+        [(f"als_all_{k}", f"round({product(k, 'rating')}, 6) + 0") for k in range(ALS_RANK)]
+        + [(f"als_lw_{k}", f"round({product(k, 'recent_rating')}, 6) + 0") for k in range(ALS_RANK)]
     )
     return f"""
 pairs AS (
@@ -513,7 +513,7 @@ HASHED = "CAST('0x' || substr(md5(userId || '-42'), 1, 8) AS BIGINT) / 429496729
 
 
 ORACLES: dict[str, str] = {
-    "projected_events": f"WITH{CLICK}\nSELECT {COLUMNS} FROM click",
+    "projected_events": f"WITH{CLICK}\nSELECT {COLUMNS} FROM click WHERE sessionId IS NOT NULL",
     "valid_events": sql("SELECT * FROM valid"),
     "clean_events": sql("SELECT * FROM clean"),
     "sorted_events": sql("SELECT * FROM valid ORDER BY userId, ts"),

@@ -66,8 +66,9 @@ def formula_factors(artists: DataFrame, rank: int = ALS_RANK) -> DataFrame:
 
 
 def rounded(table: DataFrame, places: int = 6) -> DataFrame:
+    # Adding 0 turns -0.0, which only one engine may arrive at, into 0.0.
     return table.selectExpr(
-        *[f"round(`{c}`, {places}) AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in table.dtypes]
+        *[f"round(`{c}`, {places}) + 0D AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in table.dtypes]
     )
 
 
@@ -75,7 +76,9 @@ def rounded(table: DataFrame, places: int = 6) -> DataFrame:
 
 
 def projected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.project_events(name_table(raw_events(spark, sf_dir), "raw_events"))
+    """The used columns of all events with a session, read by the name of a view."""
+    named = name_table(raw_events(spark, sf_dir), "raw_events")
+    return clean.project_events(named).where(F.col("sessionId").isNotNull())
 
 
 def valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
