@@ -24,6 +24,11 @@ def whole_key(table: DataFrame, key: str) -> DataFrame:
     return table.withColumn(key, F.col(key).cast("long"))
 
 
+def stored_key(table: DataFrame, key: str) -> DataFrame:
+    """The table with an id column as stored, a double."""
+    return table.withColumn(key, F.col(key).cast("double"))
+
+
 def join_tables(tables: Sequence[DataFrame], key: str = "userId", how: str = "inner") -> DataFrame:
     """Join per-user tables on the user.
 

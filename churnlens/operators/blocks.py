@@ -13,7 +13,7 @@ its columns, nearly all of them 0, for every task that sees the user.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -72,7 +72,13 @@ def eligible_page(excluded: Sequence[str] = CANCEL_PAGES) -> Column:
     return F.col("page").isNotNull() & ~F.col("page").isin(*excluded)
 
 
-def _pages(pages: Sequence[str], period: Period, excluded: Sequence[str], prefix: str, feature) -> Block:
+def _pages(
+    pages: Sequence[str],
+    period: Period,
+    excluded: Sequence[str],
+    prefix: str,
+    feature: Callable[[Column, Column], Column],
+) -> Block:
     visits, total = f"__visits_{period.name}", f"__pages_{period.name}"
     aggregates = {total: F.sum(F.when(eligible_page(excluded), F.col(visits)).otherwise(0))}
     features = {}
@@ -85,7 +91,10 @@ def _pages(pages: Sequence[str], period: Period, excluded: Sequence[str], prefix
 
 def page_share(pages: Sequence[str], period: Period = ALL, excluded: Sequence[str] = CANCEL_PAGES) -> Block:
     """Part of a user's page visits that went to each page."""
-    part = lambda count, total: F.coalesce(share(count, total), F.lit(0.0))
+
+    def part(count: Column, total: Column) -> Column:
+        return F.coalesce(share(count, total), F.lit(0.0))
+
     return _pages(pages, period, excluded, "page_pct", part)
 
 

@@ -87,7 +87,10 @@ def weighted_f1(predictions: DataFrame) -> DataFrame:
 def confusion_matrix(predictions: DataFrame, labels: Sequence[int] = LABELS) -> DataFrame:
     """Cells ``(label, prediction, n, share)`` for all pairs of ``labels``, with
     ``share`` relative to the label; one aggregation with one count per cell."""
-    cell = lambda a, b: f"n_{a}_{b}"
+
+    def cell(a: int, b: int) -> str:
+        return f"n_{a}_{b}"
+
     counts = predictions.agg(
         *[
             count_where((F.col("label") == a) & (F.col("prediction") == b)).alias(cell(a, b))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.constants import HISTOGRAM_BINS, LABEL_NAMES, SECOND_MS, SONG_PAGE
@@ -151,7 +151,10 @@ def histogram(users: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> Data
     # `ranges` has one row per class label, two at most.
     placed = known.join(F.broadcast(ranges), "label").select("label", x.alias("x"), "low", "high")
     width = (F.col("high") - F.col("low")) / bins
-    edge = lambda i: F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * width)
+
+    def edge(i: Column) -> Column:
+        return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * width)
+
     guess = F.floor((F.col("x") - F.col("low")) / (F.col("high") - F.col("low")) * bins)
     placed = placed.withColumn("bin", F.least(guess, F.lit(bins - 1)))
     # The quotient may land one bin off a value that sits on an edge.

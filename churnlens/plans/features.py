@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.constants import ALS_RANK, CANCEL_PAGES
-from churnlens.operators.assemble import assemble_features, join_tables, whole_key
+from churnlens.operators.assemble import assemble_features, join_tables, stored_key, whole_key
 from churnlens.operators.blocks import (
     ALL,
     LAST_WEEK,
@@ -24,6 +24,8 @@ from churnlens.plans.prepare import Layout
 from churnlens.sources.events import read_table, write_table
 
 LATENT_ALL, LATENT_LAST_WEEK = "als_all", "als_lw"
+USER_INDEX, ARTIST_INDEX = "userIdIndex", "artistIndex"
+
 # The event columns that features are computed from.
 FEATURE_INPUTS = (
     "userIdIndex",
@@ -54,22 +56,24 @@ _LAST_WEEK_PREFIXES = tuple(
 )
 
 
+def feature_events(events: DataFrame) -> DataFrame:
+    """Indexed events as features need them: few columns, ids as whole numbers."""
+    return whole_key(whole_key(events.select(*FEATURE_INPUTS), USER_INDEX), ARTIST_INDEX)
+
+
 def feature_columns(
     events: DataFrame,
     latent: DataFrame,
     pages: Sequence[str],
     levels: Sequence[str],
     *,
-    key: str = "userId",
+    key: str = USER_INDEX,
 ) -> DataFrame:
     """Features of both periods and the label, for every user with latent features.
 
     ``in_all`` and ``in_last_week`` say in which feature tables the user belongs:
     one that lacks a block in the period is in neither table of that period.
     """
-    doubled = dict(events.dtypes)[key] == "double"
-    if doubled:
-        events, latent = whole_key(events, key), whole_key(latent, key)
     whole = [*period_blocks(pages, levels, ALL), age_features()]
     recent = period_blocks(pages, levels, LAST_WEEK)
     table = user_table(
@@ -80,8 +84,7 @@ def feature_columns(
         extra={"label": churned()},
         presence={IN_ALL: whole, IN_LAST_WEEK: whole + recent},
     )
-    joined = join_tables([latent, table, session_features(events, key)], key)
-    return joined.withColumn(key, F.col(key).cast("double")) if doubled else joined
+    return join_tables([latent, table, session_features(events, key)], key)
 
 
 def whole_period(table: DataFrame) -> DataFrame:
@@ -101,8 +104,8 @@ def write_features(spark: SparkSession, out: Layout, *, rank: int = ALS_RANK) ->
     Events are scanned for ratings, sessions, pages, hours, and everything else;
     ratings and the feature columns are read twice, so they are written.
     """
-    events = read_table(spark, out.events)
-    key, item = "userIdIndex", "artistIndex"
+    events = feature_events(read_table(spark, out.events))
+    key, item = USER_INDEX, ARTIST_INDEX
     ratings = write_table(rated(period_ratings(events, key, item)), out.ratings)
     factors = write_table(item_factors(ratings, key, item, rank=rank), out.item_factors)
     prefixes = {LATENT_ALL: "rating", LATENT_LAST_WEEK: "recent_rating"}
@@ -110,7 +113,8 @@ def write_features(spark: SparkSession, out: Layout, *, rank: int = ALS_RANK) ->
 
     pages = discover_values(events, "page", excluded=CANCEL_PAGES)
     levels = discover_values(events, "level")
-    table = write_table(feature_columns(events, latent, pages, levels, key=key), out.feature_columns)
+    table = feature_columns(events, latent, pages, levels, key=key)
+    table = write_table(stored_key(table, key), out.feature_columns)
     without = write_table(assemble_features(whole_period(table), key), out.no_lw_features)
     full = write_table(assemble_features(both_periods(table), key), out.features)
     return without, full

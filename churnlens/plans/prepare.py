@@ -16,14 +16,37 @@ from churnlens.operators.slices import LAST_TS, last_period
 from churnlens.sources.events import read_json_events, read_table, write_table
 
 
+# The tables of a run, each a folder of its own.
+TABLES = (
+    "valid_events",
+    "user_index",
+    "artist_index",
+    "events",
+    "last_week_events",
+    "churn",
+    "user_profile",
+    "reports",
+    "ratings",
+    "item_factors",
+    "feature_columns",
+    "no_lw_features",
+    "features",
+    "scores",
+    "predictions",
+    "class_report",
+    "confusion",
+    "coefficients",
+)
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables of one run are."""
+    """Where the tables of one run are: ``layout.events`` is ``<root>/events``."""
 
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name.startswith("_"):
+        if name not in TABLES:
             raise AttributeError(name)
         return f"{self.root}/{name}"
 

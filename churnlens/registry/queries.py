@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from churnlens.constants import ALS_RANK, DERIVED_COLUMNS, EVENT_COLUMNS
 from churnlens.operators import assemble, blocks, clean, evaluate, index, labels, models, ratings, reports, slices
 from churnlens.operators.materialise import materialise
-from churnlens.plans.features import FEATURE_INPUTS, both_periods, feature_columns, whole_period
+from churnlens.plans.features import ARTIST_INDEX, USER_INDEX, both_periods, feature_columns, feature_events, whole_period
 from churnlens.plans.prepare import index_events
 from churnlens.session import pin_time_zone
 from churnlens.sources.clickstream import LEVELS, PAGES, clickstream
@@ -23,7 +23,6 @@ from churnlens.sources.events import name_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-USER_INDEX, ARTIST_INDEX = "userIdIndex", "artistIndex"
 
 
 # Inputs -----------------------------------------------------------------------
@@ -60,8 +59,8 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def formula_factors(artists: DataFrame, rank: int = ALS_RANK) -> DataFrame:
     """Item factors given by a formula of the artist id, so they can be checked."""
     item = F.col(ARTIST_INDEX).cast("long")
-    element = lambda k: (((item * 7 + k * 3) % 11 - 5) / 10).cast("double")
-    factors = F.transform(F.sequence(F.lit(0), F.lit(rank - 1)), element)
+    ranks = F.sequence(F.lit(0), F.lit(rank - 1))
+    factors = F.transform(ranks, lambda k: (((item * 7 + k * 3) % 11 - 5) / 10).cast("double"))
     return artists.select(item.alias("id"), factors.alias("features"))
 
 
@@ -268,21 +267,21 @@ def latent_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What features need of the indexed events, written once for several scans."""
-    return materialise(index_events(valid(spark, sf_dir)).select(*FEATURE_INPUTS))
+    return materialise(feature_events(index_events(valid(spark, sf_dir))))
 
 
 def _formula_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _indexed(spark, sf_dir)
     artists = events.where(F.col("artist").isNotNull()).groupBy(ARTIST_INDEX).agg(F.count(F.lit(1)).alias("n"))
-    return feature_columns(events, _latent(events, artists, USER_INDEX), PAGES, LEVELS, key=USER_INDEX)
+    return feature_columns(events, _latent(events, artists, USER_INDEX), PAGES, LEVELS)
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(whole_period(_formula_features(spark, sf_dir)))
+    return rounded(assemble.stored_key(whole_period(_formula_features(spark, sf_dir)), USER_INDEX))
 
 
 def feature_table_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(both_periods(_formula_features(spark, sf_dir)))
+    return rounded(assemble.stored_key(both_periods(_formula_features(spark, sf_dir)), USER_INDEX))
 
 
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,8 +297,8 @@ def ranked_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, churn = labelled(spark, sf_dir)
     table = labels.with_label(blocks.session_features(events), churn)
     names = [c for c in table.columns if c not in ("userId", "label")]
-    mean = lambda c, label: F.avg(F.when(F.col("label") == label, F.col(c)))
-    gaps = table.agg(*[(mean(c, 1) - mean(c, 0)).alias(c) for c in names])
+    gone, stayed = F.col("label") == 1, F.col("label") == 0
+    gaps = table.agg(*[(F.avg(F.when(gone, F.col(c))) - F.avg(F.when(stayed, F.col(c)))).alias(c) for c in names])
     long = gaps.unpivot([], names, "feature", "coefficient")
     return rounded(evaluate.rank_coefficients(long, by_size=True))
 
@@ -360,7 +359,7 @@ def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = materialise(ratings.rated(ratings.period_ratings(events, USER_INDEX, ARTIST_INDEX)))
     factors = materialise(ratings.item_factors(pairs))
     latent = ratings.latent_features(pairs, factors, {"als_all": "rating", "als_lw": "recent_rating"})
-    return materialise(feature_columns(events, latent, PAGES, LEVELS, key=USER_INDEX))
+    return materialise(assemble.stored_key(feature_columns(events, latent, PAGES, LEVELS), USER_INDEX))
 
 
 def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
