@@ -2,6 +2,9 @@
 
 Written in long form (per-page rows, then CASE columns; window functions for each
 user's last time), so that it checks the one-pass formulation of the operators.
+
+Doubles are rounded to six places, 1e-9 above their value: a mean that lies exactly
+between two roundings would otherwise go up or down by the order of its summands.
 """
 
 from __future__ import annotations
@@ -147,7 +150,7 @@ def _long(index: str, counts: Iterable[str], measures: Iterable[str]) -> str:
     """All columns of ``report``, doubles rounded."""
     return (
         f"SELECT {index}, label, "
-        + ", ".join([*counts, *(f"round({m}, 6) AS {m}" for m in measures)])
+        + ", ".join([*counts, *(f"round({m} + 1e-9, 6) AS {m}" for m in measures)])
         + " FROM report"
     )
 
@@ -157,7 +160,7 @@ def _wide(index: str, counts: Iterable[str], measures: Iterable[str]) -> str:
     parts = []
     for label, name in ((0, "Not Cancelled"), (1, "Cancelled")):
         parts += [f'{cell.format(l=label, m=m)} AS "{m} {name}"' for m in counts]
-        parts += [f'round({cell.format(l=label, m=m)}, 6) AS "{m} {name}"' for m in measures]
+        parts += [f'round({cell.format(l=label, m=m)} + 1e-9, 6) AS "{m} {name}"' for m in measures]
     return f"SELECT {index}, {', '.join(parts)} FROM report GROUP BY {index}"
 
 
@@ -173,8 +176,8 @@ ACTIVITY_MEASURES = (
 def _histogram(column: str) -> str:
     edge = "CASE WHEN {b} = 10 THEN high ELSE low + ({b}) * ((high - low) / 10) END"
     return f"""
-SELECT label, CAST(bin AS INTEGER) AS bin, round(any_value({edge.format(b='bin')}), 6) AS bin_low,
-  round(any_value({edge.format(b='bin + 1')}), 6) AS bin_high, count(*) AS users
+SELECT label, CAST(bin AS INTEGER) AS bin, round(any_value({edge.format(b='bin')}) + 1e-9, 6) AS bin_low,
+  round(any_value({edge.format(b='bin + 1')}) + 1e-9, 6) AS bin_high, count(*) AS users
 FROM (
   SELECT label, low, high,
     CASE WHEN x < {edge.format(b='guess')} THEN guess - 1
@@ -216,7 +219,7 @@ pages_{self.name} AS (
 
     def page_share(self) -> tuple[str, str]:
         columns = _columns(
-            (f"page_pct_{self.name}_{name_part(p)}", f"round(coalesce(sum(part) FILTER (page = '{p}'), 0), 6)")
+            (f"page_pct_{self.name}_{name_part(p)}", f"round(coalesce(sum(part) FILTER (page = '{p}'), 0) + 1e-9, 6)")
             for p in PAGES
         )
         return f"SELECT userId, {columns} FROM pages_{self.name} GROUP BY userId", self.pages()[0]
@@ -238,7 +241,7 @@ levels_{self.name} AS (
   FROM {self.source} WHERE level IS NOT NULL GROUP BY userId, level
 )"""
         columns = _columns(
-            (f"level_pct_{self.name}_{v}", f"round(coalesce(sum(part) FILTER (level = '{v}'), 0), 6)")
+            (f"level_pct_{self.name}_{v}", f"round(coalesce(sum(part) FILTER (level = '{v}'), 0) + 1e-9, 6)")
             for v in LEVELS
             if v != "free"
         )
@@ -247,8 +250,8 @@ levels_{self.name} AS (
     def length_stats(self) -> tuple[str, str]:
         name = f"song_length_{self.name}"
         return (
-            f"""SELECT userId, round(coalesce(avg(length), 0), 6) AS {name}_mean,
-  round(coalesce(stddev_samp(length), 0), 6) AS {name}_std
+            f"""SELECT userId, round(coalesce(avg(length), 0) + 1e-9, 6) AS {name}_mean,
+  round(coalesce(stddev_samp(length), 0) + 1e-9, 6) AS {name}_std
 FROM {self.source} GROUP BY userId""",
             "",
         )
@@ -269,7 +272,7 @@ hours_{self.name} AS (
 
     def hourly_mean_length(self) -> tuple[str, str]:
         columns = _columns(
-            (f"hourly_mean_song_length_{self.name}_{h}", f"round(coalesce(avg(mean) FILTER (hour = {h}), 0), 6)")
+            (f"hourly_mean_song_length_{self.name}_{h}", f"round(coalesce(avg(mean) FILTER (hour = {h}), 0) + 1e-9, 6)")
             for h in HOURS
         )
         return f"SELECT userId, {columns} FROM hours_{self.name} GROUP BY userId", self._hours()
@@ -297,7 +300,7 @@ def _block(block: tuple[str, str], last_week: bool = False) -> str:
     return sql(select, *([RECENT] if last_week else []), *([cte] if cte else []))
 
 
-AGE = "SELECT userId, max(elapsed_days) AS age, round(avg(elapsed_days), 6) AS avg_age FROM clean GROUP BY userId"
+AGE = "SELECT userId, max(elapsed_days) AS age, round(avg(elapsed_days) + 1e-9, 6) AS avg_age FROM clean GROUP BY userId"
 
 SESSION_MEASURES = (
     ("pages_accessed", "avg_pages_accessed", "std_pages_accessed"),
@@ -324,13 +327,13 @@ SESSION_COLUMNS = [f"sessions_{name}" for _, *names in SESSION_MEASURES for name
 
 
 def _session_select() -> str:
-    columns = _columns((c, f"round({c}, 6)") for c in SESSION_COLUMNS)
+    columns = _columns((c, f"round({c} + 1e-9, 6)") for c in SESSION_COLUMNS)
     return f"SELECT userId, sessions_count, {columns} FROM session_table"
 
 
 def _scaled() -> str:
     columns = _columns(
-        (c, f"round(coalesce({c} / nullif(max(abs({c})) OVER (), 0), 0), 6)")
+        (c, f"round(coalesce({c} / nullif(max(abs({c})) OVER (), 0), 0) + 1e-9, 6)")
         for c in ["sessions_count", *SESSION_COLUMNS]
     )
     return f"SELECT userId, {columns} FROM session_table"
@@ -357,8 +360,8 @@ def _latent_cte() -> str:
         return f"sum({rating} * ((CAST(artistIndex AS BIGINT) * 7 + {k * 3}) % 11 - 5) / 10)"
 
     columns = _columns(
-        [(f"als_all_{k}", f"round({product(k, 'rating')}, 6) + 0") for k in range(ALS_RANK)]
-        + [(f"als_lw_{k}", f"round({product(k, 'recent_rating')}, 6) + 0") for k in range(ALS_RANK)]
+        [(f"als_all_{k}", f"round({product(k, 'rating')} + 1e-9, 6) + 0") for k in range(ALS_RANK)]
+        + [(f"als_lw_{k}", f"round({product(k, 'recent_rating')} + 1e-9, 6) + 0") for k in range(ALS_RANK)]
     )
     return f"""
 pairs AS (
@@ -403,7 +406,7 @@ def _feature_table(with_last_week: bool, final: str | None = None) -> str:
 
 VECTOR_SUM = """
 SELECT userIdIndex, CAST(any_value(label) AS INTEGER) AS label, CAST(count(*) AS INTEGER) AS width,
-  round(sum(CAST(x AS DOUBLE)), 6) AS total
+  round(sum(CAST(x AS DOUBLE)) + 1e-9, 6) AS total
 FROM (
   UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM ({table})) ON COLUMNS(* EXCLUDE (userIdIndex, label)) INTO NAME f VALUE x
 )
@@ -413,7 +416,7 @@ GROUP BY userIdIndex"""
 def _differences() -> str:
     parts = [
         f"""SELECT '{c}' AS feature,
-  round(abs(avg({c}) FILTER (label = 1) - avg({c}) FILTER (label = 0)), 6) AS coefficient
+  round(abs(avg({c}) FILTER (label = 1) - avg({c}) FILTER (label = 0)) + 1e-9, 6) AS coefficient
 FROM session_table JOIN churn USING (userId)"""
         for c in ["sessions_count", *SESSION_COLUMNS]
     ]
@@ -483,28 +486,28 @@ def _best_model() -> str:
             f"SELECT {F1} FROM metrics) AS f1"
         )
     union = "\nUNION ALL\n".join(scores)
-    return f"SELECT classifier, round(f1, 6) AS f1 FROM ({union}) ORDER BY f1 DESC, place LIMIT 1"
+    return f"SELECT classifier, round(f1 + 1e-9, 6) AS f1 FROM ({union}) ORDER BY f1 DESC, place LIMIT 1"
 
 
 JUDGED = METRICS.format(guess="toxic")
 
 REPORT = f"""WITH {JUDGED}
-SELECT CAST(class AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
-  round(f1, 6) AS f1, support
+SELECT CAST(class AS VARCHAR) AS class, round(precision + 1e-9, 6) AS precision, round(recall + 1e-9, 6) AS recall,
+  round(f1 + 1e-9, 6) AS f1, support
 FROM metrics
 UNION ALL
-SELECT 'accuracy', NULL, NULL, round(sum(hits) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM metrics
+SELECT 'accuracy', NULL, NULL, round(sum(hits) / sum(support) + 1e-9, 6), CAST(sum(support) AS BIGINT) FROM metrics
 UNION ALL
-SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+SELECT 'macro avg', round(avg(precision) + 1e-9, 6), round(avg(recall) + 1e-9, 6), round(avg(f1) + 1e-9, 6),
   CAST(sum(support) AS BIGINT) FROM metrics
 UNION ALL
-SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
-  round(sum(recall * support) / sum(support), 6), round({F1}, 6), CAST(sum(support) AS BIGINT) FROM metrics"""
+SELECT 'weighted avg', round(sum(precision * support) / sum(support) + 1e-9, 6),
+  round(sum(recall * support) / sum(support) + 1e-9, 6), round({F1} + 1e-9, 6), CAST(sum(support) AS BIGINT) FROM metrics"""
 
 CONFUSION = """
 SELECT a.v AS label, b.v AS prediction,
   count(l.quality) AS n,
-  round(coalesce(count(l.quality) / nullif((SELECT count(*) FROM labels WHERE quality = a.v), 0), 0), 6) AS share
+  round(coalesce(count(l.quality) / nullif((SELECT count(*) FROM labels WHERE quality = a.v), 0), 0) + 1e-9, 6) AS share
 FROM (VALUES (0), (1)) a(v) CROSS JOIN (VALUES (0), (1)) b(v)
 LEFT JOIN labels l ON l.quality = a.v AND l.toxic = b.v
 GROUP BY a.v, b.v"""
@@ -533,13 +536,13 @@ FROM clean JOIN users USING (userId) LEFT JOIN artists USING (artist)""",
     "encoded_gender": _encoded("gender", FIRST_ORDER),
     "churn_label": sql("SELECT * FROM churn", CHURN),
     "churn_rate": sql(
-        "SELECT count(*) AS users, CAST(sum(label) AS BIGINT) AS churned, round(avg(label), 6) AS churn_rate FROM churn",
+        "SELECT count(*) AS users, CAST(sum(label) AS BIGINT) AS churned, round(avg(label) + 1e-9, 6) AS churn_rate FROM churn",
         CHURN,
     ),
     "class_weights": sql(
         """
 SELECT userId, label,
-  round(CASE WHEN label = 0 THEN avg(label) OVER () ELSE 1 - avg(label) OVER () END, 6) AS weights
+  round(CASE WHEN label = 0 THEN avg(label) OVER () ELSE 1 - avg(label) OVER () END + 1e-9, 6) AS weights
 FROM churn""",
         CHURN,
     ),
@@ -556,7 +559,7 @@ FROM clean"""
     "last_activity_chart": sql(_date_chart(LAST_ACTIVE, "ts"), CHURN),
     "mean_age_by_day": sql(_long("ts", ["users"], ["age"]), CHURN, MEAN_AGE),
     "mean_age_chart": sql(_wide("ts", ["users"], ["age"]), CHURN, MEAN_AGE),
-    "user_age": sql("SELECT userId, age, round(avg_age, 6) AS avg_age, label FROM report", CHURN, USER_AGE),
+    "user_age": sql("SELECT userId, age, round(avg_age + 1e-9, 6) AS avg_age, label FROM report", CHURN, USER_AGE),
     "churned_user_ages": sql("SELECT age FROM report WHERE label = 1", CHURN, USER_AGE),
     "age_histogram": sql(_histogram("age"), CHURN, USER_AGE),
     "mean_age_histogram": sql(_histogram("avg_age"), CHURN, USER_AGE),
@@ -585,10 +588,10 @@ FROM clean"""
     "age_features": sql(AGE),
     "prefixed_columns": _state("gender", FIRST_ORDER, "first_gender"),
     "session_features": sql(_session_select(), SESSION_FEATURES),
-    "artist_ratings": sql("SELECT userId, artist, round(rating, 6) AS rating FROM ratings", RATINGS),
+    "artist_ratings": sql("SELECT userId, artist, round(rating + 1e-9, 6) AS rating FROM ratings", RATINGS),
     "last_week_ratings": sql(
         """
-SELECT userId, artist, round(r.rating, 6) AS rating, round(coalesce(l.rating, 0), 6) AS recent_rating
+SELECT userId, artist, round(r.rating + 1e-9, 6) AS rating, round(coalesce(l.rating, 0) + 1e-9, 6) AS recent_rating
 FROM ratings r LEFT JOIN recent_ratings l USING (userId, artist)""",
         RECENT,
         RATINGS,
@@ -596,7 +599,7 @@ FROM ratings r LEFT JOIN recent_ratings l USING (userId, artist)""",
     ),
     "carried_ratings": sql(
         """
-SELECT userId, artist, round(coalesce(l.rating, 0), 6) AS rating
+SELECT userId, artist, round(coalesce(l.rating, 0) + 1e-9, 6) AS rating
 FROM ratings r LEFT JOIN recent_ratings l USING (userId, artist)""",
         RECENT,
         RATINGS,
@@ -613,6 +616,6 @@ FROM ratings r LEFT JOIN recent_ratings l USING (userId, artist)""",
     ),
     "confusion_matrix": CONFUSION.strip(),
     "classification_report": REPORT,
-    "weighted_f1": f"WITH {JUDGED}\nSELECT round({F1}, 6) AS f1 FROM metrics",
+    "weighted_f1": f"WITH {JUDGED}\nSELECT round({F1} + 1e-9, 6) AS f1 FROM metrics",
     "best_model": _best_model(),
 }

@@ -65,9 +65,10 @@ def formula_factors(artists: DataFrame, rank: int = ALS_RANK) -> DataFrame:
 
 
 def rounded(table: DataFrame, places: int = 6) -> DataFrame:
-    # Adding 0 turns -0.0, which only one engine may arrive at, into 0.0.
+    # A mean that lies exactly between two roundings goes up or down by the order of
+    # its summands, so all values are rounded 1e-9 above. Adding 0 makes -0.0 a 0.0.
     return table.selectExpr(
-        *[f"round(`{c}`, {places}) + 0D AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in table.dtypes]
+        *[f"round(`{c}` + 1e-9D, {places}) + 0D AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in table.dtypes]
     )
 
 
