@@ -2,8 +2,9 @@
 
 ``rows`` may be a whole event log in which one key holds a third of all rows.
 The table is measured first: small, it is broadcast and ``rows`` never moves.
-Otherwise the heaviest keys (a fixed number) are broadcast and only the rows of
-the other keys are shuffled, each of them holding a small part of all rows.
+Otherwise both sides are shuffled once, on the key and a salt. A key that holds
+more than one partition's share of the rows is spread over as many salts as its
+share asks for, so no partition gets much more than any other.
 """
 
 from __future__ import annotations
@@ -15,9 +16,8 @@ from pyspark.sql import types as T
 from churnlens.operators.materialise import materialise
 
 BROADCAST_BYTES = 128 * 1024 * 1024
-HOT_KEYS = 512
 _ROW_OVERHEAD = 32
-_HOT, _FOUND = "__hot", "__found"
+_SALT, _SALTS = "__salt", "__salts"
 
 
 def measure(table: DataFrame) -> tuple[int, int]:
@@ -33,15 +33,20 @@ def measure(table: DataFrame) -> tuple[int, int]:
     return rows, rows * fixed + (extra or 0)
 
 
-def heaviest_keys(rows: DataFrame, table: DataFrame, key: str, weight: str | None, limit: int) -> DataFrame:
-    """The ``limit`` keys with the most rows, with what ``table`` has for them;
-    ``__found`` is NULL for a key that ``table`` does not have."""
+def heavy_keys(rows: DataFrame, table: DataFrame, key: str, weight: str | None, partitions: int) -> DataFrame:
+    """Keys with more than one partition's share of the rows, and the salts each needs.
+
+    The shares add up to one, so there are fewer such keys than partitions and the
+    result can be broadcast, however many keys and rows there are.
+    """
     if weight is not None:
-        return table.orderBy(F.desc(weight), F.asc(key)).limit(limit).withColumn(_FOUND, F.lit(True))
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    top = materialise(counts.orderBy(F.desc("n"), F.asc(key)).limit(limit).select(key))
-    found = table.join(F.broadcast(top), key, "left_semi").withColumn(_FOUND, F.lit(True))
-    return top.join(F.broadcast(found), key, "left")
+        counts = table.select(key, F.col(weight).alias("n"))
+    else:
+        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        counts = materialise(counts)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    salts = F.ceil(F.col("n") * partitions / F.lit(max(total, 1))).cast("int")
+    return counts.where(F.col("n") * partitions > total).select(key, salts.alias(_SALTS))
 
 
 def lookup(
@@ -52,7 +57,6 @@ def lookup(
     how: str = "left",
     weight: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
     size: int | None = None,
 ) -> DataFrame:
     """Join ``table`` (unique on ``key``, materialised) to every row of ``rows``.
@@ -61,7 +65,9 @@ def lookup(
     says how many of the ``rows`` each key has, if that was counted with it; it is
     used to find the heavy keys and is not part of the result. Without it the keys
     of ``rows`` are counted. ``size`` is the measured size of ``table`` in bytes,
-    when the caller has it already.
+    when the caller has it already. The salt of a row comes from its values, so a
+    task that runs again sends it to the same place; a null key matches nothing
+    and its rows are spread over all partitions.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how!r}")
@@ -71,12 +77,13 @@ def lookup(
     if size <= broadcast_bytes:
         return rows.join(F.broadcast(table.select(wanted)), key, how)
 
-    # At most `hot_keys` rows, so the broadcast is bounded for any data size.
-    hot = heaviest_keys(rows, table, key, weight, hot_keys).select(*wanted, _FOUND)
-    direct = rows.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
-    keep = F.col(_FOUND) if how == "inner" else F.col(_HOT) | F.col(key).isNull()
-    direct = direct.where(keep).drop(_HOT, _FOUND)
-
-    others = rows.where(F.col(key).isNotNull())
-    others = others.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return direct.unionByName(others.join(table.select(wanted), key, how))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(rows, table, key, weight, partitions)
+    hashable = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
+    salted = rows.join(F.broadcast(heavy), key, "left")
+    salted = salted.withColumn(_SALT, F.pmod(F.xxhash64(*hashable), spread).cast("int")).drop(_SALTS)
+    copies = table.select(wanted).join(F.broadcast(heavy), key, "left")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
+    copies = copies.withColumn(_SALT, F.explode(salts)).drop(_SALTS)
+    return salted.join(copies, [key, _SALT], how).drop(_SALT)
