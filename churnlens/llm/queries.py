@@ -5,24 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from churnlens.llm.exact_dedup import exact_dedup
+from churnlens.llm.line_dedup import dedup_units
+from churnlens.llm.merge_dropout import encoded
+from churnlens.llm.sharding import shard_documents
 from churnlens.llm.simhash import simhash_groups
+from churnlens.llm.token_count import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_units(_table(spark, sf_dir, "documents"), unit="line")
+    spans = F.transform("removed", lambda span: F.concat_ws("-", span["start"], span["stop"]))
+    return kept.select("doc_id", "text", "n_units", "n_removed", F.concat_ws(",", spans).alias("removed"))
+
+
+def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"), shards=40)
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = encoded(_table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", F.size("piece_ids").alias("n_pieces"), F.xxhash64("piece_ids").alias("piece_hash"), "lossless"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_simhash_groups": op5_simhash_groups,
-    "op9_exact_dedup": op9_exact_dedup,
+    name: value for name, value in list(globals().items()) if name.startswith("op")
 }
