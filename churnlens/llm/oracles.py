@@ -15,3 +15,86 @@ counted AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM counted
 """
+
+# All windows that touch a shingle of the item, compared as multisets of shingles.
+ORACLES["op1_benchmark_matches"] = r"""
+WITH doc_words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}\p{M}]+'), lambda w: w <> '') AS w
+    FROM documents
+),
+item_words AS (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}\p{M}]+'), lambda w: w <> '') AS w
+    FROM benchmark
+),
+doc_shingles AS (
+    SELECT doc_id, len(w) - 4 AS places, unnest(range(len(w) - 4)) AS spot,
+        unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' '))) AS shingle
+    FROM doc_words WHERE len(w) >= 5
+),
+item_shingles AS (
+    SELECT item_id, len(w) - 4 AS m,
+        unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' '))) AS shingle
+    FROM item_words WHERE len(w) >= 5
+),
+item_counts AS (SELECT item_id, m, shingle, count(*) AS n FROM item_shingles GROUP BY ALL),
+touched AS (SELECT DISTINCT doc_id, places, item_id, m, spot FROM doc_shingles JOIN item_counts USING (shingle)),
+starts AS (
+    SELECT DISTINCT doc_id, item_id, m, least(m, places) AS held, start
+    FROM (SELECT *, unnest(range(greatest(0, spot - m + 1), spot + 1)) AS start FROM touched)
+    WHERE start + m <= places OR start = 0
+),
+counted AS (
+    SELECT s.doc_id, s.item_id, s.m, s.held, s.start, d.shingle, count(*) AS n
+    FROM starts s JOIN doc_shingles d ON d.doc_id = s.doc_id AND d.spot >= s.start AND d.spot < s.start + s.m
+    GROUP BY ALL
+),
+compared AS (
+    SELECT c.doc_id, c.item_id, c.m, c.start, sum(least(c.n, i.n)) AS common, any_value(c.held) AS held
+    FROM counted c JOIN item_counts i USING (item_id, shingle) GROUP BY c.doc_id, c.item_id, c.m, c.start
+),
+scored AS (SELECT *, CAST(common AS DOUBLE) / CAST(held + m - common AS DOUBLE) AS similarity FROM compared)
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start_word, CAST(m + 4 AS INTEGER) AS n_words, similarity
+FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+# The first occurrence of each normalised line stays; a newline belongs to the line before it.
+ORACLES["op2_line_dedup"] = r"""
+WITH parts AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS i, len(string_split(text, chr(10))) AS n
+    FROM documents WHERE text IS NOT NULL
+),
+spans AS (
+    SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS BIGINT) AS start,
+        trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[ \t\n\x0B\f\r]+', ' ', 'g')) AS unit
+    FROM parts
+),
+ranked AS (
+    SELECT *, unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) > 1 AS gone,
+        i < n OR line <> '' AS counts
+    FROM spans
+),
+kept AS (
+    SELECT doc_id,
+        coalesce(string_agg(line || CASE WHEN i < n THEN chr(10) ELSE '' END, '' ORDER BY i) FILTER (NOT gone), '') AS text,
+        CAST(count(*) FILTER (counts) AS INTEGER) AS n_units, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
+        coalesce(string_agg(start || '-' || (start + length(line)), ',' ORDER BY i) FILTER (gone), '') AS removed
+    FROM ranked GROUP BY doc_id
+)
+SELECT * FROM kept
+UNION ALL
+SELECT doc_id, text, 0, 0, '' FROM documents WHERE text IS NULL
+"""
+
+ORACLES["op4_warc_archives"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS p, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+),
+chosen AS (SELECT *, max(page_id) OVER (PARTITION BY p) AS kept FROM payloads)
+SELECT page_id, payload_bytes, sha1(p) AS payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM chosen
+"""

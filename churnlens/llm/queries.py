@@ -7,18 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.llm.decontaminate import benchmark_matches
 from churnlens.llm.exact_dedup import exact_dedup
 from churnlens.llm.line_dedup import dedup_units
 from churnlens.llm.merge_dropout import encoded
 from churnlens.llm.sharding import shard_documents
 from churnlens.llm.simhash import simhash_groups
 from churnlens.llm.token_count import token_counts
+from churnlens.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_units(_table(spark, sf_dir, "documents"), unit="line")
     spans = F.transform("removed", lambda span: F.concat_ws("-", span["start"], span["stop"]))
@@ -29,6 +35,18 @@ def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = archive_pages(_table(spark, sf_dir, "pages"))
+    # What a response states is worked out again from the payload that was read.
+    return read.select(
+        "page_id",
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"))
 
