@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.decontaminate import benchmark_matches
 from churnlens.llm.exact_dedup import exact_dedup
+from churnlens.llm.language_id import identify_languages
 from churnlens.llm.line_dedup import dedup_units
 from churnlens.llm.merge_dropout import encoded
 from churnlens.llm.sharding import shard_documents
 from churnlens.llm.simhash import simhash_groups
+from churnlens.llm.suffix_tree_lm import score_texts
 from churnlens.llm.token_count import token_counts
 from churnlens.llm.warc import archive_pages
 
@@ -55,6 +57,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = encoded(_table(spark, sf_dir, "documents"))
     return pieces.select(
@@ -66,6 +72,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: value for name, value in list(globals().items()) if name.startswith("op")
 }
