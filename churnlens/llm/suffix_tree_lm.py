@@ -1,7 +1,7 @@
 """Language-model scores by a probabilistic suffix tree over bytes.
 
 A text is its words (A-Z lower-cased) with single spaces between and an end. Contexts of
-up to five symbols are counted over all training texts; a context stays in the tree if
+up to six symbols are counted over all training texts; a context stays in the tree if
 its next-symbol distribution diverges enough from that of its suffix. Distributions
 are smoothed along the suffixes, and each symbol is scored in the longest suffix that
 is in the tree.
@@ -20,9 +20,9 @@ from churnlens.llm.language_id import id_remainder
 from churnlens.llm.tables import map_batches
 from churnlens.operators.materialise import materialise
 
-DEPTH = 5
-DIVERGENCE = 4.0  # nats that a context must save for each of its next symbols
-MAX_STATES = 120_000
+DEPTH = 6
+DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
+MAX_STATES = 150_000
 HOT_SHARE = 500_000  # words with at least one in so many tokens are looked up in memory
 _BITS, _END, _OTHER = 6, 0, 63
 _ALPHABET = 1 << _BITS
