@@ -22,7 +22,7 @@ from churnlens.operators.materialise import materialise
 
 DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
-MAX_STATES = 150_000
+MAX_STATES = 100_000
 HOT_SHARE = 500_000  # words with at least one in so many tokens are looked up in memory
 _BITS, _END, _OTHER = 6, 0, 63
 _ALPHABET = 1 << _BITS
@@ -127,9 +127,6 @@ def divergent_contexts(levels: list[DataFrame], divergence: float, max_states: i
     found = None
     for size in range(1, len(levels)):
         mask = (1 << _BITS * size) - 1
-        totals = levels[size].groupBy(F.shiftright("key", _BITS).alias("context")).agg(
-            F.sum("n").alias("total"), F.count(F.lit(1)).alias("types")
-        )
         above = levels[size - 1].select(F.col("key").alias("short"), F.col("n").alias("n_short"))
         above_totals = levels[size - 1].groupBy(F.shiftright("key", _BITS).alias("short_context")).agg(
             F.sum("n").alias("total_short")
@@ -137,10 +134,16 @@ def divergent_contexts(levels: list[DataFrame], divergence: float, max_states: i
         rows = levels[size].select(
             "n", F.shiftright("key", _BITS).alias("context"), F.col("key").bitwiseAND(F.lit(mask)).alias("short")
         )
-        rows = rows.join(above, "short").withColumn("short_context", F.shiftright("short", _BITS))
-        rows = rows.join(above_totals, "short_context").join(totals, "context")
-        saved = F.col("n") * F.log(F.col("n") / F.col("total") * F.col("total_short") / F.col("n_short"))
-        gains = rows.groupBy("context").agg(F.sum(saved).alias("gain"), F.max("types").alias("types"))
+        # The totals of a context are constant in it, so they come in after its rows are summed.
+        sums = rows.join(above, "short").groupBy("context").agg(
+            F.sum(F.col("n") * F.log(F.col("n") / F.col("n_short"))).alias("saved"),
+            F.sum("n").alias("total"),
+            F.count(F.lit(1)).alias("types"),
+        )
+        sums = sums.withColumn("short_context", F.col("context").bitwiseAND(F.lit(mask >> _BITS)))
+        gains = sums.join(above_totals, "short_context").withColumn(
+            "gain", F.col("saved") + F.col("total") * F.log(F.col("total_short") / F.col("total"))
+        )
         gains = gains.where(F.col("gain") >= divergence * F.col("types"))
         gains = gains.select(F.lit(size).alias("size"), "context", "gain")
         found = gains if found is None else found.unionByName(gains)
@@ -160,28 +163,27 @@ class Tree:
     def __init__(self, rows: Iterable[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int) -> None:
         """``rows``: for each context size the gram keys and counts of the tree's contexts."""
         self.depth = depth
-        children, chances, above = [], [], {}
+        children, logs, base = [], [], 0
+        above, chances = np.zeros(0, np.int64), np.zeros((0, _ALPHABET), np.float32)
         for size, (keys, counts) in enumerate(rows):
             contexts = np.unique(keys >> _BITS) if size else np.zeros(1, np.int64)
-            table = np.zeros((len(contexts), _ALPHABET))
+            table = np.zeros((len(contexts), _ALPHABET), np.float32)
             if len(keys):
                 table[np.searchsorted(contexts, keys >> _BITS), keys & (_ALPHABET - 1)] = counts
             total, types = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-            base = len(children)
+            types = np.maximum(types, 1).astype(np.float32)
             if size == 0:
-                lower = np.full((1, _ALPHABET), 1 / _ALPHABET)
-                types = np.maximum(types, 1)
+                table += types / _ALPHABET
             else:
-                mask = (1 << _BITS * (size - 1)) - 1
-                parents = np.array([above[int(c)] for c in contexts & mask], int)
-                lower = np.array([chances[p] for p in parents]).reshape(-1, _ALPHABET)
-                for i, (parent, context) in enumerate(zip(parents, contexts)):
-                    children[parent][context >> _BITS * (size - 1)] = base + i
-            chances += list((table + types * lower) / (total + types))
-            children += list(np.full((len(contexts), _ALPHABET), -1, np.int32))
-            above = {int(c): base + i for i, c in enumerate(contexts)}
-        self.children = np.array(children, np.int32)
-        self.logs = np.log10(np.array(chances)).astype(np.float32)
+                parents = np.searchsorted(above, contexts & ((1 << _BITS * (size - 1)) - 1))
+                children[-1][parents, contexts >> _BITS * (size - 1)] = base + np.arange(len(contexts), dtype=np.int32)
+                table += types * chances[parents]
+            table /= total + types
+            above, chances = contexts, table
+            logs.append(np.log10(table))
+            children.append(np.full((len(contexts), _ALPHABET), -1, np.int32))
+            base += len(contexts)
+        self.children, self.logs = np.concatenate(children), np.concatenate(logs)
         self.logs[:, _OTHER] -= np.float32(np.log10(unlisted))  # bytes of one symbol are alike
 
     def scores(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
