@@ -160,14 +160,19 @@ def divergent_contexts(levels: list[DataFrame], divergence: float, max_states: i
 class Tree:
     """Nodes by context, read backwards from the symbol; log10 of the next symbols."""
 
-    def __init__(self, rows: Iterable[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int) -> None:
-        """``rows``: for each context size the gram keys and counts of the tree's contexts."""
+    def __init__(
+        self, rows: Iterable[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int, states: int
+    ) -> None:
+        """``rows``: for each context size the gram keys and counts of the tree's contexts,
+        which are ``states`` with the empty one."""
         self.depth = depth
-        children, logs, base = [], [], 0
-        above, chances = np.zeros(0, np.int64), np.zeros((0, _ALPHABET), np.float32)
+        self.children = np.full((states, _ALPHABET), -1, np.int32)
+        self.logs = np.zeros((states, _ALPHABET), np.float32)
+        above, before, base = np.zeros(0, np.int64), 0, 0
         for size, (keys, counts) in enumerate(rows):
             contexts = np.unique(keys >> _BITS) if size else np.zeros(1, np.int64)
-            table = np.zeros((len(contexts), _ALPHABET), np.float32)
+            # Worked out in place: chances until the next level has used them, then logs.
+            table = self.logs[base : base + len(contexts)]
             if len(keys):
                 table[np.searchsorted(contexts, keys >> _BITS), keys & (_ALPHABET - 1)] = counts
             total, types = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
@@ -175,15 +180,14 @@ class Tree:
             if size == 0:
                 table += types / _ALPHABET
             else:
-                parents = np.searchsorted(above, contexts & ((1 << _BITS * (size - 1)) - 1))
-                children[-1][parents, contexts >> _BITS * (size - 1)] = base + np.arange(len(contexts), dtype=np.int32)
-                table += types * chances[parents]
+                parents = before + np.searchsorted(above, contexts & ((1 << _BITS * (size - 1)) - 1))
+                nodes = base + np.arange(len(contexts), dtype=np.int32)
+                self.children[parents, contexts >> _BITS * (size - 1)] = nodes
+                for at in range(0, len(contexts), 4096):
+                    table[at : at + 4096] += types[at : at + 4096] * self.logs[parents[at : at + 4096]]
             table /= total + types
-            above, chances = contexts, table
-            logs.append(np.log10(table))
-            children.append(np.full((len(contexts), _ALPHABET), -1, np.int32))
-            base += len(contexts)
-        self.children, self.logs = np.concatenate(children), np.concatenate(logs)
+            above, before, base = contexts, base, base + len(contexts)
+        np.log10(self.logs, out=self.logs, where=self.logs > 0)
         self.logs[:, _OTHER] -= np.float32(np.log10(unlisted))  # bytes of one symbol are alike
 
     def scores(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -244,15 +248,17 @@ def build_tree(grams: DataFrame, table: np.ndarray, *, depth: int, divergence: f
     """The tree on the driver: at most ``max_states`` contexts and their suffixes."""
     levels = context_levels(materialise(grams), depth)
     kept = materialise(divergent_contexts(levels, divergence, max_states))
-    rows = []
-    for size, level in enumerate(levels):
-        if size:
-            of_size = kept.where(F.col("size") == size).select("context")
-            keyed = level.withColumn("context", F.shiftright("key", _BITS))
-            level = keyed.join(of_size, "context", "left_semi").select("key", "n")
-        found = level.toArrow()
-        rows.append((found["key"].to_numpy(), found["n"].to_numpy()))
-    return Tree(rows, depth, int((table == _OTHER).sum()))
+
+    def rows() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for size, level in enumerate(levels):
+            if size:
+                of_size = kept.where(F.col("size") == size).select("context")
+                keyed = level.withColumn("context", F.shiftright("key", _BITS))
+                level = keyed.join(of_size, "context", "left_semi").select("key", "n")
+            found = level.toArrow()
+            yield found["key"].to_numpy(), found["n"].to_numpy()
+
+    return Tree(rows(), depth, int((table == _OTHER).sum()), kept.count() + 1)
 
 
 def score_texts(

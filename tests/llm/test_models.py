@@ -152,7 +152,7 @@ def test_tree_is_the_plain_one(spark, corpus):
     for size in range(depth + 1):
         held = {code(g): n for g, n in counts[size].items() if g[:-1] in kept}
         rows.append((np.array(sorted(held), np.int64), np.array([held[k] for k in sorted(held)])))
-    tree = Tree(rows, depth, int((symbols == 63).sum()))
+    tree = Tree(rows, depth, int((symbols == 63).sum()), len(kept))
     for text in [*texts[:5], [b"zzz", b"ab"], []]:
         own = [0] * depth + symbols_of(text, symbols)
         wanted = 0.0
