@@ -49,6 +49,8 @@ LABELS = (0, 1)
 LABEL_NAMES = {0: "Not Cancelled", 1: "Cancelled"}
 
 # Latent factor model.
+# Blocks of users and of items in the factorisation: what Spark takes by itself.
+ALS_BLOCKS = 10
 ALS_RANK = 20
 ALS_REG = 0.01
 

@@ -8,7 +8,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.constants import ALS_RANK, ALS_REG, SEED
+from churnlens.constants import ALS_BLOCKS, ALS_RANK, ALS_REG, SEED
 from churnlens.functions.scalars import count_where, share
 from churnlens.operators.assemble import whole_key
 from churnlens.operators.lookup import BROADCAST_BYTES, lookup
@@ -75,20 +75,17 @@ def item_factors(
     rank: int = ALS_RANK,
     reg: float = ALS_REG,
     seed: int = SEED,
-    user_blocks: int | None = None,
-    item_blocks: int | None = None,
+    user_blocks: int = ALS_BLOCKS,
+    item_blocks: int = ALS_BLOCKS,
 ) -> DataFrame:
     """Item factors ``(id, features)`` of an explicit ALS fit; ids have to fit an int.
 
-    Blocks are how the fit is spread out. Left open, they grow with the number of
-    ratings (which should be stored, as they are counted for it), from Spark's own
-    10 to what one task can keep apart when it groups ratings by pairs of blocks.
+    Blocks are how the fit is spread out. Spark draws the first factors by user block,
+    so the result depends on ``user_blocks``: they are parameters with fixed defaults
+    and never follow the size of the data. A run on many ratings sets them so that
+    a block's ratings fit a task.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
-    if user_blocks is None or item_blocks is None:
-        count = ratings.count()
-        user_blocks = user_blocks or min(max(count // 2_000_000, 10), 1000)
-        item_blocks = item_blocks or min(max(count // 20_000_000, 10), 100)
     als = ALS(
         rank=rank,
         regParam=reg,

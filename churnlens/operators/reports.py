@@ -141,7 +141,7 @@ def histogram(users: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> Data
     """Equal-width histogram of a column per label, over that label's own range.
 
     A bin includes its lower edge, the last one both. A range of one value gets
-    half a unit on either side. Bins without users are left out.
+    half a unit on either side. Every label has all bins, with 0 where no user falls.
     """
     x = F.col(column).cast("double")
     known = users.where(F.col(column).isNotNull() & F.col("label").isin(*LABEL_NAMES))
@@ -164,9 +164,14 @@ def histogram(users: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> Data
         .otherwise(F.col("bin"))
     )
     placed = placed.withColumn("bin", fitted.cast("int"))
-    counts = placed.groupBy("label", "bin").agg(
-        F.first(edge(F.col("bin"))).alias("bin_low"),
-        F.first(edge(F.col("bin") + 1)).alias("bin_high"),
-        F.count(F.lit(1)).alias("users"),
+    counts = placed.groupBy("label", "bin").agg(F.count(F.lit(1)).alias("users"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    complete = ranges.select("label", "low", "high", every).join(counts, ["label", "bin"], "left")
+    counts = complete.select(
+        "label",
+        "bin",
+        edge(F.col("bin")).alias("bin_low"),
+        edge(F.col("bin") + 1).alias("bin_high"),
+        F.coalesce("users", F.lit(0)).cast("long").alias("users"),
     )
     return counts.orderBy("label", "bin")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.constants import ALS_RANK, CANCEL_PAGES
+from churnlens.constants import ALS_BLOCKS, ALS_RANK, CANCEL_PAGES
 from churnlens.operators.assemble import assemble_features, join_tables, stored_key, whole_key
 from churnlens.operators.blocks import (
     ALL,
@@ -98,16 +98,26 @@ def both_periods(table: DataFrame) -> DataFrame:
     return table.where(F.col(IN_LAST_WEEK)).drop(IN_ALL, IN_LAST_WEEK)
 
 
-def write_features(spark: SparkSession, out: Layout, *, rank: int = ALS_RANK) -> tuple[DataFrame, DataFrame]:
+def write_features(
+    spark: SparkSession,
+    out: Layout,
+    *,
+    rank: int = ALS_RANK,
+    user_blocks: int = ALS_BLOCKS,
+    item_blocks: int = ALS_BLOCKS,
+) -> tuple[DataFrame, DataFrame]:
     """Write ``no_lw_features`` (whole log) and ``features`` (with last week).
 
+    The blocks are those of the item factorisation and part of what it gives.
+
     Events are scanned for ratings, sessions, pages, hours, and everything else;
     ratings and the feature columns are read twice, so they are written.
     """
     events = feature_events(read_table(spark, out.events))
     key, item = USER_INDEX, ARTIST_INDEX
     ratings = write_table(rated(period_ratings(events, key, item)), out.ratings)
-    factors = write_table(item_factors(ratings, key, item, rank=rank), out.item_factors)
+    blocks = {"user_blocks": user_blocks, "item_blocks": item_blocks}
+    factors = write_table(item_factors(ratings, key, item, rank=rank, **blocks), out.item_factors)
     prefixes = {LATENT_ALL: "rating", LATENT_LAST_WEEK: "recent_rating"}
     latent = latent_features(ratings, factors, prefixes, key, item, rank=rank)
 

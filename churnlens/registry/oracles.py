@@ -174,28 +174,20 @@ ACTIVITY_MEASURES = (
 
 
 def _histogram(column: str) -> str:
-    edge = "CASE WHEN {b} = 10 THEN high ELSE low + ({b}) * ((high - low) / 10) END"
+    """Ten bins a label: those of the label's range first, then the users in each."""
     return f"""
-SELECT label, CAST(bin AS INTEGER) AS bin, round(any_value({edge.format(b='bin')}) + 1e-9, 6) AS bin_low,
-  round(any_value({edge.format(b='bin + 1')}) + 1e-9, 6) AS bin_high, count(*) AS users
+SELECT label, bin, round(bin_low + 1e-9, 6) AS bin_low, round(bin_high + 1e-9, 6) AS bin_high,
+  (SELECT count({column}) FROM report r WHERE r.label = bins.label AND r.{column} >= bin_low
+    AND (r.{column} < bin_high OR bin = 9 AND r.{column} <= bin_high)) AS users
 FROM (
-  SELECT label, low, high,
-    CASE WHEN x < {edge.format(b='guess')} THEN guess - 1
-      WHEN x >= {edge.format(b='guess + 1')} AND guess < 9 THEN guess + 1
-      ELSE guess END AS bin
+  SELECT label, CAST(i AS INTEGER) AS bin, low + i * ((high - low) / 10) AS bin_low,
+    CASE WHEN i = 9 THEN high ELSE low + (i + 1) * ((high - low) / 10) END AS bin_high
   FROM (
-    SELECT *, least(floor((x - low) / (high - low) * 10), 9) AS guess
-    FROM (
-      SELECT label, CAST({column} AS DOUBLE) AS x,
-        min(CAST({column} AS DOUBLE)) OVER w
-          - CASE WHEN min({column}) OVER w = max({column}) OVER w THEN 0.5::DOUBLE ELSE 0 END AS low,
-        max(CAST({column} AS DOUBLE)) OVER w
-          + CASE WHEN min({column}) OVER w = max({column}) OVER w THEN 0.5::DOUBLE ELSE 0 END AS high
-      FROM report WINDOW w AS (PARTITION BY label)
-    )
-  )
-)
-GROUP BY label, bin"""
+    SELECT label, CAST(min({column}) AS DOUBLE) - CASE WHEN min({column}) = max({column}) THEN 0.5 ELSE 0 END AS low,
+      CAST(max({column}) AS DOUBLE) + CASE WHEN min({column}) = max({column}) THEN 0.5 ELSE 0 END AS high
+    FROM report WHERE {column} IS NOT NULL GROUP BY label
+  ), range(10) AS steps(i)
+) bins"""
 
 
 # Feature blocks: rows per (user, value) first, then one column per value ----------
@@ -516,7 +508,7 @@ HASHED = "CAST('0x' || substr(md5(userId || '-42'), 1, 8) AS BIGINT) / 429496729
 
 
 ORACLES: dict[str, str] = {
-    "projected_events": f"WITH{CLICK}\nSELECT {COLUMNS} FROM click WHERE sessionId IS NOT NULL",
+    "projected_events": f"WITH{CLICK}\nSELECT {COLUMNS} FROM click",
     "valid_events": sql("SELECT * FROM valid"),
     "clean_events": sql("SELECT * FROM clean"),
     "sorted_events": sql("SELECT * FROM valid ORDER BY userId, ts"),

@@ -76,9 +76,9 @@ def rounded(table: DataFrame, places: int = 6) -> DataFrame:
 
 
 def projected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The used columns of all events with a session, read by the name of a view."""
+    """The used columns of all events, read by the name of a view."""
     named = name_table(raw_events(spark, sf_dir), "raw_events")
-    return clean.project_events(named).where(F.col("sessionId").isNotNull())
+    return clean.project_events(named)
 
 
 def valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,7 +371,7 @@ def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _train(name: str) -> Callable[[SparkSession, str], models.Trained]:
     def run(spark: SparkSession, sf_dir: str) -> models.Trained:
         table = assemble.assemble_features(both_periods(_training_table(spark, sf_dir)), USER_INDEX)
-        rate = labels.churn_rate(table).first()["churn_rate"]
+        rate = labels.churn_rate(churn_label(spark, sf_dir)).first()["churn_rate"]
         weighted = labels.class_weights(table, rate)
         training, test = models.hash_split(weighted, USER_INDEX)
         return models.train_and_score(training, test, name, "weights")
