@@ -23,7 +23,7 @@ from churnlens.llm.tables import small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _SEGMENTS = re.compile(rb" +[^ \n]*|\n|[^ \n]+")
-_KNOWN_SEGMENTS = 100_000  # segmentations that a worker remembers for each variant
+_KNOWN_SEGMENTS = 400_000  # segmentations that a worker remembers for each variant
 
 
 def read_model(path: str) -> list[tuple[str, float, str]]:
