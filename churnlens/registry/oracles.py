@@ -1,7 +1,7 @@
 """The same results as SQL for another engine, from the same tables.
 
-Written in long form (per-page rows, then CASE columns; window functions for each
-user's last time), so that it checks the one-pass formulation of the operators.
+Written in long form (per-page rows, then CASE columns; totals of a user in tables
+of their own that are joined back), so that it checks the one-pass formulation of the operators.
 
 Doubles are rounded to six places, 1e-9 above their value: a mean that lies exactly
 between two roundings would otherwise go up or down by the order of its summands.
@@ -58,8 +58,8 @@ clean AS (
   WHERE round((ts - registration) / 86400000) >= 0
 )"""
 RECENT = """
-marked AS (SELECT *, max(ts) OVER (PARTITION BY userId) AS last_ts FROM clean),
-recent AS (SELECT * EXCLUDE (last_ts) FROM marked WHERE ts >= last_ts - 7 * 24 * 60 * 60 * 1000)"""
+last_seen AS (SELECT userId, max(ts) AS last_ts FROM clean GROUP BY userId),
+recent AS (SELECT clean.* FROM clean JOIN last_seen USING (userId) WHERE last_ts - ts <= 604800000)"""
 CHURN = """
 churn AS (
   SELECT userId, CAST(bool_or(coalesce(page = 'Cancellation Confirmation', false)) AS INTEGER) AS label
@@ -116,8 +116,9 @@ report AS (
 )"""
 USER_AGE = """
 report AS (
-  SELECT userId, max(elapsed_days) AS age, avg(elapsed_days) AS avg_age, label
-  FROM clean JOIN churn USING (userId) GROUP BY userId, label
+  SELECT userId, max(elapsed_days) AS age, avg(elapsed_days) AS avg_age,
+    CAST(count(*) FILTER (page = 'Cancellation Confirmation') > 0 AS INTEGER) AS label
+  FROM clean GROUP BY userId
 )"""
 ACTIVITY = """
 daily AS (
@@ -133,16 +134,17 @@ report AS (
     stddev_samp(others) AS std_page_interactions
   FROM daily JOIN churn USING (userId) GROUP BY elapsed_days, label
 )"""
+VISITS = """
+visits AS (
+  SELECT userId, sessionId, min(elapsed_days) AS first_day, count(*) AS events, count(page) AS pages,
+    count(DISTINCT artist) AS artists, avg(length) AS mean_length, (max(ts) - min(ts)) / 1000 AS seconds
+  FROM clean GROUP BY userId, sessionId
+)"""
 SESSIONS = """
 report AS (
-  SELECT activity_time, label, count(*) AS sessions, avg(interactions) AS interactions,
-    avg(session_time) AS session_time
-  FROM (
-    SELECT userId, sessionId, count(*) AS interactions, min(elapsed_days) AS activity_time,
-      (max(ts) - min(ts)) / 1000 AS session_time
-    FROM clean GROUP BY userId, sessionId
-  ) JOIN churn USING (userId)
-  GROUP BY activity_time, label
+  SELECT first_day AS activity_time, label, count(*) AS sessions, avg(events) AS interactions,
+    avg(seconds) AS session_time
+  FROM visits JOIN churn USING (userId) GROUP BY first_day, label
 )"""
 
 
@@ -201,11 +203,13 @@ class PeriodBlocks:
 
     def pages(self) -> tuple[str, str, list[str]]:
         cte = f"""
+page_rows_{self.name} AS (
+  SELECT userId, page, count(*) AS n FROM {self.source}
+  WHERE page NOT IN ('Cancel', 'Cancellation Confirmation') GROUP BY ALL
+),
+page_totals_{self.name} AS (SELECT userId, sum(n) AS total FROM page_rows_{self.name} GROUP BY userId),
 pages_{self.name} AS (
-  SELECT userId, page, count(page) AS n, count(page) / sum(count(page)) OVER (PARTITION BY userId) AS part
-  FROM {self.source}
-  WHERE page IS NOT NULL AND page NOT IN ('Cancel', 'Cancellation Confirmation')
-  GROUP BY userId, page
+  SELECT userId, page, n, n / total AS part FROM page_rows_{self.name} JOIN page_totals_{self.name} USING (userId)
 )"""
         return cte, f"pages_{self.name}", [f"'{p}'" for p in PAGES]
 
@@ -228,9 +232,10 @@ pages_{self.name} AS (
 
     def level_share(self) -> tuple[str, str]:
         cte = f"""
+level_totals_{self.name} AS (SELECT userId, count(level) AS total FROM {self.source} GROUP BY userId),
 levels_{self.name} AS (
-  SELECT userId, level, count(level) / sum(count(level)) OVER (PARTITION BY userId) AS part
-  FROM {self.source} WHERE level IS NOT NULL GROUP BY userId, level
+  SELECT userId, level, count(*) / any_value(total) AS part
+  FROM {self.source} JOIN level_totals_{self.name} USING (userId) WHERE level IS NOT NULL GROUP BY ALL
 )"""
         columns = _columns(
             (f"level_pct_{self.name}_{v}", f"round(coalesce(sum(part) FILTER (level = '{v}'), 0) + 1e-9, 6)")
@@ -295,21 +300,16 @@ def _block(block: tuple[str, str], last_week: bool = False) -> str:
 AGE = "SELECT userId, max(elapsed_days) AS age, round(avg(elapsed_days) + 1e-9, 6) AS avg_age FROM clean GROUP BY userId"
 
 SESSION_MEASURES = (
-    ("pages_accessed", "avg_pages_accessed", "std_pages_accessed"),
-    ("count_artists", "avg_count_artists", "std_count_artists"),
-    ("song_length", "avg_song_length", "std_song_length"),
-    ("session_time", "avg_session_time", "std_session_time"),
+    ("pages", "avg_pages_accessed", "std_pages_accessed"),
+    ("artists", "avg_count_artists", "std_count_artists"),
+    ("mean_length", "avg_song_length", "std_song_length"),
+    ("seconds", "avg_session_time", "std_session_time"),
 )
-SESSION_FEATURES = """
-per_session AS (
-  SELECT userId, sessionId, count(page) AS pages_accessed, count(DISTINCT artist) AS count_artists,
-    avg(length) AS song_length, (max(ts) - min(ts)) / 1000 AS session_time
-  FROM clean GROUP BY userId, sessionId
-),
+SESSION_FEATURES = (VISITS + """,
 session_table AS (
   SELECT userId, count(*) AS sessions_count, {columns}
-  FROM per_session GROUP BY userId
-)""".format(
+  FROM visits GROUP BY userId
+)""").format(
     columns=_columns(
         [(f"sessions_{avg}", f"coalesce(avg({m}), 0)") for m, avg, _ in SESSION_MEASURES]
         + [(f"sessions_{std}", f"coalesce(stddev_samp({m}), 0)") for m, _, std in SESSION_MEASURES]
@@ -336,11 +336,11 @@ def _scaled() -> str:
 
 def _ratings(name: str, source: str) -> str:
     return f"""
-{name} AS (
-  SELECT userId, artist,
-    count(song) / nullif(max(count(song)) OVER (PARTITION BY userId), 0) AS rating
-  FROM {source} WHERE artist IS NOT NULL GROUP BY userId, artist
-)"""
+{name}_plays AS (
+  SELECT userId, artist, count(song) AS plays FROM {source} WHERE artist IS NOT NULL GROUP BY ALL
+),
+{name}_most AS (SELECT userId, nullif(max(plays), 0) AS most FROM {name}_plays GROUP BY userId),
+{name} AS (SELECT userId, artist, plays / most AS rating FROM {name}_plays JOIN {name}_most USING (userId))"""
 
 
 RATINGS = _ratings("ratings", "clean")
@@ -551,19 +551,19 @@ FROM clean"""
     "last_activity_chart": sql(_date_chart(LAST_ACTIVE, "ts"), CHURN),
     "mean_age_by_day": sql(_long("ts", ["users"], ["age"]), CHURN, MEAN_AGE),
     "mean_age_chart": sql(_wide("ts", ["users"], ["age"]), CHURN, MEAN_AGE),
-    "user_age": sql("SELECT userId, age, round(avg_age + 1e-9, 6) AS avg_age, label FROM report", CHURN, USER_AGE),
-    "churned_user_ages": sql("SELECT age FROM report WHERE label = 1", CHURN, USER_AGE),
-    "age_histogram": sql(_histogram("age"), CHURN, USER_AGE),
-    "mean_age_histogram": sql(_histogram("avg_age"), CHURN, USER_AGE),
+    "user_age": sql("SELECT userId, age, round(avg_age + 1e-9, 6) AS avg_age, label FROM report", USER_AGE),
+    "churned_user_ages": sql("SELECT age FROM report WHERE label = 1", USER_AGE),
+    "age_histogram": sql(_histogram("age"), USER_AGE),
+    "mean_age_histogram": sql(_histogram("avg_age"), USER_AGE),
     "activity_by_age_day": sql(
         _long("user_age_when_played", ACTIVITY_COUNTS, ACTIVITY_MEASURES), CHURN, ACTIVITY
     ),
     "activity_chart": sql(_wide("user_age_when_played", ACTIVITY_COUNTS, ACTIVITY_MEASURES), CHURN, ACTIVITY),
     "sessions_by_day": sql(
-        _long("activity_time", ["sessions"], ["interactions", "session_time"]), CHURN, SESSIONS
+        _long("activity_time", ["sessions"], ["interactions", "session_time"]), CHURN, VISITS, SESSIONS
     ),
     "sessions_chart": sql(
-        _wide("activity_time", ["sessions"], ["interactions", "session_time"]), CHURN, SESSIONS
+        _wide("activity_time", ["sessions"], ["interactions", "session_time"]), CHURN, VISITS, SESSIONS
     ),
     "page_share": _block(WHOLE.page_share()),
     "page_share_last_week": _block(LAST_WEEK.page_share(), True),
