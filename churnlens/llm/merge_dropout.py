@@ -146,15 +146,22 @@ class Pieces:
         small_batches(spark)
         shared = spark.sparkContext.broadcast(read_model(model))  # the vocabulary: a fixed size
 
+        def id_lists(values: list[np.ndarray]) -> pa.Array:
+            sizes = np.cumsum([0, *map(len, values)]).astype(np.int32)
+            flat = np.concatenate(values) if values else np.zeros(0, np.int32)
+            return pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat, pa.int32()))
+
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
-            codec, sizes, values = _codec(shared, dropout, seed, variants), [0], []
-            for text, key in zip(texts.cast(pa.binary()), keys.to_pylist()):
-                ids = codec.encode(text.as_py() or b"", key % 2**63)
-                values.append(ids)
-                sizes.append(sizes[-1] + len(ids))
-            flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-            return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
+            codec, plain = _codec(shared, dropout, seed, variants), texts.cast(pa.binary()).to_pylist()
+            return id_lists([codec.encode(t or b"", k % 2**63) for t, k in zip(plain, keys.to_pylist())])
+
+        @F.arrow_udf("struct<piece_ids: array<int>, lossless: boolean>")
+        def round_trip(texts: pa.Array, keys: pa.Array) -> pa.Array:
+            codec, plain = _codec(shared, dropout, seed, variants), texts.cast(pa.binary()).to_pylist()
+            values = [codec.encode(t or b"", k % 2**63) for t, k in zip(plain, keys.to_pylist())]
+            same = pa.array([codec.decode(ids) == (t or b"") for t, ids in zip(plain, values)], pa.bool_())
+            return pa.StructArray.from_arrays([id_lists(values), same], ["piece_ids", "lossless"])
 
         @F.arrow_udf("string")
         def decode(ids: pa.Array) -> pa.Array:
@@ -162,7 +169,7 @@ class Pieces:
             rows = (codec.decode(row.values.to_numpy()) if row.is_valid else None for row in ids)
             return pa.array(rows, pa.binary()).cast(pa.string())
 
-        self._encode, self._decode = encode, decode
+        self._encode, self._decode, self._round_trip = encode, decode, round_trip
 
     def encode(self, text: Column, key: Column) -> Column:
         """Piece ids; none for a null or empty text. ``key`` is hashed, of any type."""
@@ -171,6 +178,11 @@ class Pieces:
     def decode(self, ids: Column) -> Column:
         return self._decode(ids)
 
+    def round_trip(self, text: Column, key: Column) -> Column:
+        """``piece_ids``, and ``lossless``: whether they decode to the text (null: empty).
+        One call for both: columns that share an encoding would each work it out."""
+        return self._round_trip(text, F.xxhash64(key))
+
 
 def encoded(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with ``piece_ids`` and ``lossless``: whether the ids decode to the text.
@@ -182,7 +194,6 @@ def encoded(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     one is left.
     """
     pieces = Pieces(docs.sparkSession, **options)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    both = pieces.round_trip(F.col(text_col), F.col(id_col))
     plain = docs.drop("piece_ids", "lossless")
-    with_ids = plain.withColumn("piece_ids", pieces.encode(text, F.col(id_col)))
-    return with_ids.withColumn("lossless", pieces.decode(F.col("piece_ids")) == text)
+    return plain.withColumns({"piece_ids": both["piece_ids"], "lossless": both["lossless"]})
