@@ -10,6 +10,7 @@ of them decode to the same text.
 from __future__ import annotations
 
 import re
+from array import array
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -45,7 +46,7 @@ class Codec:
 
     def __init__(self, pieces, dropout: float, seed: int, variants: int) -> None:
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == "normal"}
-        self.scores = {p: s for p, s, kind in pieces if kind == "normal"}
+        self.ranks = {p: -s for p, s, kind in pieces if kind == "normal"}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == "byte"}
         if len(self.bytes) < 256:
             raise ValueError("the model has no byte pieces: what it doesn't know could not be decoded")
@@ -59,42 +60,42 @@ class Codec:
         self.known: list[dict[bytes, bytes]] = [{} for _ in range(variants)]
 
     def _segment(self, segment: bytes, variant: int) -> list[int]:
+        text, ranks, ids = segment.decode("utf-8", "replace"), self.ranks, self.ids
         # A literal U+2581 would decode to a space; it goes as bytes, like unknown characters.
-        parts: list[str | None] = [SPACE if c == " " else c for c in segment.decode("utf-8", "replace")]
-        literal = [c == SPACE for c in segment.decode("utf-8", "replace")]
+        apart = {i for i, c in enumerate(text) if c == SPACE} if SPACE in text else ()
+        parts = list(text.replace(" ", SPACE))
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        scores = self.scores
-
-        def candidate(left: int, right: int):
-            merged = parts[left] + parts[right]
-            return (-scores[merged], left, right, merged) if merged in scores else None
-
-        agenda = [
-            c for i in range(len(parts) - 1) if not (literal[i] or literal[i + 1]) and (c := candidate(i, i + 1))
-        ]
+        agenda = []
+        for left in range(len(parts) - 1):
+            merged = parts[left] + parts[left + 1]
+            if merged in ranks and left not in apart and left + 1 not in apart:
+                agenda.append((ranks[merged], left, left + 1, merged))
         heapify(agenda)
-        key = self.seed * 1_000_003 + variant
+        key, limit, digest, end = self.seed * 1_000_003 + variant, self.limit, xxhash.xxh64_intdigest, len(parts)
         while agenda:
             _, left, right, merged = heappop(agenda)
-            if parts[left] is None or parts[right] is None or after[left] != right or parts[left] + parts[right] != merged:
+            # The sides lie next to each other, so equal lengths mean equal pieces.
+            if after[left] != right or not parts[left] or len(parts[left]) + len(parts[right]) != len(merged):
                 continue  # one side was merged meanwhile
-            if self.limit and xxhash.xxh64_intdigest(f"{left} {merged}", key) < self.limit:
+            if limit and digest(f"{left} {merged}", key) < limit:
                 continue
-            parts[left], parts[right] = merged, None
-            after[left] = after[right]
-            if after[left] < len(parts):
-                before[after[left]] = left
-                if not literal[after[left]] and (c := candidate(left, after[left])):
-                    heappush(agenda, c)
-            if before[left] >= 0 and not literal[before[left]] and (c := candidate(before[left], left)):
-                heappush(agenda, c)
+            parts[left], parts[right] = merged, ""
+            right, back = after[right], before[left]
+            after[left] = right
+            if right < end:
+                before[right] = left
+                wider = merged + parts[right]
+                if wider in ranks and right not in apart:
+                    heappush(agenda, (ranks[wider], left, right, wider))
+            if back >= 0:
+                wider = parts[back] + merged
+                if wider in ranks and back not in apart:
+                    heappush(agenda, (ranks[wider], back, left, wider))
         out: list[int] = []
-        for part, raw in zip(parts, literal):
-            if part is None:
-                continue
-            if not raw and part in self.ids:
-                out.append(self.ids[part])
-            else:
+        for place, part in enumerate(parts):
+            if part in ids and place not in apart:
+                out.append(ids[part])
+            elif part:
                 out += [self.bytes[b] for b in part.encode()]
         return out
 
@@ -106,16 +107,16 @@ class Codec:
         segments = _SEGMENTS.findall(b" " + text)
         turn = (np.arange(len(segments), dtype=np.uint64) + np.uint64(key)) * np.uint64(0x9E3779B97F4A7C15)
         variants = ((turn >> np.uint64(40)) % np.uint64(self.variants)).tolist()
-        out, known = [], self.known
-        for segment, variant in zip(segments, variants):
-            found = known[variant].get(segment)
+        known = self.known
+        out = [known[variant].get(segment) for segment, variant in zip(segments, variants)]
+        for place, found in enumerate(out):
             if found is None:
-                found = np.array(self._segment(segment, variant), np.int32).tobytes()
+                segment, variant = segments[place], variants[place]
+                out[place] = found = array("i", self._segment(segment, variant)).tobytes()
                 if len(segment) <= 64:
                     if len(known[variant]) >= _KNOWN_SEGMENTS:
                         known[variant].clear()
                     known[variant][segment] = found
-            out.append(found)
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
