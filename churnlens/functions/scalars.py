@@ -55,8 +55,18 @@ def name_part(value: object) -> str:
 
 
 def name_parts(values: Iterable[object]) -> dict[object, str]:
-    """Column name parts of distinct values, refusing values that would collide."""
-    parts = {value: name_part(value) for value in values}
-    if len(set(parts.values())) < len(parts):
-        raise ValueError(f"values share a column name: {sorted(map(str, parts))}")
-    return parts
+    """Column name parts of distinct values. Of values that would share a name (Spark's
+    names ignore case), the first in order keeps it and the others are numbered."""
+    values = list(dict.fromkeys(values))
+    taken, parts = {name_part(v).lower() for v in values}, {}
+    first: set[str] = set()
+    for value in sorted(values, key=str):
+        part, number = name_part(value), 2
+        if part.lower() in first:
+            while f"{part}_{number}".lower() in taken:
+                number += 1
+            part = f"{part}_{number}"
+        first.add(part.lower())
+        taken.add(part.lower())
+        parts[value] = part
+    return {value: parts[value] for value in values}

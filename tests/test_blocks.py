@@ -3,6 +3,7 @@ import statistics
 import pytest
 
 from churnlens.constants import HOURS
+from churnlens.functions.scalars import name_parts
 from churnlens.operators.assemble import join_tables, prefix_columns
 from churnlens.operators.blocks import (
     ALL,
@@ -136,9 +137,11 @@ def test_values_are_discovered_and_bounded(spark):
         spark.conf.unset("spark.sql.pivotMaxValues")
 
 
-def test_colliding_names_are_refused():
-    with pytest.raises(ValueError, match="share a column name"):
-        page_counts(["Thumbs Up", "Thumbs_Up"])
+def test_colliding_names_are_numbered():
+    assert name_parts(["Log-in", "Log in", "log in", "Log_in_2"]) == {
+        "Log in": "Log_in", "Log-in": "Log_in_3", "log in": "log_in_4", "Log_in_2": "Log_in_2"
+    }
+    assert name_parts(["Home", "Thumbs Up"]) == {"Home": "Home", "Thumbs Up": "Thumbs_Up"}
 
 
 def test_prefix_and_join(spark):
