@@ -5,24 +5,32 @@ up to six symbols are counted over all training texts; a context stays in the tr
 its next-symbol distribution diverges enough from that of its suffix. Distributions
 are smoothed along the suffixes, and each symbol is scored in the longest suffix that
 is in the tree.
+
+The tree grows with the corpus, so it never has to fit anywhere whole. It is cut by the
+nearest symbols of its contexts into parts of a bounded size; each part is broadcast in a
+pass of its own and scores the symbols that follow its contexts.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.language_id import id_remainder
 from churnlens.llm.tables import map_batches
+from churnlens.operators.lookup import lookup
 from churnlens.operators.materialise import materialise
 
 DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
-MAX_STATES = 150_000
+PASS_STATES = 200_000  # contexts of the tree that one pass over the texts holds in memory
+NEAREST = 3  # symbols before a place that decide its pass
 HOT_SHARE = 500_000  # words with at least one in so many tokens are looked up in memory
 _BITS, _END, _OTHER = 6, 0, 63
 _ALPHABET = 1 << _BITS
@@ -121,8 +129,8 @@ def context_levels(grams: DataFrame, depth: int) -> list[DataFrame]:
     return levels
 
 
-def divergent_contexts(levels: list[DataFrame], divergence: float, max_states: int) -> DataFrame:
-    """``size``, ``context`` of the tree: contexts whose distribution saves at least
+def divergent_contexts(levels: list[DataFrame], divergence: float) -> DataFrame:
+    """``size``, ``context`` of the tree: all contexts whose distribution saves at least
     ``divergence`` nats per next symbol against their suffix's, and their suffixes."""
     found = None
     for size in range(1, len(levels)):
@@ -145,12 +153,10 @@ def divergent_contexts(levels: list[DataFrame], divergence: float, max_states: i
             "gain", F.col("saved") + F.col("total") * F.log(F.col("total_short") / F.col("total"))
         )
         gains = gains.where(F.col("gain") >= divergence * F.col("types"))
-        gains = gains.select(F.lit(size).alias("size"), "context", "gain")
+        gains = gains.select(F.lit(size).alias("size"), "context")
         found = gains if found is None else found.unionByName(gains)
-    # The size of the model is a parameter; beyond it the contexts that save least are left out.
-    best = found.orderBy(F.desc("gain"), "size", "context").limit(max_states)
     sizes = F.explode(F.sequence(F.lit(1), F.col("size"))).alias("kept")
-    shorter = best.select(sizes, "context").select(
+    shorter = found.select(sizes, "context").select(
         F.col("kept").alias("size"),
         F.expr(f"context & (shiftleft(1L, {_BITS} * kept) - 1)").alias("context"),
     )
@@ -161,12 +167,13 @@ class Tree:
     """Nodes by context, read backwards from the symbol; log10 of the next symbols."""
 
     def __init__(
-        self, rows: Iterable[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int, states: int
+        self, rows: list[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int, states: int
     ) -> None:
         """``rows``: for each context size the gram keys and counts of the tree's contexts,
         which are ``states`` with the empty one."""
         self.depth = depth
-        self.children = np.full((states, _ALPHABET), -1, np.int32)
+        deepest = len(np.unique(rows[depth][0] >> _BITS))  # these have no children
+        self.children = np.full((max(states - deepest, 1), _ALPHABET), -1, np.int32)
         self.logs = np.zeros((states, _ALPHABET), np.float32)
         above, before, base = np.zeros(0, np.int64), 0, 0
         for size, (keys, counts) in enumerate(rows):
@@ -244,21 +251,92 @@ def gram_counts(texts: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
     return partial.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def build_tree(grams: DataFrame, table: np.ndarray, *, depth: int, divergence: float, max_states: int) -> Tree:
-    """The tree on the driver: at most ``max_states`` contexts and their suffixes."""
-    levels = context_levels(materialise(grams), depth)
-    kept = materialise(divergent_contexts(levels, divergence, max_states))
+def tree_grams(levels: list[DataFrame], kept: DataFrame, nearest: int) -> DataFrame:
+    """``size``, ``key``, ``n`` of the grams of the tree's contexts, and ``near``: the
+    nearest symbols of a context that has so many, else null."""
+    parts = []
+    for size, level in enumerate(levels):
+        if size:
+            of_size = kept.where(F.col("size") == size).select("context")
+            keyed = level.withColumn("context", F.shiftright("key", _BITS))
+            level = keyed.join(of_size, "context", "left_semi")
+        near = F.shiftright("key", _BITS).bitwiseAND(F.lit((1 << _BITS * nearest) - 1))
+        near = near if size >= nearest else F.lit(None).cast("long")
+        parts.append(level.select(F.lit(size).alias("size"), "key", "n", near.alias("near")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def pass_ranges(kept: DataFrame, nearest: int, states: int) -> list[tuple[int, int, int]]:
+    """``(low, high, contexts)`` of each pass: it has the contexts whose nearest symbols are
+    in the range, about ``states`` of them. The driver sees a count for each combination of
+    the nearest symbols, so at most 64 ** ``nearest`` of them."""
+    near = F.col("context").bitwiseAND(F.lit((1 << _BITS * nearest) - 1))
+    long = kept.where(F.col("size") >= nearest).groupBy(near.alias("near")).agg(F.count(F.lit(1)).alias("n"))
+    counts = long.toArrow().sort_by("near")
+    nears, sizes = counts["near"].to_numpy(), counts["n"].to_numpy()
+    turn = (np.cumsum(sizes) - sizes) // states
+    heads = np.flatnonzero(turn[1:] != turn[:-1]) + 1
+    bounds = [0, *nears[heads].tolist(), 1 << _BITS * nearest]
+    held = [int(part.sum()) for part in np.split(sizes, heads)]
+    return list(zip(bounds, bounds[1:], held))
+
+
+def part_of_tree(grams: DataFrame, low: int, high: int, depth: int, unlisted: int, states: int) -> Tree:
+    """The short contexts, and those whose nearest symbols are in the range."""
+    mine = F.col("near").isNull() | ((F.col("near") >= low) & (F.col("near") < high))
+    found = grams.where(mine).select("size", "key", "n").toArrow()
+    sizes, keys, counts = (found[c].to_numpy() for c in ("size", "key", "n"))
+    rows = [(keys[sizes == size], counts[sizes == size]) for size in range(depth + 1)]
+    return Tree(rows, depth, unlisted, states)
+
+
+def part_scores(texts: DataFrame, tree: Broadcast, table: np.ndarray, depth: int, nearest: int, span: tuple) -> DataFrame:
+    """``text_key``, ``part``: log10 of the symbols of each text that this part of the tree scores."""
+    low, high = span
+
+    def score(batches):
+        model = tree.value
+        for batch in batches:
+            symbols, starts, sizes = stream([_words(t) for t in batch["text"]], table, depth)
+            parts = []
+            for at in places(starts, sizes):
+                near, values = gram_keys(symbols, at - 1, nearest - 1), np.zeros(len(at))
+                mine = np.flatnonzero((near >= low) & (near < high))
+                values[mine] = model.scores(symbols, at[mine])
+                parts.append(values)
+            whole = np.concatenate(parts) if parts else np.zeros(0)
+            heads = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
+            sums = np.add.reduceat(whole, heads) if len(sizes) else np.zeros(0)
+            yield {"text_key": batch["text_key"], "part": sums.tolist()}
+
+    return map_batches(texts, {"text_key": "binary", "text": "binary"}, score, "text_key binary, part double")
+
 
-    def rows() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for size, level in enumerate(levels):
-            if size:
-                of_size = kept.where(F.col("size") == size).select("context")
-                keyed = level.withColumn("context", F.shiftright("key", _BITS))
-                level = keyed.join(of_size, "context", "left_semi").select("key", "n")
-            found = level.toArrow()
-            yield found["key"].to_numpy(), found["n"].to_numpy()
+def tree_scores(
+    texts: DataFrame, training: DataFrame, table: np.ndarray, *, depth: int, divergence: float, pass_states: int
+) -> DataFrame:
+    """``text_key``, ``score``, ``n``: one row for each distinct key of ``texts``, and its rows.
 
-    return Tree(rows(), depth, int((table == _OTHER).sum()), kept.count() + 1)
+    Each pass writes its part of every text's score. Rows that repeat a key have equal texts,
+    so the mean of a key's parts, times the passes, is the score of each.
+    """
+    nearest = min(NEAREST, depth)
+    levels = context_levels(materialise(gram_counts(training, table, depth)), depth)
+    kept = materialise(divergent_contexts(levels, divergence))
+    grams = materialise(tree_grams(levels, kept, nearest))
+    short = kept.where(F.col("size") < nearest).count() + 1
+    unlisted, spans = int((table == _OTHER).sum()), pass_ranges(kept, nearest, pass_states)
+    parts = []
+    for low, high, states in spans:
+        tree = texts.sparkSession.sparkContext.broadcast(
+            part_of_tree(grams, low, high, depth, unlisted, short + states)
+        )
+        parts.append(materialise(part_scores(texts, tree, table, depth, nearest, (low, high))))
+        tree.destroy()
+    scores = reduce(DataFrame.union, parts).groupBy("text_key")
+    scores = scores.agg(F.avg("part").alias("part"), F.count(F.lit(1)).alias("n"))
+    passes = len(spans)
+    return scores.select("text_key", (F.col("part") * passes).alias("score"), (F.col("n") / passes).cast("long").alias("n"))
 
 
 def score_texts(
@@ -267,7 +345,7 @@ def score_texts(
     held_out: Column | None = None,
     depth: int = DEPTH,
     divergence: float = DIVERGENCE,
-    max_states: int = MAX_STATES,
+    pass_states: int = PASS_STATES,
     hot_share: int = HOT_SHARE,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -282,12 +360,21 @@ def score_texts(
     zero and the tree is uniform. A null id counts as an empty text for the split.
     Repeated rows get equal rows; other columns aren't looked at.
 
+    The tree has every context that passes the divergence test. ``pass_states`` only says how
+    much of it is in memory at a time, and so how often the texts are read; the scores don't
+    depend on it (beyond rounding).
+
     Words with one in ``hot_share`` tokens or more (so at most that many words) are looked up
     in memory; only the rarer ones are joined, which no word can skew.
     """
     held = held_out if held_out is not None else id_remainder(id_col, 10) == 0
     kind = dict(docs.dtypes)[id_col]
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held_out"))
+    text = F.col(text_col)
+    # What a text is known by from pass to pass: the passes may split the table in different ways.
+    key = F.concat_ws("\n", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+    texts = docs.select(
+        F.col(id_col).alias("id"), text.alias("text"), held.alias("held_out"), F.unhex(F.md5(key)).alias("text_key")
+    )
     training = texts.where(~F.col("held_out"))
 
     partial = materialise(word_and_byte_counts(training.select("text")))
@@ -301,21 +388,21 @@ def score_texts(
     by_byte = partial.where("byte IS NOT NULL").groupBy("byte").agg(F.sum("n").alias("n")).collect()
     table = symbol_table({r["byte"]: r["n"] for r in by_byte})
 
-    grams = gram_counts(training.select("text"), table, depth)
-    spark = docs.sparkSession
-    tree = spark.sparkContext.broadcast(
-        build_tree(grams, table, depth=depth, divergence=divergence, max_states=max_states)
+    by_tree = materialise(
+        tree_scores(
+            texts, training.select("text"), table, depth=depth, divergence=divergence, pass_states=pass_states
+        )
     )
     hot = vocabulary.where(F.col("c") * hot_share >= total).toArrow()
     logs = np.log10((hot["c"].to_numpy() + 0.1) / floor).tolist()
-    common = spark.sparkContext.broadcast(dict(zip(hot["word"].to_pylist(), logs)))
+    common = docs.sparkSession.sparkContext.broadcast(dict(zip(hot["word"].to_pylist(), logs)))
     end = float(np.log10((n_ends + 0.1) / floor))
 
     def score(batches):
-        model, known = tree.value, common.value
+        known = common.value
         for batch in batches:
             words = [_words(t) for t in batch["text"]]
-            out = {"id": batch["id"], "held_out": batch["held_out"], "n_tokens": [len(w) + 1 for w in words]}
+            out = {c: batch[c] for c in ("id", "held_out", "text_key")} | {"n_tokens": [len(w) + 1 for w in words]}
             hot_sums, hot_counts, rare, times = [], [], [], []
             for own in words:
                 found = [known.get(w) for w in own]
@@ -324,20 +411,13 @@ def score_texts(
                 hot_counts.append(len(own) - sum(left.values()) + (n_ends > 0))
                 rare.append(list(left))
                 times.append(list(left.values()))
-            symbols, starts, sizes = stream(words, table, depth)
-            parts = [model.scores(symbols, at) for at in places(starts, sizes)]
-            whole = np.concatenate(parts).astype(float) if parts else np.zeros(0)
-            heads = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
-            sums = np.add.reduceat(whole, heads) if len(sizes) else np.zeros(0)
-            yield out | {
-                "hot_sum": hot_sums, "hot_count": hot_counts, "score": sums.tolist(), "rare": rare, "times": times
-            }
+            yield out | {"hot_sum": hot_sums, "hot_count": hot_counts, "rare": rare, "times": times}
 
     schema = (
-        f"id {kind}, held_out boolean, n_tokens bigint, hot_sum double, hot_count bigint, score double,"
+        f"id {kind}, held_out boolean, text_key binary, n_tokens bigint, hot_sum double, hot_count bigint,"
         " rare array<binary>, times array<int>"
     )
-    kinds = {"id": kind, "text": "binary", "held_out": "boolean"}
+    kinds = {"id": kind, "text": "binary", "held_out": "boolean", "text_key": "binary"}
     scored = map_batches(texts, kinds, score, schema).withColumn("row", F.monotonically_increasing_id())
     scored = materialise(scored)
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
@@ -349,6 +429,7 @@ def score_texts(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_count"),
     )
     joined = scored.drop("rare", "times").join(sums, "row", "left")
+    joined = lookup(joined, by_tree, "text_key", weight="n")
     return joined.select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("hot_count") + F.coalesce("rare_count", F.lit(0))).alias("n_known"),
