@@ -567,10 +567,12 @@ FROM clean"""
     ),
     "page_share": _block(WHOLE.page_share()),
     "page_share_last_week": _block(LAST_WEEK.page_share(), True),
+    "page_share_found": _block(WHOLE.page_share()),
     "page_counts": _block(WHOLE.page_counts()),
     "page_counts_last_week": _block(LAST_WEEK.page_counts(), True),
     "level_share": _block(WHOLE.level_share()),
     "level_share_last_week": _block(LAST_WEEK.level_share(), True),
+    "level_share_found": _block(WHOLE.level_share()),
     "length_stats": _block(WHOLE.length_stats()),
     "length_stats_last_week": _block(LAST_WEEK.length_stats(), True),
     "hourly_counts": _block(WHOLE.hourly_counts()),
@@ -606,6 +608,7 @@ FROM ratings r LEFT JOIN recent_ratings l USING (userId, artist)""",
     "hash_split": sql(
         f"SELECT userId, label, CASE WHEN {HASHED} < 0.75 THEN 'training' ELSE 'test' END AS part FROM churn", CHURN
     ),
+    "random_split": sql("SELECT userId, label, CAST(1 AS BIGINT) AS times FROM churn", CHURN),
     "confusion_matrix": CONFUSION.strip(),
     "classification_report": REPORT,
     "weighted_f1": f"WITH {JUDGED}\nSELECT round({F1} + 1e-9, 6) AS f1 FROM metrics",

@@ -6,13 +6,13 @@ engines do not add them up in the same order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.constants import ALS_RANK, DERIVED_COLUMNS, EVENT_COLUMNS
+from churnlens.constants import ALS_RANK, CANCEL_PAGES, DERIVED_COLUMNS, EVENT_COLUMNS
 from churnlens.operators import assemble, blocks, clean, evaluate, index, labels, models, ratings, reports, slices
 from churnlens.operators.materialise import materialise
 from churnlens.plans.features import ARTIST_INDEX, USER_INDEX, both_periods, feature_columns, feature_events, whole_period
@@ -225,6 +225,17 @@ def _block(build: Callable[..., blocks.Block], *args: object, period: blocks.Per
     return query
 
 
+def _found_block(build: Callable[..., blocks.Block], column: str, excluded: Sequence[str] = ()) -> Query:
+    """A block over the values that the events turn out to have."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = cleaned(spark, sf_dir)
+        values = blocks.discover_values(events, column, excluded)
+        return rounded(blocks.user_table(events, [build(values)]))
+
+    return query
+
+
 def prefixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.prefix_columns(first_gender(spark, sf_dir), "first")
 
@@ -322,7 +333,9 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parts(models.random_split(churn_label(spark, sf_dir)))
+    """How often each user is in a part: once, whatever parts the engine draws."""
+    parts = _parts(models.random_split(churn_label(spark, sf_dir)))
+    return parts.groupBy("userId", "label").agg(F.count("part").alias("times"))
 
 
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,10 +437,12 @@ QUERIES: dict[str, Query] = {
     "sessions_chart": sessions_chart,
     "page_share": _block(blocks.page_share, PAGES, period=blocks.ALL),
     "page_share_last_week": _block(blocks.page_share, PAGES, period=blocks.LAST_WEEK),
+    "page_share_found": _found_block(blocks.page_share, "page", CANCEL_PAGES),
     "page_counts": _block(blocks.page_counts, PAGES, period=blocks.ALL),
     "page_counts_last_week": _block(blocks.page_counts, PAGES, period=blocks.LAST_WEEK),
     "level_share": _block(blocks.level_share, LEVELS, period=blocks.ALL),
     "level_share_last_week": _block(blocks.level_share, LEVELS, period=blocks.LAST_WEEK),
+    "level_share_found": _found_block(blocks.level_share, "level"),
     "length_stats": _block(blocks.length_stats, period=blocks.ALL),
     "length_stats_last_week": _block(blocks.length_stats, period=blocks.LAST_WEEK),
     "hourly_counts": _block(blocks.hourly_counts, period=blocks.ALL),
