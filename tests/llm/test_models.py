@@ -186,7 +186,7 @@ def test_scores_do_not_depend_on_the_passes(spark, corpus):
     texts = table(spark, [*ODD, *corpus, corpus[0]])
     repeated = texts.union(texts.limit(7))
     one = sorted(map(tuple, score_texts(repeated, divergence=0.1).select("doc_id", "score").collect()))
-    many = score_texts(repeated, divergence=0.1, pass_states=50).select("doc_id", "score").collect()
+    many = score_texts(repeated, divergence=0.1, pass_states=400).select("doc_id", "score").collect()
     assert [r[0] for r in one] == [r[0] for r in sorted(many)]
     assert np.allclose([r[1] for r in one], [r[1] for r in sorted(many)])
 
