@@ -11,14 +11,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.tables import map_batches
+from churnlens.llm.tables import map_batches, small_batches
 from churnlens.operators.materialise import materialise
 
 SEGMENT = 64
 HIDDEN = 8
+NOISE = "noise"
+NOISE_SHARE = 0.7  # of a text's bytes; clean documents of the test tables reach 0.16
 _ROWS = 2048  # segments that are worked on at once
 
 
@@ -49,6 +52,7 @@ class Network:
         rng = np.random.default_rng(seed)
         draw = lambda *shape, scale: rng.normal(0, scale, shape).astype(np.float32)
         self.languages, self.hidden = languages, hidden
+        self.known = np.zeros(256, bool)  # bytes of the labelled texts it was fitted on
         self.weights = {"out": draw(2 * hidden, len(languages), scale=0.3), "bias": np.zeros(len(languages), np.float32)}
         for way in ("ahead", "back"):
             # Gates in the order update, reset, candidate; the input weights hold the biases.
@@ -146,6 +150,18 @@ class Network:
         return np.add.reduceat(sums, starts, axis=0) / lengths[:, None]
 
 
+    def noise(self, texts: list[bytes]) -> np.ndarray:
+        """Share of each text's bytes that the last class holds; bytes that no labelled text
+        had count as held by none, as nothing was learnt of them."""
+        data, sizes, starts = cut_segments(texts)
+        sums = np.zeros(len(data))
+        for at in range(0, len(data), _ROWS):
+            part, size = data[at : at + _ROWS], sizes[at : at + _ROWS]
+            valid = (np.arange(part.shape[1]) < size[:, None]).astype(np.float32)
+            sums[at : at + _ROWS] = np.einsum("tr,rt->r", self.labels(part, valid)[:, :, -1], valid * self.known[part])
+        return np.add.reduceat(sums, starts) / np.array([len(t) for t in texts])
+
+
 # The operator -----------------------------------------------------------------
 
 
@@ -180,6 +196,20 @@ def training_sample(
     return [(lang, piece.encode()[:segment]) for lang, piece in sorted(cut.collect())]
 
 
+def noise_pieces(pieces: list[bytes], count: int, *, segment: int = SEGMENT, seed: int = 3) -> list[bytes]:
+    """Texts in no language: letters of the pieces, each as likely as any other, in words of
+    random lengths (a third in one word without an end, a third with capitals)."""
+    letters = sorted({c for p in pieces for c in p.decode(errors="ignore") if c.isalpha()})
+    small = sorted({c for c in letters if c.lower() == c}) or letters
+    rng, found = np.random.default_rng(seed), []
+    for i in range(count if letters else 0):
+        drawn = rng.choice(letters if i % 3 == 0 else small, segment)
+        if i % 3 != 1:
+            drawn[rng.random(segment) < rng.uniform(0.05, 0.3)] = " "
+        found.append("".join(drawn).encode()[:segment])
+    return found
+
+
 def train(
     docs: DataFrame,
     *,
@@ -193,8 +223,12 @@ def train(
     rounds: int = 300,
     hidden: int = HIDDEN,
     seed: int = 1,
+    noise: bool = False,
 ) -> Network | None:
-    """A network for the languages of the rows that aren't held out; None without any."""
+    """A network for the languages of the rows that aren't held out; None without any.
+
+    With ``noise`` it has one class more, the last: ``noise_pieces`` of the sample.
+    """
     usable = ~held_out & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
     labelled = docs.where(usable).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
@@ -208,11 +242,59 @@ def train(
     by_lang = {lang: [p for name, p in sample if name == lang] for lang in languages}
     most = max(map(len, by_lang.values()))
     even = [(p, number[lang]) for lang, own in by_lang.items() for p in (own * -(-most // len(own)))[:most]]
-    network = Network(languages, hidden, seed)
+    if noise:
+        even += [(p, len(languages)) for p in noise_pieces([p for _, p in sample], most)]
+    network = Network(languages + [NOISE] * noise, hidden, seed)
+    network.known[list(set(b"".join(p for _, p in sample)))] = True
     network.fit([p for p, _ in even], np.array([n for _, n in even]), rounds=rounds)
     return network
 
 
+def has_letter(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+
+def in_a_language(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    noise_share: float = NOISE_SHARE,
+    **training,
+) -> DataFrame:
+    """``docs`` without the texts in no language.
+
+    These are null texts, texts without a letter, and texts of which the network gives more
+    than ``noise_share`` of the bytes to its class of random letters (``Network.noise``). It
+    learns from the same rows as ``identify_languages``. Random letters of a script that no
+    labelled text has stay, as does a text in such a script; of random texts shorter than
+    about 200 letters some stay. When there is nothing to learn from, every text with a
+    letter stays. Each row is judged by its own text, so null and repeated ids don't matter.
+    """
+    network = train(
+        docs, held_out=id_remainder(id_col, 4) == 2, id_col=id_col, text_col=text_col, lang_col=lang_col, noise=True,
+        **training,
+    )
+    lettered = docs.where(has_letter(text_col))
+    if network is None:
+        return lettered
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        plain = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+        usable = [i for i, t in enumerate(plain) if t]
+        found = [False] * len(plain)
+        if usable:
+            for i, share in zip(usable, shared.value.noise([plain[i] for i in usable])):
+                found[i] = bool(share <= noise_share)
+        return pa.array(found, pa.bool_())
+
+    return lettered.where(clean(F.col(text_col)))
+
+
 def identify_languages(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **training
 ) -> DataFrame:
@@ -241,7 +323,7 @@ def identify_languages(
                     langs[i], scores[i] = network.languages[best], min(1.0, float(row[best]))
             yield {id_col: batch[id_col], "held_out": batch["held_out"], "lang_pred": langs, "score": scores}
 
-    letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    letter = has_letter(text_col)
     table = docs.select(id_col, F.col(text_col).alias("text"), held.alias("held_out"), letter.alias("letter"))
     kinds = {id_col: kind, "text": "binary", "held_out": "boolean", "letter": "boolean"}
     return map_batches(table, kinds, predict, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
