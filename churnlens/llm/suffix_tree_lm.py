@@ -1,10 +1,10 @@
 """Language-model scores by a probabilistic suffix tree over bytes.
 
 A text is its words (A-Z lower-cased) with single spaces between and an end. Contexts of
-up to six symbols are counted over all training texts; a context stays in the tree if
-its next-symbol distribution diverges enough from that of its suffix. Distributions
-are smoothed along the suffixes, and each symbol is scored in the longest suffix that
-is in the tree.
+up to six bytes, all 256 values told apart, are counted over all training texts; a
+context stays in the tree if its next-symbol distribution diverges enough from that of
+its suffix. Distributions are smoothed along the suffixes, and each symbol is scored in
+the longest suffix that is in the tree.
 
 The tree grows with the corpus, so it never has to fit anywhere whole. It is cut by the
 nearest symbols of its contexts into parts of a bounded size; each part is broadcast in a
@@ -30,10 +30,11 @@ from churnlens.operators.materialise import materialise
 DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
 PASS_STATES = 200_000  # contexts of the tree that one pass over the texts holds in memory
+NARROW = 64  # symbols of a row of that size
 NEAREST = 3  # symbols before a place that decide its pass
 HOT_SHARE = 500_000  # words with at least one in so many tokens are looked up in memory
-_BITS, _END, _OTHER = 6, 0, 63
-_ALPHABET = 1 << _BITS
+WIDE = 8  # bits of a symbol in the operator: every byte is one
+_BITS, _END, _OTHER = 6, 0, 63  # the narrow symbols of `symbol_table`
 _BLOCK = 1 << 20
 _DISTINCT = 1 << 22
 
@@ -49,6 +50,11 @@ def symbol_table(counts: dict[int, int]) -> np.ndarray:
     return table
 
 
+def byte_symbols() -> np.ndarray:
+    """A symbol of ``WIDE`` bits for each byte. 0xFF, which UTF-8 never has, is the end."""
+    return (np.arange(256) + 1) % 256
+
+
 def stream(texts: list[list[bytes]], table: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of texts (as words) one after the other; where each text's symbols start
     and how many it has, its end included. ``depth`` end symbols stand before each text,
@@ -77,11 +83,11 @@ def places(starts: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def gram_keys(symbols: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+def gram_keys(symbols: np.ndarray, at: np.ndarray, depth: int, bits: int = _BITS) -> np.ndarray:
     """A symbol and the ``depth`` before it as one number, the nearest in the lowest bits."""
     key = symbols[at].copy()
     for back in range(1, depth + 1):
-        key |= symbols[at - back] << _BITS * back
+        key |= symbols[at - back] << bits * back
     return key
 
 
@@ -119,28 +125,28 @@ class GramCounts:
 # The tree ---------------------------------------------------------------------
 
 
-def context_levels(grams: DataFrame, depth: int) -> list[DataFrame]:
+def context_levels(grams: DataFrame, depth: int, bits: int = _BITS) -> list[DataFrame]:
     """``key``, ``n`` of grams with contexts of 0 to ``depth`` symbols."""
     levels = [grams]
     for size in range(depth - 1, -1, -1):
-        mask = (1 << _BITS * (size + 1)) - 1
+        mask = (1 << bits * (size + 1)) - 1
         shorter = levels[0].groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
         levels.insert(0, materialise(shorter))
     return levels
 
 
-def divergent_contexts(levels: list[DataFrame], divergence: float) -> DataFrame:
+def divergent_contexts(levels: list[DataFrame], divergence: float, bits: int = _BITS) -> DataFrame:
     """``size``, ``context`` of the tree: all contexts whose distribution saves at least
     ``divergence`` nats per next symbol against their suffix's, and their suffixes."""
     found = None
     for size in range(1, len(levels)):
-        mask = (1 << _BITS * size) - 1
+        mask = (1 << bits * size) - 1
         above = levels[size - 1].select(F.col("key").alias("short"), F.col("n").alias("n_short"))
-        above_totals = levels[size - 1].groupBy(F.shiftright("key", _BITS).alias("short_context")).agg(
+        above_totals = levels[size - 1].groupBy(F.shiftright("key", bits).alias("short_context")).agg(
             F.sum("n").alias("total_short")
         )
         rows = levels[size].select(
-            "n", F.shiftright("key", _BITS).alias("context"), F.col("key").bitwiseAND(F.lit(mask)).alias("short")
+            "n", F.shiftright("key", bits).alias("context"), F.col("key").bitwiseAND(F.lit(mask)).alias("short")
         )
         # The totals of a context are constant in it, so they come in after its rows are summed.
         sums = rows.join(above, "short").groupBy("context").agg(
@@ -148,7 +154,7 @@ def divergent_contexts(levels: list[DataFrame], divergence: float) -> DataFrame:
             F.sum("n").alias("total"),
             F.count(F.lit(1)).alias("types"),
         )
-        sums = sums.withColumn("short_context", F.col("context").bitwiseAND(F.lit(mask >> _BITS)))
+        sums = sums.withColumn("short_context", F.col("context").bitwiseAND(F.lit(mask >> bits)))
         gains = sums.join(above_totals, "short_context").withColumn(
             "gain", F.col("saved") + F.col("total") * F.log(F.col("total_short") / F.col("total"))
         )
@@ -158,54 +164,64 @@ def divergent_contexts(levels: list[DataFrame], divergence: float) -> DataFrame:
     sizes = F.explode(F.sequence(F.lit(1), F.col("size"))).alias("kept")
     shorter = found.select(sizes, "context").select(
         F.col("kept").alias("size"),
-        F.expr(f"context & (shiftleft(1L, {_BITS} * kept) - 1)").alias("context"),
+        F.expr(f"context & (shiftleft(1L, {bits} * kept) - 1)").alias("context"),
     )
     return shorter.distinct()
 
 
 class Tree:
-    """Nodes by context, read backwards from the symbol; log10 of the next symbols."""
+    """Nodes by context, read backwards from the symbol; log10 of the next symbols.
+
+    Rows have a column for each symbol that the tree has and one for all others, which are
+    alike in every row: they follow nothing that was counted, and nothing follows them.
+    """
 
     def __init__(
-        self, rows: list[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int, states: int
+        self, rows: list[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int, states: int, bits: int = _BITS
     ) -> None:
         """``rows``: for each context size the gram keys and counts of the tree's contexts,
-        which are ``states`` with the empty one."""
-        self.depth = depth
-        deepest = len(np.unique(rows[depth][0] >> _BITS))  # these have no children
-        self.children = np.full((max(states - deepest, 1), _ALPHABET), -1, np.int32)
-        self.logs = np.zeros((states, _ALPHABET), np.float32)
+        which are ``states`` with the empty one. ``unlisted`` bytes share the symbol ``_OTHER``."""
+        self.depth, alphabet = depth, 1 << bits
+        listed = np.unique(np.concatenate([rows[0][0] & (alphabet - 1), [_END]]))
+        width = len(listed) + 1
+        self.columns = np.full(alphabet, width - 1, np.int64)
+        self.columns[listed] = np.arange(len(listed))
+        deepest = len(np.unique(rows[depth][0] >> bits))  # these have no children
+        self.children = np.full((max(states - deepest, 1), width), -1, np.int32)
+        self.logs = np.zeros((states, width), np.float32)
         above, before, base = np.zeros(0, np.int64), 0, 0
         for size, (keys, counts) in enumerate(rows):
-            contexts = np.unique(keys >> _BITS) if size else np.zeros(1, np.int64)
+            contexts = np.unique(keys >> bits) if size else np.zeros(1, np.int64)
             # Worked out in place: chances until the next level has used them, then logs.
             table = self.logs[base : base + len(contexts)]
             if len(keys):
-                table[np.searchsorted(contexts, keys >> _BITS), keys & (_ALPHABET - 1)] = counts
+                table[np.searchsorted(contexts, keys >> bits), self.columns[keys & (alphabet - 1)]] = counts
             total, types = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
             types = np.maximum(types, 1).astype(np.float32)
             if size == 0:
-                table += types / _ALPHABET
+                table += types / alphabet
             else:
-                parents = before + np.searchsorted(above, contexts & ((1 << _BITS * (size - 1)) - 1))
+                parents = before + np.searchsorted(above, contexts & ((1 << bits * (size - 1)) - 1))
                 nodes = base + np.arange(len(contexts), dtype=np.int32)
-                self.children[parents, contexts >> _BITS * (size - 1)] = nodes
+                self.children[parents, self.columns[contexts >> bits * (size - 1)]] = nodes
                 for at in range(0, len(contexts), 4096):
                     table[at : at + 4096] += types[at : at + 4096] * self.logs[parents[at : at + 4096]]
             table /= total + types
             above, before, base = contexts, base, base + len(contexts)
         np.log10(self.logs, out=self.logs, where=self.logs > 0)
-        self.logs[:, _OTHER] -= np.float32(np.log10(unlisted))  # bytes of one symbol are alike
+        self.shared = np.zeros(alphabet, np.float32)
+        self.shared[_OTHER] = np.log10(unlisted)  # bytes of one symbol are alike
 
     def scores(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log10 probability of the symbols at these places, each in its longest suffix."""
         node, alive = np.zeros(len(at), np.int32), np.arange(len(at))
         for back in range(1, self.depth + 1):
-            step = self.children[node[alive], symbols[at[alive] - back]]
+            step = self.children[node[alive], self.columns[symbols[at[alive] - back]]]
             going = step >= 0
             alive = alive[going]
             node[alive] = step[going]
-        return self.logs[node, symbols[at]]
+        own = symbols[at]
+        return self.logs[node, self.columns[own]] - self.shared[own]
 
 
 # The operator -----------------------------------------------------------------
@@ -215,26 +231,23 @@ def _words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def word_and_byte_counts(texts: DataFrame) -> DataFrame:
-    """Partial counts per task: ``word`` or ``byte`` (else null), ``n``."""
+def word_counts(texts: DataFrame) -> DataFrame:
+    """Partial counts per task: ``word``, ``n``."""
 
     def count(batches):
-        words, held = Counter(), np.zeros(256, np.int64)
+        words = Counter()
         for batch in batches:
             for text in batch["text"]:
-                own = _words(text)
-                words.update(own)
-                held += np.bincount(np.frombuffer(b" ".join(own), np.uint8), minlength=256)
+                words.update(_words(text))
             if len(words) > _DISTINCT // 8:
-                yield {"word": list(words), "byte": [None] * len(words), "n": list(words.values())}
+                yield {"word": list(words), "n": list(words.values())}
                 words = Counter()
-        yield {"word": list(words), "byte": [None] * len(words), "n": list(words.values())}
-        yield {"word": [None] * 256, "byte": list(range(256)), "n": held.tolist()}
+        yield {"word": list(words), "n": list(words.values())}
 
-    return map_batches(texts, {"text": "binary"}, count, "word binary, byte int, n bigint")
+    return map_batches(texts, {"text": "binary"}, count, "word binary, n bigint")
 
 
-def gram_counts(texts: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
+def gram_counts(texts: DataFrame, table: np.ndarray, depth: int, bits: int = _BITS) -> DataFrame:
     """``key``, ``n`` of all grams of ``depth + 1`` symbols."""
 
     def count(batches):
@@ -242,7 +255,7 @@ def gram_counts(texts: DataFrame, table: np.ndarray, depth: int) -> DataFrame:
         for batch in batches:
             symbols, starts, sizes = stream([_words(t) for t in batch["text"]], table, depth)
             for at in places(starts, sizes):
-                if (full := counts.add(gram_keys(symbols, at, depth))) is not None:
+                if (full := counts.add(gram_keys(symbols, at, depth, bits))) is not None:
                     yield {"key": full[0], "n": full[1]}
         rest = counts.merged()
         yield {"key": rest[0], "n": rest[1]}
@@ -258,9 +271,9 @@ def tree_grams(levels: list[DataFrame], kept: DataFrame, nearest: int) -> DataFr
     for size, level in enumerate(levels):
         if size:
             of_size = kept.where(F.col("size") == size).select("context")
-            keyed = level.withColumn("context", F.shiftright("key", _BITS))
+            keyed = level.withColumn("context", F.shiftright("key", WIDE))
             level = keyed.join(of_size, "context", "left_semi")
-        near = F.shiftright("key", _BITS).bitwiseAND(F.lit((1 << _BITS * nearest) - 1))
+        near = F.shiftright("key", WIDE).bitwiseAND(F.lit((1 << WIDE * nearest) - 1))
         near = near if size >= nearest else F.lit(None).cast("long")
         parts.append(level.select(F.lit(size).alias("size"), "key", "n", near.alias("near")))
     return reduce(DataFrame.unionByName, parts)
@@ -269,25 +282,26 @@ def tree_grams(levels: list[DataFrame], kept: DataFrame, nearest: int) -> DataFr
 def pass_ranges(kept: DataFrame, nearest: int, states: int) -> list[tuple[int, int, int]]:
     """``(low, high, contexts)`` of each pass: it has the contexts whose nearest symbols are
     in the range, about ``states`` of them. The driver sees a count for each combination of
-    the nearest symbols, so at most 64 ** ``nearest`` of them."""
-    near = F.col("context").bitwiseAND(F.lit((1 << _BITS * nearest) - 1))
+    the nearest symbols that stands somewhere: 256 ** ``nearest`` at most, of which UTF-8 allows
+    a part."""
+    near = F.col("context").bitwiseAND(F.lit((1 << WIDE * nearest) - 1))
     long = kept.where(F.col("size") >= nearest).groupBy(near.alias("near")).agg(F.count(F.lit(1)).alias("n"))
     counts = long.toArrow().sort_by("near")
     nears, sizes = counts["near"].to_numpy(), counts["n"].to_numpy()
     turn = (np.cumsum(sizes) - sizes) // states
     heads = np.flatnonzero(turn[1:] != turn[:-1]) + 1
-    bounds = [0, *nears[heads].tolist(), 1 << _BITS * nearest]
+    bounds = [0, *nears[heads].tolist(), 1 << WIDE * nearest]
     held = [int(part.sum()) for part in np.split(sizes, heads)]
     return list(zip(bounds, bounds[1:], held))
 
 
-def part_of_tree(grams: DataFrame, low: int, high: int, depth: int, unlisted: int, states: int) -> Tree:
+def part_of_tree(grams: DataFrame, low: int, high: int, depth: int, states: int) -> Tree:
     """The short contexts, and those whose nearest symbols are in the range."""
     mine = F.col("near").isNull() | ((F.col("near") >= low) & (F.col("near") < high))
     found = grams.where(mine).select("size", "key", "n").toArrow()
     sizes, keys, counts = (found[c].to_numpy() for c in ("size", "key", "n"))
     rows = [(keys[sizes == size], counts[sizes == size]) for size in range(depth + 1)]
-    return Tree(rows, depth, unlisted, states)
+    return Tree(rows, depth, 1, states, WIDE)
 
 
 def part_scores(texts: DataFrame, tree: Broadcast, table: np.ndarray, depth: int, nearest: int, span: tuple) -> DataFrame:
@@ -300,7 +314,7 @@ def part_scores(texts: DataFrame, tree: Broadcast, table: np.ndarray, depth: int
             symbols, starts, sizes = stream([_words(t) for t in batch["text"]], table, depth)
             parts = []
             for at in places(starts, sizes):
-                near, values = gram_keys(symbols, at - 1, nearest - 1), np.zeros(len(at))
+                near, values = gram_keys(symbols, at - 1, nearest - 1, WIDE), np.zeros(len(at))
                 mine = np.flatnonzero((near >= low) & (near < high))
                 values[mine] = model.scores(symbols, at[mine])
                 parts.append(values)
@@ -321,15 +335,17 @@ def tree_scores(
     so the mean of a key's parts, times the passes, is the score of each.
     """
     nearest = min(NEAREST, depth)
-    levels = context_levels(materialise(gram_counts(training, table, depth)), depth)
-    kept = materialise(divergent_contexts(levels, divergence))
+    levels = context_levels(materialise(gram_counts(training, table, depth, WIDE)), depth, WIDE)
+    kept = materialise(divergent_contexts(levels, divergence, WIDE))
     grams = materialise(tree_grams(levels, kept, nearest))
     short = kept.where(F.col("size") < nearest).count() + 1
-    unlisted, spans = int((table == _OTHER).sum()), pass_ranges(kept, nearest, pass_states)
+    # A context's row has a column for each symbol that was counted: wider rows, fewer of them.
+    width = levels[0].count() + 2
+    spans = pass_ranges(kept, nearest, max(1, pass_states * NARROW // max(width, NARROW)))
     parts = []
     for low, high, states in spans:
         tree = texts.sparkSession.sparkContext.broadcast(
-            part_of_tree(grams, low, high, depth, unlisted, short + states)
+            part_of_tree(grams, low, high, depth, short + states)
         )
         parts.append(materialise(part_scores(texts, tree, table, depth, nearest, (low, high))))
         tree.destroy()
@@ -362,11 +378,14 @@ def score_texts(
 
     The tree has every context that passes the divergence test. ``pass_states`` only says how
     much of it is in memory at a time, and so how often the texts are read; the scores don't
-    depend on it (beyond rounding).
+    depend on it (beyond rounding). It counts rows of up to 64 symbols; with more byte values in
+    the training texts the rows are wider and a pass has fewer of them.
 
     Words with one in ``hot_share`` tokens or more (so at most that many words) are looked up
     in memory; only the rarer ones are joined, which no word can skew.
     """
+    if not 1 <= depth <= DEPTH:
+        raise ValueError(f"contexts of 1 to {DEPTH} bytes fit a gram's key")
     held = held_out if held_out is not None else id_remainder(id_col, 10) == 0
     kind = dict(docs.dtypes)[id_col]
     text = F.col(text_col)
@@ -377,16 +396,15 @@ def score_texts(
     )
     training = texts.where(~F.col("held_out"))
 
-    partial = materialise(word_and_byte_counts(training.select("text")))
+    partial = materialise(word_counts(training.select("text")))
     vocabulary = materialise(
-        partial.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c"))
+        partial.groupBy("word").agg(F.sum("n").alias("c"))
     )
     n_words, n_distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_ends = training.count()
     total, distinct = n_words + n_ends, n_distinct + (n_ends > 0)
     floor = total + 0.1 * (distinct + 1)
-    by_byte = partial.where("byte IS NOT NULL").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    table = symbol_table({r["byte"]: r["n"] for r in by_byte})
+    table = byte_symbols()
 
     by_tree = materialise(
         tree_scores(
