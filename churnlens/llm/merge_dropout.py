@@ -2,20 +2,26 @@
 
 A segment (spaces and what follows up to the next space) starts as characters. The
 agenda holds the merges that the vocabulary allows, best score first; each merge
-that comes up is skipped with a given probability, decided by a keyed hash. So a
-seed gives the same pieces on every machine and another seed other pieces, and any
-of them decode to the same text.
+that comes up is skipped with a given probability, decided by a hash of the seed, the
+document's key, the place of the segment in it and how many skips came before. So each
+occurrence has a segmentation of its own, a seed gives the same pieces on every machine
+and another seed other pieces, and any of them decode to the same text.
+
+A segmentation follows from the segment and from which of its merges are skipped, and
+only results by both are remembered: no occurrence takes another's draws.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
+from math import log, log1p
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +30,24 @@ from churnlens.llm.tables import small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _SEGMENTS = re.compile(rb" +[^ \n]*|\n|[^ \n]+")
-_KNOWN_SEGMENTS = 400_000  # segmentations that a worker remembers for each variant
+_KNOWN = 600_000  # segmentations that a worker remembers
+_LONGEST = 24  # bytes of a segment that is remembered
+_NEVER = 1 << 62
+_MIX, _FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+_ALL = (1 << 64) - 1
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """SplitMix64's finish of each number."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(_FIRST)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(_SECOND)
+    return x ^ (x >> np.uint64(31))
+
+
+def _mixed_one(x: int) -> int:
+    x = (x ^ (x >> 30)) * _FIRST & _ALL
+    x = (x ^ (x >> 27)) * _SECOND & _ALL
+    return x ^ (x >> 31)
 
 
 def read_model(path: str) -> list[tuple[str, float, str]]:
@@ -44,7 +67,7 @@ def read_model(path: str) -> list[tuple[str, float, str]]:
 class Codec:
     """Encodes and decodes UTF-8 bytes with a BPE model that has byte pieces."""
 
-    def __init__(self, pieces, dropout: float, seed: int, variants: int) -> None:
+    def __init__(self, pieces, dropout: float, seed: int, variants: int | None = None) -> None:
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == "normal"}
         self.ranks = {p: -s for p, s, kind in pieces if kind == "normal"}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == "byte"}
@@ -56,10 +79,41 @@ class Codec:
         for byte, i in self.bytes.items():
             plain[i] = bytes([byte])
         self.plain = np.array(plain, object)
-        self.limit, self.seed, self.variants = int(dropout * 2**64), seed, variants
-        self.known: list[dict[bytes, bytes]] = [{} for _ in range(variants)]
-
-    def _segment(self, segment: bytes, variant: int) -> list[int]:
+        self.seed, self.variants = _mixed_one((seed * _MIX + 1) & _ALL), variants
+        # How many merges pass before one is skipped is geometric: log(u) over this.
+        self.log_kept = log1p(-dropout) if dropout else 0.0
+        self.known: dict[bytes | tuple, tuple[int, bytes]] = {}
+
+    def _gap(self, draw: int) -> int:
+        return int(log(((draw >> 11) + 1) * 2.0**-53) / self.log_kept)
+
+    def _later(self, draw: int, last: int):
+        """The merges after ``last`` that an occurrence skips, by the draw of its first one."""
+        while True:
+            draw = _mixed_one((draw + _MIX) & _ALL)
+            last += 1 + self._gap(draw)
+            yield last
+
+    def _chosen(self, segment: bytes, first: int, draw: int) -> bytes:
+        """The segmentation of an occurrence whose first skipped merge is ``first``."""
+        skips, later = (first,), self._later(draw, first)
+        if len(segment) > _LONGEST:
+            return self._segment(segment, chain(skips, later))[1]
+        while True:
+            name = (segment, *skips)
+            found = self.known.get(name)
+            if found is None:
+                if len(self.known) >= _KNOWN:
+                    self.known.clear()
+                found = self.known[name] = self._segment(segment, iter(skips))
+            following = next(later)
+            if following >= found[0]:
+                return found[1]
+            skips = (*skips, following)
+
+    def _segment(self, segment: bytes, skips: Iterator[int]) -> tuple[int, bytes]:
+        """How many merges came up, and the ids; ``skips`` has the numbers of the merges that
+        are skipped, in order."""
         text, ranks, ids = segment.decode("utf-8", "replace"), self.ranks, self.ids
         # A literal U+2581 would decode to a space; it goes as bytes, like unknown characters.
         apart = {i for i, c in enumerate(text) if c == SPACE} if SPACE in text else ()
@@ -71,13 +125,15 @@ class Codec:
             if merged in ranks and left not in apart and left + 1 not in apart:
                 agenda.append((ranks[merged], left, left + 1, merged))
         heapify(agenda)
-        key, limit, digest, end = self.seed * 1_000_003 + variant, self.limit, xxhash.xxh64_intdigest, len(parts)
+        count, skip, end = 0, next(skips, _NEVER), len(parts)
         while agenda:
             _, left, right, merged = heappop(agenda)
             # The sides lie next to each other, so equal lengths mean equal pieces.
             if after[left] != right or not parts[left] or len(parts[left]) + len(parts[right]) != len(merged):
                 continue  # one side was merged meanwhile
-            if limit and digest(f"{left} {merged}", key) < limit:
+            count += 1
+            if count > skip:
+                skip = next(skips, _NEVER)
                 continue
             parts[left], parts[right] = merged, ""
             right, back = after[right], before[left]
@@ -97,26 +153,36 @@ class Codec:
                 out.append(ids[part])
             elif part:
                 out += [self.bytes[b] for b in part.encode()]
-        return out
+        return count, array("i", out).tobytes()
 
     def encode(self, text: bytes, key: int) -> np.ndarray:
-        """Ids of a text. ``key`` tells occurrences apart: each segment takes one of the
-        codec's variants by its place in the text and the key."""
+        """Ids of a text. ``key`` and a segment's place in the text tell its occurrences apart;
+        with ``variants`` there are only so many of them."""
         if not text:
             return np.zeros(0, np.int32)
         segments = _SEGMENTS.findall(b" " + text)
-        turn = (np.arange(len(segments), dtype=np.uint64) + np.uint64(key)) * np.uint64(0x9E3779B97F4A7C15)
-        variants = ((turn >> np.uint64(40)) % np.uint64(self.variants)).tolist()
-        known = self.known
-        out = [known[variant].get(segment) for segment, variant in zip(segments, variants)]
-        for place, found in enumerate(out):
+        places = np.arange(len(segments), dtype=np.uint64) * np.uint64(_MIX)
+        turns = _mixed(places + np.uint64(_mixed_one(key & _ALL)))
+        if self.variants:
+            turns %= np.uint64(self.variants)
+        draws = _mixed(turns ^ np.uint64(self.seed))
+        known, chosen = self.known, self._chosen
+        if not self.log_kept:
+            firsts = [_NEVER] * len(segments)
+        else:
+            uniform = ((draws >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53
+            firsts = np.minimum(np.log(uniform) / self.log_kept, 2.0**62).astype(np.int64).tolist()
+        draws, out = draws.tolist(), []
+        for segment, first, draw in zip(segments, firsts, draws):
+            if len(segment) > _LONGEST:
+                out.append(chosen(segment, first, draw) if self.log_kept else self._segment(segment, iter(()))[1])
+                continue
+            found = known.get(segment)
             if found is None:
-                segment, variant = segments[place], variants[place]
-                out[place] = found = array("i", self._segment(segment, variant)).tobytes()
-                if len(segment) <= 64:
-                    if len(known[variant]) >= _KNOWN_SEGMENTS:
-                        known[variant].clear()
-                    known[variant][segment] = found
+                if len(known) >= _KNOWN:
+                    known.clear()
+                found = known[segment] = self._segment(segment, iter(()))
+            out.append(found[1] if first >= found[0] else chosen(segment, first, draw))
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -127,7 +193,7 @@ class Codec:
 _codecs: dict[tuple, Codec] = {}
 
 
-def _codec(shared, dropout: float, seed: int, variants: int) -> Codec:
+def _codec(shared, dropout: float, seed: int, variants: int | None) -> Codec:
     """A worker builds a codec once and keeps what it has learnt for its later tasks."""
     name = (shared.id if hasattr(shared, "id") else id(shared), dropout, seed, variants)
     if name not in _codecs:
@@ -140,9 +206,10 @@ class Pieces:
     """Encoding and decoding as column expressions, for one model, seed and dropout."""
 
     def __init__(
-        self, spark: SparkSession, *, model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 4
+        self, spark: SparkSession, *, model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int | None = None
     ) -> None:
-        if not 0 <= dropout < 1 or variants < 1:
+        """Each occurrence of a segment has its own skips; ``variants`` would bound them."""
+        if not 0 <= dropout < 1 or (variants is not None and variants < 1):
             raise ValueError("dropout must be in [0, 1) and variants at least 1")
         small_batches(spark)
         shared = spark.sparkContext.broadcast(read_model(model))  # the vocabulary: a fixed size
@@ -190,11 +257,11 @@ def encoded(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are encoded whole and as they are: no case folding, no normalisation, no piece
     for the ends. Null and empty texts have no pieces and decode to empty, which counts as
-    lossless. A document's id is the key of its variants, so rows that repeat an id and
-    text get the same pieces. Extra columns stay; of those called like a new one, the new
+    lossless. A document's id and text are the key of its skips, so rows that repeat both
+    get the same pieces. Extra columns stay; of those called like a new one, the new
     one is left.
     """
     pieces = Pieces(docs.sparkSession, **options)
-    both = pieces.round_trip(F.col(text_col), F.col(id_col))
+    both = pieces.round_trip(F.col(text_col), F.struct(id_col, text_col))
     plain = docs.drop("piece_ids", "lossless")
     return plain.withColumns({"piece_ids": both["piece_ids"], "lossless": both["lossless"]})
