@@ -20,9 +20,10 @@ from churnlens.operators.materialise import materialise
 
 SEGMENT = 64
 HIDDEN = 8
+MAX_ROWS = 64 * 256  # rows that are learnt from, if there are no more languages
 NOISE = "noise"
 NOISE_SHARE = 0.7  # of a text's bytes; clean documents of the test tables reach 0.16
-_ROWS = 2048  # segments that are worked on at once
+_ROWS = 2048  # segments that are worked on at once, with up to 64 languages
 
 
 # The network ------------------------------------------------------------------
@@ -138,14 +139,18 @@ class Network:
                 self.weights[name] -= (pace * first[name] / (1 - 0.9**step) / scale).astype(np.float32)
         return loss
 
+    def rows_at_once(self) -> int:
+        return max(1, min(_ROWS, _ROWS * 64 // len(self.languages)))
+
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """Mean probability of each language over all bytes of each text; texts aren't empty."""
         data, sizes, starts = cut_segments(texts)
         sums = np.zeros((len(data), len(self.languages)))
-        for at in range(0, len(data), _ROWS):
-            part, size = data[at : at + _ROWS], sizes[at : at + _ROWS]
+        rows = self.rows_at_once()
+        for at in range(0, len(data), rows):
+            part, size = data[at : at + rows], sizes[at : at + rows]
             valid = (np.arange(part.shape[1]) < size[:, None]).astype(np.float32)
-            sums[at : at + _ROWS] = np.einsum("trl,rt->rl", self.labels(part, valid), valid)
+            sums[at : at + rows] = np.einsum("trl,rt->rl", self.labels(part, valid), valid)
         lengths = np.array([len(t) for t in texts])
         return np.add.reduceat(sums, starts, axis=0) / lengths[:, None]
 
@@ -155,10 +160,11 @@ class Network:
         had count as held by none, as nothing was learnt of them."""
         data, sizes, starts = cut_segments(texts)
         sums = np.zeros(len(data))
-        for at in range(0, len(data), _ROWS):
-            part, size = data[at : at + _ROWS], sizes[at : at + _ROWS]
+        rows = self.rows_at_once()
+        for at in range(0, len(data), rows):
+            part, size = data[at : at + rows], sizes[at : at + rows]
             valid = (np.arange(part.shape[1]) < size[:, None]).astype(np.float32)
-            sums[at : at + _ROWS] = np.einsum("tr,rt->r", self.labels(part, valid)[:, :, -1], valid * self.known[part])
+            sums[at : at + rows] = np.einsum("tr,rt->r", self.labels(part, valid)[:, :, -1], valid * self.known[part])
         return np.add.reduceat(sums, starts) / np.array([len(t) for t in texts])
 
 
@@ -171,29 +177,31 @@ def id_remainder(id_col: str, parts: int) -> Column:
 
 
 def training_sample(
-    labelled: DataFrame, *, per_language: int, pieces: int, max_languages: int, segment: int = SEGMENT
+    labelled: DataFrame, *, per_language: int, pieces: int, max_rows: int, segment: int = SEGMENT
 ) -> list[tuple[str, bytes]]:
-    """At most ``max_languages * per_language * pieces`` segments of labelled texts.
-
-    ``labelled`` has ``id``, ``text``, ``lang``. Rows fall into ``per_language`` slots by a
-    hash of id, and the least hash of each slot is taken, so all rows take part and
-    nothing but numbers is grouped. The pieces are spread over the whole text.
+    """Segments of labelled texts of every language: ``pieces`` of each of at most
+    ``per_language`` rows, of fewer rows where there are so many languages that these would
+    be over ``max_rows``, but of one at least.
+
+    ``labelled`` has ``id``, ``text``, ``lang``. Rows fall into slots by a hash of id, and
+    the least hash of each slot is taken, so all rows take part and nothing but numbers
+    is grouped. Of rows that repeat the id of a slot, one is taken after they are cut. The
+    pieces are spread over the whole text.
     """
-    langs = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
-    keyed = labelled.select(
-        "lang", "id", F.pmod(F.xxhash64("id"), F.lit(per_language)).alias("slot"), F.xxhash64("id", F.lit(1)).alias("key")
-    )
-    chosen = keyed.join(F.broadcast(langs.select("lang")), "lang").groupBy("lang", "slot").agg(F.min("key").alias("key"))
+    slots = max(1, min(per_language, max_rows // max(1, labelled.select("lang").distinct().count())))
+    slot, key = F.pmod(F.xxhash64("id"), F.lit(slots)), F.xxhash64("id", F.lit(1))
+    keyed = labelled.select("lang", "id", slot.alias("slot"), key.alias("key"))
+    chosen = keyed.groupBy("lang", "slot").agg(F.min("key").alias("key"))
     chosen = F.broadcast(materialise(chosen))
-    place = F.array(*[
+    place = [
         (F.pmod(F.xxhash64("id", F.lit(k + 2)), F.greatest(F.length("text") - segment, F.lit(0)) + 1) + 1).cast("int")
         for k in range(pieces)
-    ])
-    slot, key = F.pmod(F.xxhash64("id"), F.lit(per_language)), F.xxhash64("id", F.lit(1))
+    ]
     rows = labelled.withColumns({"slot": slot, "key": key}).join(chosen, ["lang", "slot", "key"])
-    cut = rows.select("lang", F.explode(place).alias("at"), "text")
-    cut = cut.select("lang", F.expr(f"substring(text, at, {segment})").alias("piece")).where("piece <> ''")
-    return [(lang, piece.encode()[:segment]) for lang, piece in sorted(cut.collect())]
+    cut = rows.select("lang", "slot", F.array(*[F.substring("text", at, F.lit(segment)) for at in place]).alias("cut"))
+    one = cut.where("cut[0] <> ''").groupBy("lang", "slot").agg(F.min("cut").alias("cut"))
+    found = one.select("lang", F.explode("cut").alias("piece")).where("piece <> ''")
+    return [(lang, piece.encode()[:segment]) for lang, piece in sorted(found.collect())]
 
 
 def noise_pieces(pieces: list[bytes], count: int, *, segment: int = SEGMENT, seed: int = 3) -> list[bytes]:
@@ -219,7 +227,7 @@ def train(
     lang_col: str = "lang",
     per_language: int = 256,
     pieces: int = 8,
-    max_languages: int = 64,
+    max_rows: int = MAX_ROWS,
     rounds: int = 300,
     hidden: int = HIDDEN,
     seed: int = 1,
@@ -233,19 +241,22 @@ def train(
     labelled = docs.where(usable).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    sample = training_sample(labelled, per_language=per_language, pieces=pieces, max_languages=max_languages)
+    sample = training_sample(labelled, per_language=per_language, pieces=pieces, max_rows=max_rows)
     languages = sorted({lang for lang, _ in sample})
     if not languages:
         return None
     number = {lang: i for i, lang in enumerate(languages)}
     # Every language counts alike, however many rows it has.
-    by_lang = {lang: [p for name, p in sample if name == lang] for lang in languages}
+    by_lang: dict[str, list[bytes]] = {lang: [] for lang in languages}
+    for lang, piece in sample:
+        by_lang[lang].append(piece)
     most = max(map(len, by_lang.values()))
     even = [(p, number[lang]) for lang, own in by_lang.items() for p in (own * -(-most // len(own)))[:most]]
     if noise:
         even += [(p, len(languages)) for p in noise_pieces([p for _, p in sample], most)]
     network = Network(languages + [NOISE] * noise, hidden, seed)
     network.known[list(set(b"".join(p for _, p in sample)))] = True
+    rounds *= -(-len(languages) // 64)  # each language is seen as often, however many there are
     network.fit([p for p, _ in even], np.array([n for _, n in even]), rounds=rounds)
     return network
 
