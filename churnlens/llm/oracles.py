@@ -98,3 +98,76 @@ SELECT page_id, payload_bytes, sha1(p) AS payload_digest,
     CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
 FROM chosen
 """
+
+
+# CRC-32 of a column of ASCII digits, bit by bit; ``{}`` is the text.
+_CRC32 = """xor(list_reduce(
+    list_transform(string_split({}, ''), lambda c: CAST(unicode(c) AS UBIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS UBIGINT[])),
+        lambda x, y: xor(x >> 1, 3988292384 * (x & 1))),
+    CAST(4294967295 AS UBIGINT)), CAST(4294967295 AS UBIGINT))"""
+
+# Levels as lists, one hash at a time; proofs are folded one sibling at a time.
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE marked AS (
+    SELECT *, n_chars + CASE WHEN {_CRC32.format("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN 1 ELSE 0 END AS shown_chars
+    FROM documents
+),
+stated AS (
+    SELECT doc_id, lang,
+        coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+        coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS chars,
+        coalesce(strlen(CAST(shown_chars AS VARCHAR)) || ':' || shown_chars, '-') AS shown_chars,
+        coalesce(strlen(text) || ':' || text, '-') AS body
+    FROM marked
+),
+leaves AS (
+    SELECT doc_id, lang, sha256(head || chars || body) AS leaf, sha256(head || shown_chars || body) AS shown FROM stated
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS pos FROM leaves
+),
+levels AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+    UNION ALL
+    SELECT lang, level + 1, list_transform(range(CAST(ceil(len(nodes) / 2) AS BIGINT)),
+        lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+    FROM levels WHERE len(nodes) > 1
+),
+subroots AS (
+    SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+    FROM levels WHERE len(nodes) = 1
+),
+upper AS (
+    SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots HAVING count(*) > 0
+    UNION ALL
+    SELECT level + 1, list_transform(range(CAST(ceil(len(nodes) / 2) AS BIGINT)),
+        lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+    FROM upper WHERE len(nodes) > 1
+),
+sides AS (
+    SELECT p.lang, p.pos, l.level, (p.pos >> l.level) % 2 = 1 AS is_right, l.nodes[xor(p.pos >> l.level, 1) + 1] AS sibling
+    FROM placed p JOIN levels l ON l.lang IS NOT DISTINCT FROM p.lang AND len(l.nodes) > 1
+    UNION ALL
+    SELECT p.lang, p.pos, s.height + u.level, (s.place >> u.level) % 2 = 1, u.nodes[xor(s.place >> u.level, 1) + 1]
+    FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN upper u ON len(u.nodes) > 1
+),
+folded AS (
+    SELECT lang, pos, 0 AS level, shown AS node FROM placed
+    UNION ALL
+    SELECT f.lang, f.pos, f.level + 1,
+        sha256(CASE WHEN is_right THEN sibling || node ELSE node || coalesce(sibling, '') END)
+    FROM folded f JOIN sides s ON s.lang IS NOT DISTINCT FROM f.lang AND s.pos = f.pos AND s.level = f.level
+),
+ends AS (SELECT lang, pos, arg_max(node, level) AS folded_root FROM folded GROUP BY lang, pos),
+proofs AS (
+    SELECT lang, pos, sha256(string_agg(coalesce(sibling, ''), '' ORDER BY level)) AS proof_sha256
+    FROM sides GROUP BY lang, pos
+),
+root AS (SELECT nodes[1] AS root FROM upper WHERE len(nodes) = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+    folded_root = root AS verified
+FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN ends e ON e.lang IS NOT DISTINCT FROM p.lang AND e.pos = p.pos
+LEFT JOIN proofs f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos CROSS JOIN root
+"""

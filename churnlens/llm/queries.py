@@ -12,6 +12,7 @@ from churnlens.llm.exact_dedup import exact_dedup
 from churnlens.llm.language_id import identify_languages
 from churnlens.llm.line_dedup import dedup_units
 from churnlens.llm.merge_dropout import encoded
+from churnlens.llm.merkle import manifest
 from churnlens.llm.sharding import shard_documents
 from churnlens.llm.simhash import simhash_groups
 from churnlens.llm.suffix_tree_lm import score_texts
@@ -76,6 +77,12 @@ def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = F.when(marked, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
+    return manifest(_table(spark, sf_dir, "documents"), tampered=tampered).drop("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: value for name, value in list(globals().items()) if name.startswith("op")
 }
