@@ -171,3 +171,41 @@ SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_
 FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN ends e ON e.lang IS NOT DISTINCT FROM p.lang AND e.pos = p.pos
 LEFT JOIN proofs f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos CROSS JOIN root
 """
+
+# A path is the concatenated digests of its turns; every prefix of every conversation is listed.
+ORACLES["op11_conversation_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+        strlen(coalesce(text, '')) AS size
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+    SELECT conv_id, list({{'key': key, 'size': size}} ORDER BY turn NULLS FIRST, key) AS turns FROM turns GROUP BY conv_id
+),
+headed AS (SELECT *, {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM own),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(d.turns[1 : CAST(c.h AS BIGINT)], []), c.turns[CAST(c.h AS BIGINT) + 1 :]) AS turns
+    FROM headed c LEFT JOIN own d ON d.conv_id = c.conv_id - c.conv_id % 5
+),
+pathed AS (
+    SELECT conv_id, len(turns) AS n, turns, array_to_string(list_transform(turns, lambda t: t.key), '') AS path FROM rebuilt
+),
+prefixes AS (
+    SELECT conv_id, n, d, left(path, 32 * d) AS path, CASE WHEN d = 0 THEN 0 ELSE turns[d].size END AS size
+    FROM (SELECT *, unnest(range(n + 1)) AS d FROM pathed)
+),
+nodes AS (
+    SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+        sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+    FROM prefixes GROUP BY path, d
+),
+children AS (SELECT left(path, 32 * (d - 1)) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (path)),
+subtrees AS (
+    SELECT left(path, 32 * above) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(d + 1)) AS above FROM counted) GROUP BY 1
+)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves,
+    CAST(s.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s USING (path) LEFT JOIN nodes p ON c.d > 0 AND p.path = left(c.path, 32 * (c.d - 1))
+"""

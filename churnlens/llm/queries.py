@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.llm.conversation_trie import conversation_trie
 from churnlens.llm.decontaminate import benchmark_matches
 from churnlens.llm.exact_dedup import exact_dedup
 from churnlens.llm.language_id import identify_languages
@@ -77,6 +78,10 @@ def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     tampered = F.when(marked, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
