@@ -14,6 +14,7 @@ from churnlens.llm.language_id import identify_languages
 from churnlens.llm.line_dedup import dedup_units
 from churnlens.llm.merge_dropout import encoded
 from churnlens.llm.merkle import manifest
+from churnlens.llm.phrase_dedup import dedup_phrases
 from churnlens.llm.sharding import shard_documents
 from churnlens.llm.simhash import simhash_groups
 from churnlens.llm.suffix_tree_lm import score_texts
@@ -88,6 +89,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(_table(spark, sf_dir, "documents"), tampered=tampered).drop("path")
 
 
+def op13_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = dedup_phrases(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: value for name, value in list(globals().items()) if name.startswith("op")
 }
