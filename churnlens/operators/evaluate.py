@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +16,14 @@ def _or_zero(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
-def class_metrics(predictions: DataFrame) -> DataFrame:
+def class_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Precision, recall, F1 and support of every class that occurs as a label or
-    as a prediction; a ratio with nothing below the line is 0.
+    as a prediction; a ratio with nothing below the line is 0. With ``by`` columns
+    (a classifier's name, say) for each of their values, from one scan.
 
     Predictions are first counted per (label, prediction), which leaves a handful
     of rows for everything after."""
-    cells = predictions.groupBy(F.col("label").cast("int"), F.col("prediction").cast("int")).agg(
+    cells = predictions.groupBy(*by, F.col("label").cast("int"), F.col("prediction").cast("int")).agg(
         F.count(F.lit(1)).alias("n")
     )
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
@@ -30,12 +32,13 @@ def class_metrics(predictions: DataFrame) -> DataFrame:
         F.struct(F.col("label").alias("class"), F.col("n").alias("support"), none.alias("predicted"), hit.alias("hits")),
         F.struct(F.col("prediction").alias("class"), none.alias("support"), F.col("n").alias("predicted"), none.alias("hits")),
     )
-    totals = cells.select(F.inline(sides)).groupBy("class").agg(
+    totals = cells.select(*by, F.inline(sides)).groupBy(*by, "class").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hits").alias("hits")
     )
     precision = _or_zero(F.col("hits"), F.col("predicted"))
     recall = _or_zero(F.col("hits"), F.col("support"))
     return totals.select(
+        *by,
         "class",
         precision.alias("precision"),
         recall.alias("recall"),
@@ -78,10 +81,11 @@ def classification_report(predictions: DataFrame) -> DataFrame:
     return summary.select(F.inline(lines))
 
 
-def weighted_f1(predictions: DataFrame) -> DataFrame:
-    """One row ``f1``: mean of the class F1 scores, weighted by support."""
-    classes = class_metrics(predictions)
-    return classes.agg(_or_zero(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1"))
+def weighted_f1(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row ``f1`` (for each value of ``by``): mean of the class F1 scores, weighted by
+    support."""
+    classes = class_metrics(predictions, by)
+    return classes.groupBy(*by).agg(_or_zero(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1"))
 
 
 def confusion_matrix(predictions: DataFrame, labels: Sequence[int] = LABELS) -> DataFrame:
@@ -130,6 +134,25 @@ def coefficient_table(spark: SparkSession, names: Sequence[str], coefficients: S
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
+def unscaled_coefficients(coefficients: DataFrame, peaks: Sequence[float]) -> DataFrame:
+    """Coefficients for features as they were before max-abs scaling: ``position`` in the
+    vector, ``feature``, ``coefficient`` (scaled) and ``unscaled``. ``peaks`` are the
+    scaler's maxima, in the order of the vector; a feature that is always 0 has none."""
+    spark = coefficients.sparkSession
+    named = [(i, r["feature"], r["coefficient"]) for i, r in enumerate(coefficients.collect())]
+    rows = [(i, name, c, c / peak if peak else 0.0) for (i, name, c), peak in zip(named, peaks, strict=True)]
+    return spark.createDataFrame(rows, "position int, feature string, coefficient double, unscaled double")
+
+
+def linear_margins(rows: DataFrame, table: DataFrame, intercept: float, key: str) -> DataFrame:
+    """``key`` and ``margin`` of a linear model on unscaled ``features``: each element meets
+    its coefficient by position, and the products are summed (one row of ``table`` a
+    feature, so it is broadcast)."""
+    long = rows.select(key, F.posexplode(vector_to_array("features")).alias("position", "value"))
+    met = long.join(F.broadcast(table.select("position", "unscaled")), "position")
+    return met.groupBy(key).agg((F.sum(F.col("value") * F.col("unscaled")) + intercept).alias("margin"))
+
+
 def rank_coefficients(coefficients: DataFrame, by_size: bool = False) -> DataFrame:
     """Highest coefficient first; with ``by_size`` the highest absolute value."""
     if by_size:

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from churnlens.session import ensure_checkpoint_dir
 
+_scope: ContextVar[list[str] | None] = ContextVar("tables of the run", default=None)
+
 
 def materialise(table: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``table`` once and hand back what was written.
 
     With a path it becomes a Parquet table that later runs can read as well;
-    without one, a Parquet table in the checkpoint folder that all executors share.
+    without one, a Parquet table in the checkpoint folder that all executors share,
+    which ends with the ``run_scope`` it was written in, if any.
     Either way it outlives executors, is computed once, has a known size, and
     later scans read only the columns they need.
     """
@@ -21,5 +27,27 @@ def materialise(table: DataFrame, path: str | None = None) -> DataFrame:
     if path is None:
         ensure_checkpoint_dir(spark)
         path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+        held = _scope.get()
+        if held is not None:
+            held.append(path)
     table.write.mode("overwrite").parquet(path)
     return spark.read.schema(table.schema).parquet(path)
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables of a run when it ends, whether well or not.
+
+    For steps that write their results: nothing that is read lazily from one of the
+    tables may be used after the scope. Scopes nest; each deletes its own tables.
+    """
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        paths = _scope.get()
+        _scope.reset(token)
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

@@ -46,3 +46,25 @@ def with_position(
     starts = part_starts(slots).withColumnRenamed("start", output)
     numbered = slots.join(F.broadcast(starts), PART)
     return numbered.select(*[F.col(f"`{c}`") for c in table.columns], (F.col(output) + F.col(PLACE)).alias(output))
+
+
+def order_breaks(slots: DataFrame, *order: str | Column) -> DataFrame:
+    """One row: ``rows`` of ``ordered_slots`` and ``breaks``, how many of them should not
+    stand after the row before them.
+
+    Neighbours are compared inside each sort partition, then the last row of a partition
+    with the first of the next one: one row a partition.
+    """
+    key = F.struct(*order)
+    inside = Window.partitionBy(PART).orderBy(PLACE)
+    seen = slots.select(PART, PLACE, key.alias("key")).withColumn("above", F.lag("key").over(inside))
+    wrong = F.coalesce((F.col("key") < F.col("above")).cast("long"), F.lit(0))
+    parts = seen.groupBy(PART).agg(
+        F.count(F.lit(1)).alias("held"), F.sum(wrong).alias("wrong"), F.min_by("key", PLACE).alias("first"),
+        F.max_by("key", PLACE).alias("last"),
+    )
+    across = F.col("first") < F.lag("last").over(Window.orderBy(PART))
+    edges = parts.select("held", (F.col("wrong") + F.coalesce(across.cast("long"), F.lit(0))).alias("wrong"))
+    return edges.agg(
+        F.coalesce(F.sum("held"), F.lit(0)).alias("rows"), F.coalesce(F.sum("wrong"), F.lit(0)).alias("breaks")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.constants import ALS_BLOCKS, ALS_RANK, ALS_REG, SEED
@@ -66,7 +66,7 @@ def rated(ratings: DataFrame, rating: str = "rating") -> DataFrame:
     return ratings.where(F.col(rating).isNotNull())
 
 
-def item_factors(
+def factorise(
     ratings: DataFrame,
     user: str = "userIdIndex",
     item: str = "artistIndex",
@@ -77,8 +77,8 @@ def item_factors(
     seed: int = SEED,
     user_blocks: int = ALS_BLOCKS,
     item_blocks: int = ALS_BLOCKS,
-) -> DataFrame:
-    """Item factors ``(id, features)`` of an explicit ALS fit; ids have to fit an int.
+) -> tuple[DataFrame, DataFrame]:
+    """User and item factors ``(id, features)`` of an explicit ALS fit; ids have to fit an int.
 
     Blocks are how the fit is spread out. Spark draws the first factors by user block,
     so the result depends on ``user_blocks``: they are parameters with fixed defaults
@@ -97,7 +97,64 @@ def item_factors(
         numItemBlocks=item_blocks,
         seed=seed,
     )
-    return als.fit(rated(ratings, rating)).itemFactors
+    model = als.fit(rated(ratings, rating))
+    return model.userFactors, model.itemFactors
+
+
+def item_factors(ratings: DataFrame, user: str = "userIdIndex", item: str = "artistIndex", **options) -> DataFrame:
+    """The item factors of ``factorise``."""
+    return factorise(ratings, user, item, **options)[1]
+
+
+def normal_residuals(
+    ratings: DataFrame,
+    solved: DataFrame,
+    fixed: DataFrame,
+    solved_id: str,
+    fixed_id: str,
+    rating: str = "rating",
+    *,
+    reg: float = ALS_REG,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """How well each factor vector of ``solved`` fits the ``fixed`` ones: ``id``, ``rank``,
+    ``finite``, ``ratings`` and ``residual``.
+
+    A factor vector x is the least-squares answer to its ratings when it solves
+    (sum f f' + reg n I) x = sum r f over the factors f of its n ratings r. ``residual`` is
+    the length of the difference between both sides, relative to the right one (as it is,
+    if all ratings are 0). With x known, the left side is sum (f.x) f + reg n x: two vectors of sums for each rating,
+    combined before they are shuffled, and no matrix. ``solved`` has to be written already
+    (it is read twice), ``fixed`` too.
+    """
+    pairs = whole_key(whole_key(rated(ratings, rating).select(solved_id, fixed_id, rating), solved_id), fixed_id)
+    rank = len(fixed.first()["features"])
+    mine = solved.select(F.col("id").cast("long").alias(solved_id), F.col("features").cast("array<double>").alias("x"))
+    other = fixed.select(F.col("id").cast("long").alias(fixed_id), F.col("features").cast("array<double>").alias("f"))
+    limit = {"how": "inner", "broadcast_bytes": broadcast_bytes}
+    met = lookup(lookup(pairs, other, fixed_id, **limit), mine, solved_id, **limit)
+    products = F.zip_with("f", "x", lambda a, b: a * b)
+    met = met.withColumn("guess", F.aggregate(products, F.lit(0.0), lambda a, b: a + b))
+    sums = met.groupBy(solved_id).agg(
+        F.count(F.lit(1)).alias("ratings"),
+        *[F.sum(F.col("guess") * F.col("f")[k]).alias(f"left_{k}") for k in range(rank)],
+        *[F.sum(F.col(rating) * F.col("f")[k]).alias(f"right_{k}") for k in range(rank)],
+    )
+    found = sums.join(mine, solved_id)
+    left = F.array(*[F.col(f"left_{k}") + reg * F.col("ratings") * F.col("x")[k] for k in range(rank)])
+    right = F.array(*[F.col(f"right_{k}") for k in range(rank)])
+
+    def length(vector: Column) -> Column:
+        return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, b: a + b * b))
+
+    gap = length(F.zip_with(left, right, lambda a, b: a - b))
+    return found.select(
+        F.col(solved_id).alias("id"),
+        F.size("x").alias("rank"),
+        F.forall("x", lambda v: ~F.isnan(v) & (F.abs(v) < float("inf"))).alias("finite"),
+        "ratings",
+        F.coalesce(F.try_divide(gap, length(right)), gap).alias("residual"),
+    )
 
 
 def latent_features(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from churnlens.constants import HISTOGRAM_BINS, LABEL_NAMES, SECOND_MS, SONG_PAGE
 from churnlens.functions.scalars import count_where, flag
-from churnlens.operators.labels import with_label
+from churnlens.operators.labels import churned, with_label
 
 
 def date_ranges(events: DataFrame) -> DataFrame:
@@ -24,18 +24,20 @@ def date_ranges(events: DataFrame) -> DataFrame:
     )
 
 
-def user_profile(events: DataFrame, labels: DataFrame, key: str = "userId") -> DataFrame:
+def user_profile(events: DataFrame, labels: DataFrame | None = None, key: str = "userId") -> DataFrame:
     """One row per user: day of (first) ``registration``, day of the last event
-    (``ts``), highest ``age`` and mean ``avg_age`` in days, and the label. The
-    reports about users are computed from it; what one does not use is not computed.
+    (``ts``), highest ``age`` and mean ``avg_age`` in days, and the label. The label is
+    an aggregate of the same events, unless ``labels`` has it from elsewhere. The reports
+    about users are computed from it; what one does not use is not computed.
     """
     users = events.groupBy(key).agg(
         F.to_date(F.min("registration_date")).alias("registration"),
         F.to_date(F.max("timestamp")).alias("ts"),
         F.max("elapsed_days").alias("age"),
         F.avg("elapsed_days").alias("avg_age"),
+        *([churned().alias("label")] if labels is None else []),
     )
-    return with_label(users, labels, key)
+    return users if labels is None else with_label(users, labels, key)
 
 
 def users_by_registration(users: DataFrame) -> DataFrame:

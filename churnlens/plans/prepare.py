@@ -12,12 +12,14 @@ from churnlens.operators.clean import after_registration, project_events, sort_e
 from churnlens.operators.index import attach_index, frequency_index
 from churnlens.operators.labels import churn_label
 from churnlens.operators.lookup import BROADCAST_BYTES, measure
+from churnlens.operators.materialise import run_scope
 from churnlens.operators.slices import LAST_TS, last_period
-from churnlens.sources.events import read_json_events, read_table, write_table
+from churnlens.sources.events import observe_lines, read_json_events, read_table, write_table
 
 
 # The tables of a run, each a folder of its own.
 TABLES = (
+    "load_report",
     "valid_events",
     "user_index",
     "artist_index",
@@ -93,20 +95,30 @@ def index_events(
 
 
 def prepare(spark: SparkSession, json_path: str, root: str, *, sort: bool = True) -> Layout:
-    """Write ``valid_events``, both indices, ``events``, ``last_week_events`` and
-    ``churn`` under ``root``.
+    """Write ``load_report``, ``valid_events``, both indices, ``events``,
+    ``last_week_events`` and ``churn`` under ``root``.
 
-    The JSON is parsed once; everything after reads pruned Parquet. ``events`` has
-    ``last_ts`` next to the 18 columns, so the last week is a filter of a scan.
+    The JSON is parsed once, and the lines that cannot be parsed are counted in the same
+    pass: ``load_report`` has one row (``lines``, ``bad_lines``, ``valid_events``).
+    Everything after reads pruned Parquet. ``events`` has ``last_ts`` next to the 18
+    columns, so the last week is a filter of a scan.
     """
     out = Layout(root)
-    valid = write_table(valid_events(project_events(read_json_events(spark, json_path))), out.valid_events)
-    indexed = index_events(
-        valid, user_index_path=out.user_index, artist_index_path=out.artist_index, sort=sort
-    )
-    events = write_table(indexed, out.events)
-    write_table(last_period(events), out.last_week_events)
-    write_table(churn_label(events, "userIdIndex"), out.churn)
+    with run_scope(spark):
+        # Spark 4.1 cannot send fitted models to tasks in a session that has observed
+        # something, so the pass that counts has a session of its own.
+        lines, seen = observe_lines(read_json_events(spark.newSession(), json_path, keep_corrupt=True))
+        write_table(valid_events(project_events(lines)), out.valid_events)
+        valid = read_table(spark, out.valid_events)
+        report = {**seen.get, "valid_events": valid.count()}
+        row = spark.createDataFrame([report], "lines long, bad_lines long, valid_events long")
+        write_table(row.coalesce(1), out.load_report)
+        indexed = index_events(
+            valid, user_index_path=out.user_index, artist_index_path=out.artist_index, sort=sort
+        )
+        events = write_table(indexed, out.events)
+        write_table(last_period(events), out.last_week_events)
+        write_table(churn_label(events, "userIdIndex"), out.churn)
     return out
 
 

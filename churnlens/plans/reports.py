@@ -40,6 +40,6 @@ def write_reports(spark: SparkSession, out: Layout) -> dict[str, DataFrame]:
     """Write every chart table under ``reports``; they are a row per day or bin.
     Four of them are about users, and read the written profiles."""
     events, labels = (whole_key(table, KEY) for table in events_of(spark, out))
-    users = write_table(R.user_profile(events, labels, KEY), out.user_profile)
+    users = write_table(R.user_profile(events, key=KEY), out.user_profile)
     tables = report_tables(events, labels, users)
     return {name: write_table(build().coalesce(1), f"{out.reports}/{name}") for name, build in tables.items()}

@@ -9,9 +9,10 @@ between two roundings would otherwise go up or down by the order of its summands
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
-from churnlens.constants import ALS_RANK, EVENT_COLUMNS, HOURS
+from churnlens.constants import ALS_RANK, CLASSIFIER_PRIORITY, EVENT_COLUMNS, HOURS
 from churnlens.functions.scalars import name_part
 from churnlens.sources.clickstream import LEVELS, PAGES
 
@@ -507,17 +508,64 @@ GROUP BY a.v, b.v"""
 HASHED = "CAST('0x' || substr(md5(userId || '-42'), 1, 8) AS BIGINT) / 4294967296"
 
 
+INDEXED = """
+SELECT clean.*, userIdIndex,
+  coalesce(artistIndex, (SELECT CAST(count(*) AS DOUBLE) FROM artists)) AS artistIndex{more}
+FROM clean JOIN users USING (userId) LEFT JOIN artists USING (artist)"""
+EVENT_ORDER = ["userId", "ts", *[c for c in EVENT_COLUMNS if c not in ("userId", "ts")]]
+
+
+# Training: who is held out, and what has to hold --------------------------------
+
+
+def _held_out(check: str) -> str:
+    """Users of the hold-out part of the last-week feature table; each check has to hold."""
+    place = HASHED.replace("userId", "CAST(userIdIndex AS VARCHAR)")
+    return _feature_table(
+        True,
+        "SELECT userIdIndex, label, true AS is_label, true AS f1_agrees, true AS " + check
+        + f" FROM ({{table}}) WHERE {place} >= 0.75",
+    )
+
+
+def _names(select: str) -> list[str]:
+    return re.findall(r" AS (\w+)(?=,|\nFROM|\s+FROM)", select)
+
+
+def _positions() -> str:
+    """Feature names in the order of the vector."""
+    names = [f"als_{period}_{k}" for period in ("all", "lw") for k in range(ALS_RANK)]
+    for period, more in ((WHOLE, ["age", "avg_age"]), (LAST_WEEK, [])):
+        names += [name for block, _ in period.all() for name in _names(block)] + more
+    names += ["sessions_count", *[f"sessions_{m[side]}" for side in (1, 2) for m in SESSION_MEASURES]]
+    rows = ",\n  ".join(f"('{name}', {place})" for place, name in enumerate(names))
+    return f"SELECT feature, CAST(place AS INTEGER) AS position, true AS by_size, true AS scaled_back FROM (VALUES\n  {rows}\n) v(feature, place)"
+
+
+def _scores_of_a_run() -> str:
+    rows = [("first", name, weighted) for name in CLASSIFIER_PRIORITY for weighted in ("true", "false")]
+    rows += [("second", "chosen", weighted) for weighted in ("true", "false")]
+    values = ", ".join(f"('{dataset}', '{name}', {weighted}, true, true)" for dataset, name, weighted in rows)
+    return f"SELECT * FROM (VALUES {values}) v(dataset, classifier, weighted, f1_agrees, best)"
+
+
 ORACLES: dict[str, str] = {
     "projected_events": f"WITH{CLICK}\nSELECT {COLUMNS} FROM click",
     "valid_events": sql("SELECT * FROM valid"),
     "clean_events": sql("SELECT * FROM clean"),
-    "sorted_events": sql("SELECT * FROM valid ORDER BY userId, ts"),
+    "sorted_events": sql(
+        f"SELECT *, row_number() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in EVENT_ORDER)}) - 1 AS position FROM valid"
+    ),
+    "event_order": sql("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS breaks FROM valid"),
+    "events_from_json": sql(
+        f"""
+{INDEXED.format(more=", (SELECT count(*) FROM click WHERE ts % 101 = 0) AS bad_lines")}""",
+        USER_INDEX,
+        ARTIST_INDEX,
+    ),
     "index_users": sql("SELECT userId, userIdIndex, occurrences FROM users", USER_INDEX),
     "indexed_events": sql(
-        """
-SELECT clean.*, userIdIndex,
-  coalesce(artistIndex, (SELECT CAST(count(*) AS DOUBLE) FROM artists)) AS artistIndex
-FROM clean JOIN users USING (userId) LEFT JOIN artists USING (artist)""",
+        INDEXED.format(more=""),
         USER_INDEX,
         ARTIST_INDEX,
     ),
@@ -565,6 +613,14 @@ FROM clean"""
     "sessions_chart": sql(
         _wide("activity_time", ["sessions"], ["interactions", "session_time"]), CHURN, VISITS, SESSIONS
     ),
+    "sessions_in_order": sql(
+        "SELECT *, row_number() OVER (ORDER BY activity_time NULLS FIRST, label) - 1 AS position FROM ("
+        + _long("activity_time", ["sessions"], ["interactions", "session_time"])
+        + ")",
+        CHURN,
+        VISITS,
+        SESSIONS,
+    ),
     "page_share": _block(WHOLE.page_share()),
     "page_share_last_week": _block(LAST_WEEK.page_share(), True),
     "page_share_found": _block(WHOLE.page_share()),
@@ -608,9 +664,25 @@ FROM ratings r LEFT JOIN recent_ratings l USING (userId, artist)""",
     "hash_split": sql(
         f"SELECT userId, label, CASE WHEN {HASHED} < 0.75 THEN 'training' ELSE 'test' END AS part FROM churn", CHURN
     ),
-    "random_split": sql("SELECT userId, label, CAST(1 AS BIGINT) AS times FROM churn", CHURN),
+    "random_split": sql("SELECT userId, label, CAST(1 AS BIGINT) AS times, true AS likely_share FROM churn", CHURN),
     "confusion_matrix": CONFUSION.strip(),
     "classification_report": REPORT,
     "weighted_f1": f"WITH {JUDGED}\nSELECT round({F1} + 1e-9, 6) AS f1 FROM metrics",
     "best_model": _best_model(),
+    "als_factors": sql(
+        f"""
+SELECT 'user' AS kind, CAST(userIdIndex AS BIGINT) AS id, {ALS_RANK} AS rank, true AS finite, count(*) AS ratings, true AS solved
+FROM ratings JOIN users USING (userId) WHERE rating IS NOT NULL GROUP BY userIdIndex
+UNION ALL
+SELECT 'item', CAST(artistIndex AS BIGINT), {ALS_RANK}, true, count(*), true
+FROM ratings JOIN artists USING (artist) WHERE rating IS NOT NULL GROUP BY artistIndex""",
+        USER_INDEX,
+        ARTIST_INDEX,
+        RATINGS,
+    ),
+    "train_random_forest": _held_out("votes_agree"),
+    "train_logistic_regression": _held_out("settled"),
+    "train_linear_svm": _held_out("settled"),
+    "logistic_coefficients": _positions(),
+    "churn_run": _scores_of_a_run(),
 }

@@ -7,19 +7,32 @@ engines do not add them up in the same order.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from uuid import uuid4
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.constants import ALS_RANK, CANCEL_PAGES, DERIVED_COLUMNS, EVENT_COLUMNS
-from churnlens.operators import assemble, blocks, clean, evaluate, index, labels, models, ratings, reports, slices
+from churnlens.constants import ALS_RANK, CANCEL_PAGES, CLASSIFIER_PRIORITY, DERIVED_COLUMNS, EVENT_COLUMNS, SPLIT
+from churnlens.operators import assemble, blocks, clean, evaluate, index, labels, models, order, ratings, reports, slices
+from churnlens.operators.forest import forest_nodes, forest_votes
 from churnlens.operators.materialise import materialise
-from churnlens.plans.features import ARTIST_INDEX, USER_INDEX, both_periods, feature_columns, feature_events, whole_period
-from churnlens.plans.prepare import index_events
-from churnlens.session import pin_time_zone
+from churnlens.operators.optimality import settled_logistic, settled_svm
+from churnlens.plans.features import (
+    ARTIST_INDEX,
+    USER_INDEX,
+    both_periods,
+    feature_columns,
+    feature_events,
+    whole_period,
+    write_features,
+)
+from churnlens.plans.prepare import index_events, prepare
+from churnlens.plans.training import choose, train
+from churnlens.session import ensure_checkpoint_dir, pin_time_zone
 from churnlens.sources.clickstream import LEVELS, PAGES, clickstream
-from churnlens.sources.events import name_table, read_table
+from churnlens.sources.events import name_table, read_table, write_table
+from churnlens.sources.scores import read_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,7 +60,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.user_profile(*labelled(spark, sf_dir))
+    return reports.user_profile(cleaned(spark, sf_dir))
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +90,11 @@ def rounded(table: DataFrame, places: int = 6) -> DataFrame:
 
 def projected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The used columns of all events, read by the name of a view."""
-    named = name_table(raw_events(spark, sf_dir), "raw_events")
-    return clean.project_events(named)
+    name = f"raw_events_{uuid4().hex}"
+    named = name_table(raw_events(spark, sf_dir), name)
+    pruned = clean.project_events(named)
+    spark.catalog.dropTempView(name)
+    return pruned
 
 
 def valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +105,50 @@ def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(spark, sf_dir)
 
 
+EVENT_ORDER = ("userId", "ts", *[c for c in EVENT_COLUMNS if c not in ("userId", "ts")])
+
+
 def sorted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.sort_events(valid(spark, sf_dir))
+    """Events with their place in the order by user and time, then by all other columns."""
+    return order.with_position(valid(spark, sf_dir), *EVENT_ORDER)
+
+
+def event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether sorted events stand in order: all of them, and where they do not."""
+    return order.order_breaks(order.ordered_slots(valid(spark, sf_dir), "userId", "ts"), "userId", "ts")
+
+
+def sessions_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered session report, with the place of each line."""
+    report = reports.sessions_by_day(*labelled(spark, sf_dir))
+    return rounded(order.with_position(report, "activity_time", "label"))
+
+
+# Every so many milliseconds an event's line is followed by its first half, which is no JSON.
+BROKEN_EVERY = 101
+
+
+def _run_folder(spark: SparkSession) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/run-{uuid4().hex}"
+
+
+def _json_lines(events: DataFrame, path: str) -> str:
+    """Write the events as JSON lines, some of them with a broken line after them."""
+    whole = F.to_json(F.struct("*"))
+    half = F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int"))
+    lines = F.when(F.col("ts") % BROKEN_EVERY == 0, F.array(whole, half)).otherwise(F.array(whole))
+    events.select(F.explode(lines).alias("value")).write.text(path)
+    return path
+
+
+def events_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indexed events of a prepared run over JSON lines, and how many lines were broken."""
+    root = _run_folder(spark)
+    out = prepare(spark, _json_lines(raw_events(spark, sf_dir), f"{root}/events.json"), f"{root}/out")
+    bad = read_table(spark, out.load_report).first()["bad_lines"]
+    events = read_table(spark, out.events).select(*EVENT_COLUMNS, *DERIVED_COLUMNS)
+    return events.withColumn("bad_lines", F.lit(bad).cast("long"))
 
 
 def index_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,9 +391,13 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each user is in a part: once, whatever parts the engine draws."""
-    parts = _parts(models.random_split(churn_label(spark, sf_dir)))
-    return parts.groupBy("userId", "label").agg(F.count("part").alias("times"))
+    """How often each user is in a part: once, whatever parts the engine draws; and whether
+    the share of the training part is one that such a draw has (within 5 standard
+    deviations)."""
+    parts = materialise(_parts(models.random_split(churn_label(spark, sf_dir))))
+    n, drawn = parts.agg(F.count(F.lit(1)), F.count_if(F.col("part") == "training")).first()
+    likely = (drawn - SPLIT[0] * n) ** 2 <= 25 * n * SPLIT[0] * SPLIT[1]
+    return parts.groupBy("userId", "label").agg(F.count("part").alias("times"), F.lit(likely).alias("likely_share"))
 
 
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,17 +414,14 @@ def weighted_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three guesses at the truth in ``labels``, scored and compared."""
-    rows = judged(spark, sf_dir)
     guesses = {
         "linear_svm": F.lit(0.0),
         "logistic_regression": F.col("prediction"),
         "random_forest": 1 - F.col("prediction"),
     }
-    scores = None
-    for name, guess in guesses.items():
-        score = evaluate.weighted_f1(rows.withColumn("prediction", guess)).withColumn("classifier", F.lit(name))
-        scores = score if scores is None else scores.unionByName(score)
-    return rounded(evaluate.best_model(scores))
+    pairs = F.array(*[F.struct(F.lit(n).alias("classifier"), g.alias("prediction")) for n, g in guesses.items()])
+    rows = judged(spark, sf_dir).select("label", F.inline(pairs))
+    return rounded(evaluate.best_model(evaluate.weighted_f1(rows, ["classifier"])))
 
 
 # Training (values depend on the engine) -----------------------------------------
@@ -376,33 +435,134 @@ def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(assemble.stored_key(feature_columns(events, latent, PAGES, LEVELS), USER_INDEX))
 
 
+# Users are solved last, so theirs are least-squares answers up to the factors' single precision;
+# items were solved just before that.
+USER_RESIDUAL, ITEM_RESIDUAL = 1e-3, 0.25
+
+
 def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = materialise(ratings.period_ratings(_indexed(spark, sf_dir), USER_INDEX, ARTIST_INDEX))
-    return ratings.item_factors(pairs).select("id", F.posexplode("features").alias("factor", "value"))
+    """Every user and item with ratings: its factors' rank, whether they are numbers, and
+    whether they solve its normal equations within the bound."""
+    pairs = materialise(ratings.rated(ratings.period_ratings(_indexed(spark, sf_dir), USER_INDEX, ARTIST_INDEX)))
+    users, items = (materialise(side) for side in ratings.factorise(pairs))
+    of_users = ratings.normal_residuals(pairs, users, items, USER_INDEX, ARTIST_INDEX)
+    of_items = ratings.normal_residuals(pairs, items, users, ARTIST_INDEX, USER_INDEX)
+    sides = [
+        side.select(
+            F.lit(kind).alias("kind"), "id", "rank", "finite", "ratings", (F.col("residual") <= bound).alias("solved")
+        )
+        for kind, side, bound in (("user", of_users, USER_RESIDUAL), ("item", of_items, ITEM_RESIDUAL))
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+def _train(name: str, spark: SparkSession, sf_dir: str) -> tuple[models.Trained, DataFrame]:
+    """The trained classifier, and the rows it was trained on with scaled features."""
+    vectors = assemble.assemble_features(both_periods(_training_table(spark, sf_dir)), USER_INDEX)
+    # Read back from Parquet: names of features come from what was stored.
+    table = write_table(vectors, f"{_run_folder(spark)}/features")
+    rate = labels.churn_rate(churn_label(spark, sf_dir)).first()["churn_rate"]
+    training, test = models.hash_split(labels.class_weights(table, rate), USER_INDEX)
+    trained = models.train_and_score(training, test, name, "weights")
+    return trained, trained.model.stages[0].transform(training)
+
+
+def _checked(trained: models.Trained) -> DataFrame:
+    """Hold-out users: whether the prediction is a label, and whether the score of the
+    predictions is the report's weighted F1."""
+    f1 = evaluate.weighted_f1(trained.predictions).first()["f1"]
+    return trained.predictions.select(
+        USER_INDEX,
+        "label",
+        F.col("prediction").isin(0.0, 1.0).alias("is_label"),
+        F.lit(abs(f1 - trained.f1) < 1e-9).alias("f1_agrees"),
+    )
 
 
-def _train(name: str) -> Callable[[SparkSession, str], models.Trained]:
-    def run(spark: SparkSession, sf_dir: str) -> models.Trained:
-        table = assemble.assemble_features(both_periods(_training_table(spark, sf_dir)), USER_INDEX)
-        rate = labels.churn_rate(churn_label(spark, sf_dir)).first()["churn_rate"]
-        weighted = labels.class_weights(table, rate)
-        training, test = models.hash_split(weighted, USER_INDEX)
-        return models.train_and_score(training, test, name, "weights")
+# Bounds of the checks: length of the loss gradient against that at the zero model, and how
+# much a step may lower the hinge loss (1 at the zero model).
+GRADIENT_BOUND, HINGE_BOUND = 0.01, 0.01
 
-    return run
 
+def train_logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, rows = _train("logistic_regression", spark, sf_dir)
+    gradient = settled_logistic(rows, trained.model.stages[-1], "weights")
+    return _checked(trained).withColumn("settled", F.lit(gradient <= GRADIENT_BOUND))
 
-def _predictions(name: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        trained = _train(name)(spark, sf_dir)
-        return trained.predictions.select(USER_INDEX, "label", "prediction", F.lit(trained.f1).alias("f1"))
 
-    return query
+def train_linear_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, rows = _train("linear_svm", spark, sf_dir)
+    _, lowered = settled_svm(rows, trained.model.stages[-1], "weights")
+    return _checked(trained).withColumn("settled", F.lit(lowered <= HINGE_BOUND))
+
+
+def train_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With each hold-out user's vote by joins over the table of the forest's nodes."""
+    trained, _ = _train("random_forest", spark, sf_dir)
+    forest = trained.model.stages[-1]
+    nodes = forest_nodes(spark, forest, f"{_run_folder(spark)}/forest")
+    votes = forest_votes(trained.predictions, nodes, USER_INDEX, depth=forest.getMaxDepth())
+    voted = votes.select(USER_INDEX, F.col("prediction").alias("voted"))
+    joined = _checked(trained).join(trained.predictions.select(USER_INDEX, "prediction"), USER_INDEX)
+    checked = joined.join(voted, USER_INDEX, "left")
+    agrees = F.coalesce(F.col("voted") == F.col("prediction"), F.lit(False))
+    return checked.select(USER_INDEX, "label", "is_label", "f1_agrees", agrees.alias("votes_agree"))
 
 
 def logistic_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained = _train("logistic_regression")(spark, sf_dir)
-    return evaluate.rank_coefficients(trained.coefficients(), by_size=True)
+    """Each feature's place in the vector, whether the ranking is by falling size, and
+    whether the coefficients scaled back give the model's margins on unscaled features."""
+    trained, _ = _train("logistic_regression", spark, sf_dir)
+    scaler, model = trained.model.stages
+    table = evaluate.unscaled_coefficients(trained.coefficients(), scaler.maxAbs.toArray().tolist())
+    ranked = evaluate.rank_coefficients(table, by_size=True)
+    sizes = [r["coefficient"] for r in ranked.collect()]
+    margins = evaluate.linear_margins(trained.predictions, table, float(model.intercept), USER_INDEX)
+    both = margins.join(trained.predictions.select(USER_INDEX, vector_to_array("rawPrediction")[1].alias("raw")), USER_INDEX)
+    gap = both.agg(F.max(F.abs(F.col("margin") - F.col("raw")) / (1 + F.abs("raw")))).first()[0]
+    return ranked.select(
+        "feature",
+        "position",
+        F.lit(sizes == sorted(sizes, reverse=True)).alias("by_size"),
+        F.lit(gap is not None and gap < 1e-6).alias("scaled_back"),
+    )
+
+
+def churn_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run on the users with an even id, from JSON lines to the choice of a
+    classifier, then the chosen one on the other users.
+
+    One row per score: whether it is the weighted F1 of the predictions that were written
+    (for the class-weighted model, whose predictions are), whether the choice is the best
+    class-weighted score, on equal scores the first in order, and how often the second
+    dataset was trained on: once, with the chosen classifier.
+    """
+    root = _run_folder(spark)
+    events = raw_events(spark, sf_dir).where("userId is null or userId <> ''")
+    even = F.coalesce(F.col("userId").cast("long") % 2, F.lit(0)) == 0
+    runs = []
+    for name, part in (("first", events.where(even)), ("second", events.where(~even))):
+        out = prepare(spark, _json_lines(part, f"{root}/{name}.json"), f"{root}/{name}")
+        write_features(spark, out)
+        runs.append(out)
+    for classifier in CLASSIFIER_PRIORITY:
+        train(spark, runs[0], classifier)
+    chosen = choose(spark, runs[0], f"{root}/choice")
+    train(spark, runs[1], chosen)
+
+    found = []
+    for name, out in zip(("first", "second"), runs):
+        scores = read_scores(spark, out.scores).collect()
+        best = {r["classifier"]: r["f1"] for r in scores if r["weighted"]}
+        top = next(c for c in CLASSIFIER_PRIORITY if best.get(c) == max(best.values()))
+        for row in scores:
+            kept = row["f1"]
+            if row["weighted"]:
+                predictions = read_table(spark, f"{out.predictions}/{row['classifier']}")
+                kept = evaluate.weighted_f1(predictions).first()["f1"]
+            classifier = row["classifier"] if name == "first" else "chosen" * (row["classifier"] == chosen)
+            found.append((name, classifier, row["weighted"], abs(kept - row["f1"]) < 1e-9, top == chosen))
+    return spark.createDataFrame(found, "dataset string, classifier string, weighted boolean, f1_agrees boolean, best boolean")
 
 
 QUERIES: dict[str, Query] = {
@@ -410,6 +570,8 @@ QUERIES: dict[str, Query] = {
     "valid_events": valid_events,
     "clean_events": clean_events,
     "sorted_events": sorted_events,
+    "event_order": event_order,
+    "events_from_json": events_from_json,
     "index_users": index_users,
     "indexed_events": indexed_events,
     "last_week_events": last_week_events,
@@ -435,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "activity_chart": activity_chart,
     "sessions_by_day": sessions_by_day,
     "sessions_chart": sessions_chart,
+    "sessions_in_order": sessions_in_order,
     "page_share": _block(blocks.page_share, PAGES, period=blocks.ALL),
     "page_share_last_week": _block(blocks.page_share, PAGES, period=blocks.LAST_WEEK),
     "page_share_found": _found_block(blocks.page_share, "page", CANCEL_PAGES),
@@ -468,8 +631,9 @@ QUERIES: dict[str, Query] = {
     "weighted_f1": weighted_f1,
     "best_model": best_model,
     "als_factors": als_factors,
-    "train_random_forest": _predictions("random_forest"),
-    "train_logistic_regression": _predictions("logistic_regression"),
-    "train_linear_svm": _predictions("linear_svm"),
+    "train_random_forest": train_random_forest,
+    "train_logistic_regression": train_logistic_regression,
+    "train_linear_svm": train_linear_svm,
     "logistic_coefficients": logistic_coefficients,
+    "churn_run": churn_run,
 }

@@ -11,15 +11,16 @@ SCORE_SCHEMA = "classifier string, weighted boolean, f1 double"
 
 
 def write_score(spark: SparkSession, path: str, classifier: str, weighted: bool, f1: float) -> DataFrame:
-    """Replace the score of one classifier; others are left alone, so several
+    """Replace the score of one classifier in the score table, which is partitioned by
+    ``classifier`` and ``weighted``. Other partitions are not touched, so several
     classifiers may be trained at the same time."""
-    kind = "weighted" if weighted else "unweighted"
-    row = spark.createDataFrame([(classifier, weighted, f1)], SCORE_SCHEMA).coalesce(1)
-    return write_table(row, f"{path}/{classifier}-{kind}")
+    row = spark.createDataFrame([(f1,)], "f1 double").coalesce(1)
+    return write_table(row, f"{path}/classifier={classifier}/weighted={str(weighted).lower()}")
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCORE_SCHEMA).parquet(f"{path}/*")
+    """All scores written so far."""
+    return spark.read.schema(SCORE_SCHEMA).parquet(path).select("classifier", "weighted", "f1")
 
 
 def comparable_scores(scores: DataFrame) -> DataFrame:
