@@ -7,8 +7,9 @@ document's key, the place of the segment in it and how many skips came before. S
 occurrence has a segmentation of its own, a seed gives the same pieces on every machine
 and another seed other pieces, and any of them decode to the same text.
 
-A segmentation follows from the segment and from which of its merges are skipped, and
-only results by both are remembered: no occurrence takes another's draws.
+A segmentation follows from the segment and from which of its merges are skipped. Many
+segments are merged side by side, as rows of a matrix: a step takes the best merge of
+every row or skips it. Nothing is remembered from one batch to the next.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
-from math import log, log1p
+from math import log1p
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,11 @@ from churnlens.llm.tables import small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _SEGMENTS = re.compile(rb" +[^ \n]*|\n|[^ \n]+")
-_KNOWN = 600_000  # segmentations that a worker remembers
-_LONGEST = 24  # bytes of a segment that is remembered
+_LONGEST = 24  # bytes of a segment that is merged beside others; longer ones go one by one
+_AT_ONCE = 1 << 15  # segments
+_NO_PIECE = -16  # and below: characters that stand in no piece
+_PAD, _NONE = -1, (1 << 31) - 1
+_WIDTHS = ((0, 8), (8, 14), (14, _LONGEST))  # bytes of the segments that are merged side by side
 _NEVER = 1 << 62
 _MIX, _FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 _ALL = (1 << 64) - 1
@@ -82,34 +85,21 @@ class Codec:
         self.seed, self.variants = _mixed_one((seed * _MIX + 1) & _ALL), variants
         # How many merges pass before one is skipped is geometric: log(u) over this.
         self.log_kept = log1p(-dropout) if dropout else 0.0
-        self.known: dict[bytes | tuple, tuple[int, bytes]] = {}
+        self._pairs()
 
-    def _gap(self, draw: int) -> int:
-        return int(log(((draw >> 11) + 1) * 2.0**-53) / self.log_kept)
+    def _gaps(self, draws: np.ndarray) -> np.ndarray:
+        """How many merges pass before the next skip, by the draw of each."""
+        if not self.log_kept:
+            return np.full(len(draws), _NEVER, np.int64)
+        uniform = ((draws >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53
+        return np.minimum(np.log(uniform) / self.log_kept, 2.0**40).astype(np.int64)
 
-    def _later(self, draw: int, last: int):
-        """The merges after ``last`` that an occurrence skips, by the draw of its first one."""
+    def _skips(self, first: int, draw: int) -> Iterator[int]:
+        """Numbers of the merges that an occurrence skips, by the draw of its first one."""
         while True:
+            yield first
             draw = _mixed_one((draw + _MIX) & _ALL)
-            last += 1 + self._gap(draw)
-            yield last
-
-    def _chosen(self, segment: bytes, first: int, draw: int) -> bytes:
-        """The segmentation of an occurrence whose first skipped merge is ``first``."""
-        skips, later = (first,), self._later(draw, first)
-        if len(segment) > _LONGEST:
-            return self._segment(segment, chain(skips, later))[1]
-        while True:
-            name = (segment, *skips)
-            found = self.known.get(name)
-            if found is None:
-                if len(self.known) >= _KNOWN:
-                    self.known.clear()
-                found = self.known[name] = self._segment(segment, iter(skips))
-            following = next(later)
-            if following >= found[0]:
-                return found[1]
-            skips = (*skips, following)
+            first += 1 + int(self._gaps(np.array([draw], np.uint64))[0])
 
     def _segment(self, segment: bytes, skips: Iterator[int]) -> tuple[int, bytes]:
         """How many merges came up, and the ids; ``skips`` has the numbers of the merges that
@@ -155,35 +145,191 @@ class Codec:
                 out += [self.bytes[b] for b in part.encode()]
         return count, array("i", out).tobytes()
 
+    def _pairs(self) -> None:
+        """Symbols (pieces, and characters of pieces) and which two of them merge."""
+        letters = dict.fromkeys(c for p in self.ids for c in p if c not in self.ids)
+        symbols = {**self.ids, **{c: len(self.plain) + i for i, c in enumerate(letters)}}
+        self.outside = np.array([ord(c) for c in letters], np.int64)
+        codes = {ord(c): i for c, i in symbols.items() if len(c) == 1}
+        # Spaces are pieces' U+2581; a literal one is no part of any piece.
+        codes[ord(" ")] = codes.pop(ord(SPACE), _NO_PIECE - ord(" "))
+        self.letters = np.array(sorted(codes), np.int64)
+        self.symbols = np.array([codes[c] for c in self.letters.tolist()], np.int64)
+        found = {}
+        for piece, i in self.ids.items():
+            for at in range(1, len(piece)):
+                left, right = symbols.get(piece[:at]), symbols.get(piece[at:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = (self.ranks[piece], i)
+        names = sorted(found)
+        order = {rank: i for i, rank in enumerate(sorted({rank for rank, _ in found.values()}))}
+        self.pairs = np.array([*names, 1 << 62], np.int64)
+        self.pair_ranks = np.array([*[order[found[n][0]] for n in names], _NONE], np.int32)
+        self.pair_symbols = np.array([*[found[n][1] for n in names], 0], np.int32)
+
+    def _merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of two symbols (``_NONE``: none) and the symbol it gives."""
+        names = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs[:-1], names)
+        hit = (self.pairs[at] == names) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.pair_ranks[at], np.int32(_NONE)), self.pair_symbols[at]
+
+    def _together(self, parts: np.ndarray, skips: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge all rows of symbols (padded by ``_PAD``) step by step, each with its own
+        skips: how many merges came up in each, and the symbols that are left."""
+        done, counts = np.full(parts.shape, _PAD, np.int32), np.zeros(len(parts), np.int64)
+        rows, number = np.arange(len(parts)), 0
+        parts = np.concatenate([parts, np.full((len(parts), 2), _PAD, np.int32)], axis=1)
+        ranks, merged = self._merges(parts[:, :-1], parts[:, 1:])
+        places = np.arange(parts.shape[1], dtype=np.int32)
+        while len(rows):
+            at = ranks.argmin(axis=1)
+            going = ranks[np.arange(len(rows)), at] < _NONE
+            if not going.all():
+                over = ~going
+                done[rows[over]], counts[rows[over]] = parts[over, : done.shape[1]], number
+                rows, parts, ranks, merged = rows[going], parts[going], ranks[going], merged[going]
+                skips, draws, at = skips[going], draws[going], at[going]
+                if not len(rows):
+                    break
+            every = np.arange(len(rows))
+            skipped = skips == number
+            number += 1
+            ranks[every[skipped], at[skipped]] = _NONE
+            if skipped.any():
+                draws[skipped] = _mixed(draws[skipped] + np.uint64(_MIX))
+                skips[skipped] += 1 + self._gaps(draws[skipped])
+            these = every[~skipped]
+            spot = at[these]
+            parts[these, spot] = merged[these, spot]
+            # What stands right of the merged pair moves up by one.
+            moved = np.minimum(places + (places > spot[:, None]), len(places) - 1)
+            parts[these] = np.take_along_axis(parts[these], moved, 1)
+            moved = np.minimum(moved[:, :-1], len(places) - 2)
+            for table in (ranks, merged):
+                table[these] = np.take_along_axis(table[these], moved, 1)
+            for side in (spot - 1, spot):
+                there = side >= 0
+                row, column = these[there], side[there]
+                ranks[row, column], merged[row, column] = self._merges(parts[row, column], parts[row, column + 1])
+        return counts, done
+
+    def _rows(self, segments: list[bytes]) -> np.ndarray:
+        """Symbols of the characters of some segments, a row each."""
+        texts = [s.decode("utf-8", "replace") for s in segments]
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+        at = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        symbols = np.where(self.letters[at] == codes, self.symbols[at], _NO_PIECE - codes)
+        size = np.array([len(t) for t in texts])
+        out = np.full((len(texts), int(size.max())), _PAD, np.int32)
+        out[np.arange(out.shape[1]) < size[:, None]] = symbols
+        return out
+
     def encode(self, text: bytes, key: int) -> np.ndarray:
         """Ids of a text. ``key`` and a segment's place in the text tell its occurrences apart;
         with ``variants`` there are only so many of them."""
-        if not text:
-            return np.zeros(0, np.int32)
-        segments = _SEGMENTS.findall(b" " + text)
-        places = np.arange(len(segments), dtype=np.uint64) * np.uint64(_MIX)
-        turns = _mixed(places + np.uint64(_mixed_one(key & _ALL)))
-        if self.variants:
-            turns %= np.uint64(self.variants)
-        draws = _mixed(turns ^ np.uint64(self.seed))
-        known, chosen = self.known, self._chosen
-        if not self.log_kept:
-            firsts = [_NEVER] * len(segments)
-        else:
-            uniform = ((draws >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53
-            firsts = np.minimum(np.log(uniform) / self.log_kept, 2.0**62).astype(np.int64).tolist()
-        draws, out = draws.tolist(), []
-        for segment, first, draw in zip(segments, firsts, draws):
-            if len(segment) > _LONGEST:
-                out.append(chosen(segment, first, draw) if self.log_kept else self._segment(segment, iter(()))[1])
+        return self.encode_all([text], [key])[0]
+
+    def encode_all(self, texts: list[bytes], keys: list[int]) -> list[np.ndarray]:
+        """Ids of some texts, as many segments at a time as fit together."""
+        segments, skips, draws, sizes, out, ends = [], [], [], [], [], []
+        for text, key in zip(texts, keys):
+            found = _SEGMENTS.findall(b" " + text) if text else []
+            places = np.arange(len(found), dtype=np.uint64) * np.uint64(_MIX)
+            turns = _mixed(places + np.uint64(_mixed_one(key & _ALL)))
+            if self.variants:
+                turns %= np.uint64(self.variants)
+            turns = _mixed(turns ^ np.uint64(self.seed))
+            segments += found
+            draws.append(turns)
+            skips.append(self._gaps(turns))
+            sizes.append(len(found))
+            while len(segments) >= _AT_ONCE:
+                allskips, alldraws = np.concatenate(skips), np.concatenate(draws)
+                ids, size = self._some(segments[:_AT_ONCE], allskips[:_AT_ONCE], alldraws[:_AT_ONCE])
+                out.append(ids)
+                ends.append(size)
+                segments, skips, draws = segments[_AT_ONCE:], [allskips[_AT_ONCE:]], [alldraws[_AT_ONCE:]]
+        if segments:
+            ids, size = self._some(segments, np.concatenate(skips), np.concatenate(draws))
+            out.append(ids)
+            ends.append(size)
+        if not out:
+            return [np.zeros(0, np.int32) for _ in texts]
+        until = np.concatenate([[0], np.cumsum(np.concatenate(ends))])[np.cumsum(sizes)]
+        return np.split(np.concatenate(out), until[:-1])
+
+    def _some(self, segments: list[bytes], skips: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some segments, and how many each has.
+
+        Each different segment is merged without skips first; that tells how many merges
+        come up, and an occurrence that skips none of them has its ids. The others are
+        merged again, each with its own skips.
+        """
+        numbers: dict[bytes, int] = {}
+        of = np.array([numbers.setdefault(s, len(numbers)) for s in segments], np.int64)
+        different = list(numbers)
+        whole = [i for i, s in enumerate(different) if len(s) <= _LONGEST]
+        merges = np.full(len(different), -1, np.int64)
+        tables, row = [], np.full((len(segments), 2), -1, np.int64)
+        where = np.full((len(different), 2), -1, np.int64)
+        for low, high in _WIDTHS:
+            some = [i for i in whole if low < len(different[i]) <= high]
+            if not some:
                 continue
-            found = known.get(segment)
-            if found is None:
-                if len(known) >= _KNOWN:
-                    known.clear()
-                found = known[segment] = self._segment(segment, iter(()))
-            out.append(found[1] if first >= found[0] else chosen(segment, first, draw))
-        return np.frombuffer(b"".join(out), np.int32)
+            plain = self._rows([different[i] for i in some])
+            never = np.full(len(some), _NEVER)
+            merges[some], done = self._together(plain, never, np.zeros(len(some), np.uint64))
+            where[some, 0], where[some, 1] = len(tables), np.arange(len(some))
+            tables.append(done)
+            mine = np.zeros(len(different), bool)
+            mine[some] = True
+            again = np.flatnonzero(mine[of] & (skips < merges[of]))
+            if len(again):
+                start = np.zeros(len(different), np.int64)
+                start[some] = np.arange(len(some))
+                _, done = self._together(plain[start[of[again]]], skips[again], draws[again])
+                row[again, 0], row[again, 1] = len(tables), np.arange(len(again))
+                tables.append(done)
+        row = np.where(row >= 0, row, where[of])
+        size = np.zeros(len(segments), np.int64)
+        lists: list[np.ndarray] = [(t != _PAD).sum(axis=1) for t in tables]
+        long = np.flatnonzero(row[:, 0] < 0)
+        ids = {}
+        for i in long.tolist():
+            ids[i] = np.frombuffer(self._segment(segments[i], self._skips(int(skips[i]), int(draws[i])))[1], np.int32)
+            size[i] = len(ids[i])
+        for k, counts in enumerate(lists):
+            here = row[:, 0] == k
+            size[here] = counts[row[here, 1]]
+        first = np.cumsum(size) - size
+        flat = np.zeros(int(size.sum()), np.int64)
+        for k, table in enumerate(tables):
+            here = np.flatnonzero(row[:, 0] == k)
+            got = table[row[here, 1]]
+            held = got != _PAD
+            flat[(first[here][:, None] + np.arange(table.shape[1]))[held]] = got[held]
+        for i, values in ids.items():
+            flat[first[i] : first[i] + size[i]] = values
+        return self._as_bytes(flat, size)
+
+    def _as_bytes(self, flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of symbols; characters that are no pieces become the ids of their bytes."""
+        odd = np.flatnonzero((flat < 0) | (flat >= len(self.plain)))
+        if not len(odd):
+            return flat.astype(np.int32), size
+        codes = np.where(flat[odd] < 0, _NO_PIECE - flat[odd], 0)
+        inside = flat[odd] >= len(self.plain)
+        codes[inside] = self.outside[flat[odd][inside] - len(self.plain)]
+        spelt = [[self.bytes[b] for b in chr(c).encode()] for c in codes.tolist()]
+        width = np.ones(len(flat), np.int64)
+        width[odd] = [len(s) for s in spelt]
+        out = np.repeat(flat, width)
+        start = (np.cumsum(width) - width)[odd]
+        for at, values in zip(start.tolist(), spelt):
+            out[at : at + len(values)] = values
+        owner = np.repeat(np.arange(len(size)), size)
+        return out.astype(np.int32), np.bincount(owner, width, len(size)).astype(np.int64)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of a row of ids; the space that was put before it goes."""
@@ -194,7 +340,7 @@ _codecs: dict[tuple, Codec] = {}
 
 
 def _codec(shared, dropout: float, seed: int, variants: int | None) -> Codec:
-    """A worker builds a codec once and keeps what it has learnt for its later tasks."""
+    """A worker builds a codec once, for all its tasks."""
     name = (shared.id if hasattr(shared, "id") else id(shared), dropout, seed, variants)
     if name not in _codecs:
         _codecs.clear()
@@ -222,12 +368,12 @@ class Pieces:
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array, keys: pa.Array) -> pa.Array:
             codec, plain = _codec(shared, dropout, seed, variants), texts.cast(pa.binary()).to_pylist()
-            return id_lists([codec.encode(t or b"", k % 2**63) for t, k in zip(plain, keys.to_pylist())])
+            return id_lists(codec.encode_all([t or b"" for t in plain], [k % 2**63 for k in keys.to_pylist()]))
 
         @F.arrow_udf("struct<piece_ids: array<int>, lossless: boolean>")
         def round_trip(texts: pa.Array, keys: pa.Array) -> pa.Array:
             codec, plain = _codec(shared, dropout, seed, variants), texts.cast(pa.binary()).to_pylist()
-            values = [codec.encode(t or b"", k % 2**63) for t, k in zip(plain, keys.to_pylist())]
+            values = codec.encode_all([t or b"" for t in plain], [k % 2**63 for k in keys.to_pylist()])
             same = pa.array([codec.decode(ids) == (t or b"") for t, ids in zip(plain, values)], pa.bool_())
             return pa.StructArray.from_arrays([id_lists(values), same], ["piece_ids", "lossless"])
 
@@ -237,7 +383,8 @@ class Pieces:
             rows = (codec.decode(row.values.to_numpy()) if row.is_valid else None for row in ids)
             return pa.array(rows, pa.binary()).cast(pa.string())
 
-        self._encode, self._decode, self._round_trip = encode, decode, round_trip
+        # Not to be worked out again where a later filter or column refers to it.
+        self._encode, self._decode, self._round_trip = encode, decode, round_trip.asNondeterministic()
 
     def encode(self, text: Column, key: Column) -> Column:
         """Piece ids; none for a null or empty text. ``key`` is hashed, of any type."""
@@ -264,4 +411,5 @@ def encoded(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     pieces = Pieces(docs.sparkSession, **options)
     both = pieces.round_trip(F.col(text_col), F.struct(id_col, text_col))
     plain = docs.drop("piece_ids", "lossless")
-    return plain.withColumns({"piece_ids": both["piece_ids"], "lossless": both["lossless"]})
+    done = plain.withColumn("__pieces", both)
+    return done.select(*[F.col(f"`{c}`") for c in plain.columns], "__pieces.piece_ids", "__pieces.lossless")

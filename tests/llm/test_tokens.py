@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -103,3 +104,28 @@ def test_encoded_table(spark):
     assert [rows[i]["text"] for i in range(len(ODD))] == ODD
     assert encoded(docs.limit(0)).count() == 0
     assert encoded(table(spark, [(None, "a b"), (1, None)])).where("lossless").count() == 2
+
+
+def test_segments_side_by_side_are_merged_like_one_by_one(spark):
+    from churnlens.llm import merge_dropout as M
+
+    codec = M.Codec(M.read_model(M.MODEL), 0.3, 5)
+    texts = [t.encode() for t in ODD if t] + ["日本 größte ▁▁ naïve \U0001f600 a-b_c  wordsandwords\n x" * 9]
+    for key, text in enumerate(texts):
+        segments = M._SEGMENTS.findall(b" " + text)
+        turns = M._mixed(np.arange(len(segments), dtype=np.uint64) * np.uint64(M._MIX) + np.uint64(M._mixed_one(key)))
+        draws = M._mixed(turns ^ np.uint64(codec.seed))
+        plain = [
+            np.frombuffer(codec._segment(s, codec._skips(first, draw))[1], np.int32)
+            for s, first, draw in zip(segments, codec._gaps(draws).tolist(), draws.tolist())
+        ]
+        assert np.concatenate(plain).tolist() == codec.encode(text, key).tolist()
+    together = codec.encode_all(texts, range(len(texts)))
+    assert [t.tolist() for t in together] == [codec.encode(t, k).tolist() for k, t in enumerate(texts)]
+
+
+def test_the_stage_encodes_once(spark):
+    from churnlens.llm.merge_dropout import encoded
+
+    plan = encoded(table(spark, ODD)).where("lossless")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
