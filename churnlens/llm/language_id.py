@@ -190,6 +190,8 @@ def training_sample(
     """
     slots = max(1, min(per_language, max_rows // max(1, labelled.select("lang").distinct().count())))
     slot, key = F.pmod(F.xxhash64("id"), F.lit(slots)), F.xxhash64("id", F.lit(1))
+    # Only rows that have something to learn from compete for a slot.
+    labelled = labelled.where(F.length("text") > 0)
     keyed = labelled.select("lang", "id", slot.alias("slot"), key.alias("key"))
     chosen = keyed.groupBy("lang", "slot").agg(F.min("key").alias("key"))
     chosen = F.broadcast(materialise(chosen))

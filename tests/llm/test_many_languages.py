@@ -20,3 +20,10 @@ def test_a_repeated_id_gives_one_row_for_its_slot(spark):
     assert Counter(lang for lang, _ in found) == {"en": 8, "de": 16}
     few = training_sample(labelled, per_language=256, pieces=8, max_rows=1)
     assert Counter(lang for lang, _ in few) == {"en": 8, "de": 8}
+
+
+def test_an_empty_row_does_not_cost_a_language(spark):
+    rows = [(100 * k + i, f"{chr(0x4E00 + 50 * k)}" * 30 * i, f"l{k:02}") for k in range(30) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for settings in ({}, {"per_language": 1}):
+        assert train(docs, held_out=F.lit(False), rounds=2, **settings).languages == [f"l{k:02}" for k in range(30)]
