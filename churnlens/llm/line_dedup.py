@@ -1,8 +1,12 @@
-"""Repeated lines or paragraphs: the earliest occurrence stays, the rest goes.
+"""Repeated lines, paragraphs or sentences: the earliest occurrence stays, the rest goes.
 
 Units are normalised and hashed to 128 bits, digests are grouped over all documents,
 and each document learns which of its units came first. What one digest or document
 shuffles is a fixed-size row per unit; texts move once, by document.
+
+A line may say little ("of.", a heading) and repeat by chance, and a passage may start
+inside a line. So lines can be cut further at the ends of sentences, and repeated units can
+be asked to stand next to each other with some number of words together before they go.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from churnlens.llm.tables import map_batches
 from churnlens.operators.materialise import materialise
 
 # A separator belongs to the unit before it and goes with it.
-SEPARATORS = {"line": rb"\n", "paragraph": rb"\n[ \t\r\x0b\x0c]*\n\s*"}
+SEPARATORS = {"line": rb"\n", "paragraph": rb"\n[ \t\r\x0b\x0c]*\n\s*", "sentence": rb"\n|[.!?]+[ \t]+"}
 
 
 def cut(text: bytes, pattern: re.Pattern) -> list[tuple[int, int, bytes]]:
@@ -42,6 +46,23 @@ def normal(unit: bytes) -> bytes:
     return b" ".join(unit.lower().split())
 
 
+def heavy_runs(units: list[tuple[int, int, bytes]], gone: list[bool], min_words: int) -> list[bool]:
+    """``gone`` without the runs of adjacent units that have fewer words together. Blank
+    units neither belong to a run nor end it."""
+    out, run, words = [False] * len(units), [], 0
+    for i, (_, _, content) in enumerate([*units, (0, 0, b".")]):
+        size = len(content.split())
+        if i < len(units) and gone[i]:
+            run.append(i)
+            words += size
+        elif size:
+            if words >= min_words:
+                for k in run:
+                    out[k] = True
+            run, words = [], 0
+    return out
+
+
 def first_units(docs: DataFrame, unit: str, id_col: str, text_col: str) -> DataFrame:
     """``id_col``, ``starts``: where the units begin that no earlier unit repeats."""
     pattern, kind = re.compile(SEPARATORS[unit]), dict(docs.dtypes)[id_col]
@@ -71,14 +92,17 @@ def first_units(docs: DataFrame, unit: str, id_col: str, text_col: str) -> DataF
 
 
 def dedup_units(
-    docs: DataFrame, *, unit: str = "line", id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, unit: str = "line", min_words: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with repeated units taken out of ``text_col``, and three more columns:
     ``n_units``, ``n_removed`` and ``removed``, the spans (``start``, ``stop``) that went,
     as character offsets into the original text.
 
-    ``unit`` is ``line`` or ``paragraph``. Of equal normalised units the one with the
-    smallest (id, offset) stays, also within one document. Blank units always stay. A
+    ``unit`` is ``line``, ``paragraph`` or ``sentence`` (lines, cut after ``.``, ``!`` or
+    ``?`` and white space, which go with the unit before). Of equal normalised units the
+    one with the smallest (id, offset) stays, also within one document. The others are
+    repeated; a run of repeated units next to each other goes if it has ``min_words`` words
+    or more together, else it stays whole. Blank units always stay and end no run. A
     null text stays null; rows without an id are left as they are and rank nowhere; rows
     that repeat an id are one document in the ranking and keep the same units. Extra
     columns stay, those called like one of the three new columns are replaced.
@@ -97,8 +121,9 @@ def dedup_units(
         for text, mine, ranked in zip(texts.cast(pa.binary()).to_pylist(), first.to_pylist(), known.to_pylist()):
             units = cut(text or b"", pattern)
             keep = set(mine or ())
-            gone = [u for u in units if ranked and u[0] not in keep and normal(u[2])]
-            rows.append((text, units, gone))
+            gone = [bool(ranked and u[0] not in keep and normal(u[2])) for u in units]
+            gone = heavy_runs(units, gone, min_words)
+            rows.append((text, units, [u for u, lost in zip(units, gone) if lost]))
         out = []
         for text, units, gone in rows:
             left = text

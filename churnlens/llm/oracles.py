@@ -58,30 +58,42 @@ FROM scored WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
 """
 
-# The first occurrence of each normalised line stays; a newline belongs to the line before it.
+# The first occurrence of each normalised sentence stays; a run of others goes if it has 30 words.
+# A separator belongs to the sentence before it.
 ORACLES["op2_line_dedup"] = r"""
-WITH parts AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-        generate_subscripts(string_split(text, chr(10)), 1) AS i, len(string_split(text, chr(10))) AS n
+WITH cut AS (
+    SELECT doc_id, regexp_split_to_array(text, '\n|[.!?]+[ \t]+') AS units,
+        regexp_extract_all(text, '\n|[.!?]+[ \t]+') AS marks
     FROM documents WHERE text IS NOT NULL
 ),
+parts AS (
+    SELECT doc_id, unnest(units) AS line, unnest(list_concat(marks, [''])) AS mark,
+        generate_subscripts(units, 1) AS i, len(units) AS n
+    FROM cut
+),
 spans AS (
-    SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS BIGINT) AS start,
+    SELECT *, CAST(sum(length(line) + length(mark)) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - length(mark) AS BIGINT) AS start,
         trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[ \t\n\x0B\f\r]+', ' ', 'g')) AS unit
     FROM parts
 ),
 ranked AS (
-    SELECT *, unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) > 1 AS gone,
-        i < n OR line <> '' AS counts
+    SELECT *, unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) > 1 AS again,
+        i < n OR line <> '' AS counts, CASE WHEN unit = '' THEN 0 ELSE len(string_split(unit, ' ')) END AS words
     FROM spans
 ),
+runs AS (
+    SELECT *, count(*) FILTER (unit <> '' AND NOT again) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM ranked
+),
+weighed AS (
+    SELECT *, again AND sum(CASE WHEN again THEN words ELSE 0 END) OVER (PARTITION BY doc_id, run) >= 30 AS gone FROM runs
+),
 kept AS (
     SELECT doc_id,
-        coalesce(string_agg(line || CASE WHEN i < n THEN chr(10) ELSE '' END, '' ORDER BY i) FILTER (NOT gone), '') AS text,
+        coalesce(string_agg(line || mark, '' ORDER BY i) FILTER (NOT gone), '') AS text,
         CAST(count(*) FILTER (counts) AS INTEGER) AS n_units, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
         coalesce(string_agg(start || '-' || (start + length(line)), ',' ORDER BY i) FILTER (gone), '') AS removed
-    FROM ranked GROUP BY doc_id
+    FROM weighed GROUP BY doc_id
 )
 SELECT * FROM kept
 UNION ALL

@@ -22,6 +22,10 @@ from churnlens.llm.token_count import token_counts
 from churnlens.llm.warc import archive_pages
 
 
+# Words that repeated sentences next to each other have together before they go.
+MIN_REPEATED_WORDS = 30
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,7 +35,7 @@ def op1_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedup_units(_table(spark, sf_dir, "documents"), unit="line")
+    kept = dedup_units(_table(spark, sf_dir, "documents"), unit="sentence", min_words=MIN_REPEATED_WORDS)
     spans = F.transform("removed", lambda span: F.concat_ws("-", span["start"], span["stop"]))
     return kept.select("doc_id", "text", "n_units", "n_removed", F.concat_ws(",", spans).alias("removed"))
 

@@ -110,6 +110,35 @@ def test_lines_of_odd_texts(spark):
         assert all("\n" not in texts[i][s["start"] : s["stop"]] for s in row["removed"])
 
 
+@pytest.mark.parametrize("min_words", [1, 4])
+def test_runs_of_sentences(spark, min_words):
+    texts = [
+        "One two. Three four five!  Six\nseven. x", "Zero. one two. Three four five! Six\nlast", "six", None, "",
+        "one two.  \n\n three four five! é. six", "six. new six. one two. and three four five? seven\nseven. x ", *ODD,
+    ]
+    got = by_id(dedup_units(table(spark, texts), unit="sentence", min_words=min_words))
+    seen = set()
+    for i, text in enumerate(texts):
+        cuts = [m.span() for m in re.finditer(r"\n|[.!?]+[ \t]+", text or "")]
+        starts, ends = [0, *[b for _, b in cuts]], [*[a for a, _ in cuts], len(text or "")]
+        keys = [" ".join((text or "")[a:b].encode().lower().decode().split()) for a, b in zip(starts, ends)]
+        again = []
+        for key in keys:
+            again.append(bool(key) and key in seen)
+            seen.add(key)
+        gone, run = set(), []
+        for n, key in [*enumerate(keys), (None, "end")]:
+            if n is not None and again[n]:
+                run.append(n)
+            elif key:
+                if sum(len(keys[k].split()) for k in run) >= min_words:
+                    gone |= set(run)
+                run = []
+        assert [(s["start"], s["stop"]) for s in got[i]["removed"]] == [(starts[n], ends[n]) for n in sorted(gone)]
+        left = "".join((text or "")[a:b] for n, (a, b) in enumerate(zip(starts, [*starts[1:], len(text or "")])) if n not in gone)
+        assert got[i]["text"] == (None if text is None else left)
+
+
 def test_paragraphs(spark):
     texts = ["a b\nc\n\nd\n \n  a", "A b c\n\nd e"]
     got = by_id(dedup_units(table(spark, texts), unit="paragraph"))
