@@ -37,7 +37,8 @@ _WIDTH = SPAN - GRAM + 1  # places a trigger can have in a string; fits the bits
 BITS_A_TRIGGER = 8
 MAX_BITS = 1 << 30
 PIECE_BYTES = 1 << 20
-PHRASES_A_SORT = 8192  # and per shard of a trigger with more phrases than that
+PHRASES_A_SORT = 8192
+PHRASES_A_SHARD = 512  # of one trigger; more are dealt over shards
 _SEGMENT = 15  # log2 of the bits that bitmap_construct_agg packs into one value
 _ALL = -1
 
@@ -268,7 +269,7 @@ def _kept_bits(phrase: np.ndarray, offset: np.ndarray, size: int) -> np.ndarray:
     return bits.view(np.int64)
 
 
-def first_strings(phrases: DataFrame, *, phrases_a_sort: int = PHRASES_A_SORT) -> DataFrame:
+def first_strings(phrases: DataFrame, *, phrases_a_sort: int = PHRASES_A_SORT, phrases_a_shard: int = PHRASES_A_SHARD) -> DataFrame:
     """``id``, ``start``, ``one`` of dictionary phrases and ``kept``: bits of their strings
     that start nowhere earlier. Phrases without one are left out.
 
@@ -276,7 +277,8 @@ def first_strings(phrases: DataFrame, *, phrases_a_sort: int = PHRASES_A_SORT) -
     over shards, whose earliest strings are compared by digest.
     """
     counts = phrases.groupBy("trigger").agg(F.count(F.lit(1)).alias("n"))
-    many = materialise(counts.where(F.col("n") > phrases_a_sort).select("trigger", F.ceil(F.col("n") / phrases_a_sort).alias("salts")))
+    salts = F.ceil(F.col("n") / phrases_a_shard).alias("salts")
+    many = materialise(counts.where(F.col("n") > phrases_a_shard).select("trigger", salts))
     salted = lookup(phrases, many, "trigger").withColumn("salt", F.pmod("one", F.coalesce("salts", F.lit(1))))
     salted = salted.withColumn("split", F.col("salts").isNotNull()).drop("salts")
     dealt = salted.repartition("trigger", "salt").sortWithinPartitions("trigger", "salt")
@@ -339,7 +341,7 @@ def removed_spans(found: Phrases, possible: np.ndarray, firsts: dict[tuple[int,
     return np.array(gone, np.int64)
 
 
-def dedup_phrases(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", phrases_a_sort: int = PHRASES_A_SORT) -> DataFrame:
+def dedup_phrases(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **shards: int) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``spans`` (``start``, ``stop`` of the maximal removed runs, in bytes) and ``kept``, the
     bytes that are left (not always whole characters).
@@ -348,7 +350,8 @@ def dedup_phrases(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     smaller id, or further left in the same. Ids are whole numbers. A null text has no
     bytes. A row without an id is left as it is and is no earlier text of others. Rows that
     repeat an id are one document in that order: a string at the same place of both goes
-    from neither. Other columns are not looked at. An empty table gives an empty result.
+    from neither. Other columns are not looked at. An empty table gives an empty result. ``shards`` go to
+    ``first_strings``; the result does not depend on them.
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
     ranked = texts.where(F.col("id").isNotNull())
@@ -361,7 +364,7 @@ def dedup_phrases(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     shared = tagged.where(F.col("n").isNotNull())
     alone = tagged.where(F.col("n").isNull()).select("first.id", "first.start", "one", F.lit(_ALL).cast("bigint").alias("kept"))
     words = materialise(dictionary(ranked, shared, shared.count()))
-    firsts = alone.unionByName(first_strings(words, phrases_a_sort=phrases_a_sort))
+    firsts = alone.unionByName(first_strings(words, **shards))
     lists = firsts.groupBy("id").agg(F.collect_list(F.struct("start", "one", "kept")).alias("all"))
     lists = lists.select("id", *[F.col(f"all.{c}").alias(c) for c in ("start", "one", "kept")])
 

@@ -64,11 +64,11 @@ def found(frame):
 
 
 # A dictionary sorted a few phrases at a time, with common triggers dealt over shards, is the same.
-@pytest.mark.parametrize("phrases_a_sort", [8192, 5])
-def test_texts_of_all_kinds(spark, phrases_a_sort):
+@pytest.mark.parametrize("shards", [{}, {"phrases_a_sort": 5, "phrases_a_shard": 3}])
+def test_texts_of_all_kinds(spark, shards):
     rows = rows_of_all_kinds()
     wanted = sorted(by_hand(rows), key=repr)
-    assert found(dedup_phrases(table(spark, rows), phrases_a_sort=phrases_a_sort)) == wanted
+    assert found(dedup_phrases(table(spark, rows), **shards)) == wanted
     assert sum(r[2] for r in wanted) > 50_000
 
 
