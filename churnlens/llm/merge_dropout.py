@@ -161,18 +161,34 @@ class Codec:
                 left, right = symbols.get(piece[:at]), symbols.get(piece[at:])
                 if left is not None and right is not None:
                     found[left << 32 | right] = (self.ranks[piece], i)
-        names = sorted(found)
         order = {rank: i for i, rank in enumerate(sorted({rank for rank, _ in found.values()}))}
-        self.pairs = np.array([*names, 1 << 62], np.int64)
-        self.pair_ranks = np.array([*[order[found[n][0]] for n in names], _NONE], np.int32)
-        self.pair_symbols = np.array([*[found[n][1] for n in names], 0], np.int32)
+        # A hash table with free places, so most searches end at the first.
+        size = 1 << (4 * len(found) + 1).bit_length()
+        self.pairs = np.full(size, _PAD, np.int64)
+        self.pair_ranks, self.pair_symbols = np.full(size, _NONE, np.int32), np.zeros(size, np.int32)
+        taken: set[int] = set()
+        for name, at in zip(found, self._slots(np.array(list(found), np.int64)).tolist()):
+            while at in taken:
+                at = (at + 1) % size
+            taken.add(at)
+            self.pairs[at], self.pair_ranks[at], self.pair_symbols[at] = name, order[found[name][0]], found[name][1]
+
+    def _slots(self, names: np.ndarray) -> np.ndarray:
+        return (names.view(np.uint64) * np.uint64(_MIX) >> np.uint64(65 - len(self.pairs).bit_length())).astype(np.int64)
 
     def _merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of the merge of two symbols (``_NONE``: none) and the symbol it gives."""
-        names = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self.pairs[:-1], names)
-        hit = (self.pairs[at] == names) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.pair_ranks[at], np.int32(_NONE)), self.pair_symbols[at]
+        ranks, merged = np.full(left.shape, _NONE, np.int32), np.zeros(left.shape, np.int32)
+        asked = np.flatnonzero((left >= 0) & (right >= 0))
+        names = left.ravel()[asked].astype(np.int64) << 32 | right.ravel()[asked]
+        at = self._slots(names)
+        while len(asked):
+            there = self.pairs[at]
+            hit = there == names
+            ranks.flat[asked[hit]], merged.flat[asked[hit]] = self.pair_ranks[at[hit]], self.pair_symbols[at[hit]]
+            on = np.flatnonzero(~hit & (there != _PAD))
+            asked, names, at = asked[on], names[on], (at[on] + 1) & (len(self.pairs) - 1)
+        return ranks, merged
 
     def _together(self, parts: np.ndarray, skips: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge all rows of symbols (padded by ``_PAD``) step by step, each with its own
@@ -269,15 +285,15 @@ class Codec:
         numbers: dict[bytes, int] = {}
         of = np.array([numbers.setdefault(s, len(numbers)) for s in segments], np.int64)
         different = list(numbers)
-        whole = [i for i, s in enumerate(different) if len(s) <= _LONGEST]
+        lengths = np.fromiter(map(len, different), np.int64, len(different))
         merges = np.full(len(different), -1, np.int64)
         tables, row = [], np.full((len(segments), 2), -1, np.int64)
         where = np.full((len(different), 2), -1, np.int64)
         for low, high in _WIDTHS:
-            some = [i for i in whole if low < len(different[i]) <= high]
-            if not some:
+            some = np.flatnonzero((lengths > low) & (lengths <= high))
+            if not len(some):
                 continue
-            plain = self._rows([different[i] for i in some])
+            plain = self._rows([different[i] for i in some.tolist()])
             never = np.full(len(some), _NEVER)
             merges[some], done = self._together(plain, never, np.zeros(len(some), np.uint64))
             where[some, 0], where[some, 1] = len(tables), np.arange(len(some))
