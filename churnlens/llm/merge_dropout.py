@@ -31,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _SEGMENTS = re.compile(rb" +[^ \n]*|\n|[^ \n]+")
 _LONGEST = 24  # bytes of a segment that is merged beside others; longer ones go one by one
-_AT_ONCE = 1 << 15  # segments
+_AT_ONCE = 1 << 17  # segments
 _NO_PIECE = -16  # and below: characters that stand in no piece
 _PAD, _NONE = -1, (1 << 31) - 1
 _WIDTHS = ((0, 8), (8, 14), (14, _LONGEST))  # bytes of the segments that are merged side by side
