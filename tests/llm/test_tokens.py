@@ -110,7 +110,7 @@ def test_segments_side_by_side_are_merged_like_one_by_one(spark):
     from churnlens.llm import merge_dropout as M
 
     codec = M.Codec(M.read_model(M.MODEL), 0.3, 5)
-    texts = [t.encode() for t in ODD if t] + ["日本 größte ▁▁ naïve \U0001f600 a-b_c  wordsandwords\n x" * 9]
+    texts = [t.encode() for t in [*ODD, "日本 größte ▁▁ naïve \U0001f600 a-b_c  wordsandwords\n x" * 9] if t]
     for key, text in enumerate(texts):
         segments = M._SEGMENTS.findall(b" " + text)
         turns = M._mixed(np.arange(len(segments), dtype=np.uint64) * np.uint64(M._MIX) + np.uint64(M._mixed_one(key)))
