@@ -9,6 +9,9 @@ A block with one column per page or hour aggregates twice: events per (user,
 value), which keeps the rows narrow while they are many, then the few rows of a
 user into one wide row. Aggregating straight into the wide row would shuffle all
 its columns, nearly all of them 0, for every task that sees the user.
+
+Blocks that need nothing finer than page, plan and hour can also be rolled up from
+``base_counts``, one narrow table of the events, instead of scanning them each.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from churnlens.operators.slices import is_recent
 
 HOUR = "hour"
 RECENT = "recent"
+BASE_KEYS = ("page", "level", HOUR)
 
 
 @dataclass(frozen=True)
@@ -35,6 +39,8 @@ class Period:
     name: str
     flag: str | None = None
 
+    rolled = False
+
     def count(self, condition: Column | None = None) -> Column:
         """Aggregate: events of the period (that fulfil the condition)."""
         if self.flag is not None:
@@ -45,9 +51,36 @@ class Period:
         """The column, NULL outside the period."""
         return F.col(column) if self.flag is None else F.when(F.col(self.flag), F.col(column))
 
+    def mean(self, column: str) -> Column:
+        """Aggregate: mean of the column over the events of the period."""
+        return F.avg(self.value(column))
+
+
+@dataclass(frozen=True)
+class RolledPeriod(Period):
+    """The same period where a row of ``base_counts`` stands for many events."""
+
+    rolled = True
+
+    @property
+    def events(self) -> str:
+        return f"events_{self.name}"
+
+    def count(self, condition: Column | None = None) -> Column:
+        events = F.col(self.events)
+        return F.sum(events if condition is None else F.when(condition, events).otherwise(0))
+
+    def value(self, column: str) -> Column:
+        raise TypeError(f"{column} is not known for each event in base_counts")
+
+    def mean(self, column: str) -> Column:
+        return F.try_divide(F.sum(f"{column}_sum_{self.name}"), F.sum(f"{column}_n_{self.name}"))
+
 
 ALL = Period("all")
 LAST_WEEK = Period("lw", RECENT)
+ROLLED_ALL = RolledPeriod("all")
+ROLLED_LAST_WEEK = RolledPeriod("lw", RECENT)
 
 
 @dataclass(frozen=True)
@@ -58,6 +91,7 @@ class Block:
     one, ``measures`` run over the events per (user, dimension value) and
     ``aggregates`` over those results. ``features`` are computed from the
     aggregates. A user is part of the block when aggregate ``present`` is above 0.
+    A ``rolled`` block runs over the rows of ``base_counts`` instead of events.
     """
 
     aggregates: dict[str, Column]
@@ -65,6 +99,7 @@ class Block:
     present: str | None = None
     dimension: str | None = None
     measures: dict[str, Column] = field(default_factory=dict)
+    rolled: bool = False
 
 
 def eligible_page(excluded: Sequence[str] = CANCEL_PAGES) -> Column:
@@ -86,7 +121,7 @@ def _pages(
         count = f"__page_{period.name}_{part}"
         aggregates[count] = F.max(F.when(F.col("page") == page, F.col(visits)))
         features[f"{prefix}_{period.name}_{part}"] = feature(F.coalesce(count, F.lit(0)), F.col(total))
-    return Block(aggregates, features, total, "page", {visits: period.count()})
+    return Block(aggregates, features, total, "page", {visits: period.count()}, period.rolled)
 
 
 def page_share(pages: Sequence[str], period: Period = ALL, excluded: Sequence[str] = CANCEL_PAGES) -> Block:
@@ -112,7 +147,7 @@ def level_share(levels: Sequence[str], period: Period = ALL, dropped: str = BASE
         count = f"__level_{period.name}_{part}"
         aggregates[count] = period.count(F.col("level") == level)
         features[f"level_pct_{period.name}_{part}"] = F.coalesce(share(F.col(count), F.col(total)), F.lit(0.0))
-    return Block(aggregates, features, total)
+    return Block(aggregates, features, total, rolled=period.rolled)
 
 
 def length_stats(period: Period = ALL) -> Block:
@@ -137,7 +172,7 @@ def _hours(period: Period, hours: Sequence[int], name: str, measure: str, how: C
         column = f"{name}_{period.name}_{hour}"
         aggregates[f"__{column}"] = F.expr(f"max(CASE WHEN {HOUR} = {hour} THEN {measure} END)")
         features[column] = F.expr(f"coalesce(__{column}, {missing})")
-    return Block(aggregates, features, seen, HOUR, {events: period.count(), measure: how})
+    return Block(aggregates, features, seen, HOUR, {events: period.count(), measure: how}, period.rolled)
 
 
 def hourly_counts(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
@@ -149,7 +184,7 @@ def hourly_counts(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
 def hourly_mean_length(period: Period = ALL, hours: Sequence[int] = HOURS) -> Block:
     """Mean song length in each hour of the day, 0 where nothing was played."""
     mean = f"__hour_length_{period.name}"
-    return _hours(period, hours, "hourly_mean_song_length", mean, F.avg(period.value("length")), "0D")
+    return _hours(period, hours, "hourly_mean_song_length", mean, period.mean("length"), "0D")
 
 
 def age_features() -> Block:
@@ -158,18 +193,43 @@ def age_features() -> Block:
     return Block(aggregates, {"age": F.col("__age"), "avg_age": F.col("__avg_age")})
 
 
-def period_blocks(pages: Sequence[str], levels: Sequence[str], period: Period) -> list[Block]:
-    """The blocks that exist once per period."""
+def period_blocks(
+    pages: Sequence[str], levels: Sequence[str], period: Period, counted: Period | None = None
+) -> list[Block]:
+    """The blocks that exist once per period. Those that can be rolled up are, when
+    ``counted`` is the period's rolled form; the deviation of lengths needs each event."""
+    counted = counted or period
     return [
-        page_share(pages, period),
-        page_counts(pages, period),
-        level_share(levels, period),
+        page_share(pages, counted),
+        page_counts(pages, counted),
+        level_share(levels, counted),
         length_stats(period),
-        hourly_counts(period),
-        hourly_mean_length(period),
+        hourly_counts(counted),
+        hourly_mean_length(counted),
     ]
 
 
+def base_counts(events: DataFrame, key: str = "userId") -> DataFrame:
+    """Events per (user, page, plan, hour) of both periods: how many, how many with a
+    length, and the sum of lengths. What page, plan and hour blocks need, in one scan.
+
+    A user has as many rows as combinations at most, whatever the number of events.
+    Events need ``last_ts``.
+    """
+    inputs = _with_derived(events)
+    measures = {}
+    for period, rolled in ((ALL, ROLLED_ALL), (LAST_WEEK, ROLLED_LAST_WEEK)):
+        measures[rolled.events] = period.count()
+        measures[f"length_sum_{period.name}"] = F.sum(period.value("length"))
+        measures[f"length_n_{period.name}"] = F.count(period.value("length"))
+    return inputs.groupBy(key, *BASE_KEYS).agg(*_aliased(measures))
+
+
+def _with_derived(events: DataFrame) -> DataFrame:
+    inputs = events.withColumn(HOUR, hour_of_day(F.col("ts")))
+    return inputs.withColumn(RECENT, is_recent()) if "last_ts" in events.columns else inputs
+
+
 def user_table(
     events: DataFrame,
     blocks: Iterable[Block],
@@ -178,6 +238,7 @@ def user_table(
     how: str = "inner",
     extra: dict[str, Column] | None = None,
     presence: dict[str, Iterable[Block]] | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Evaluate blocks for every user, one aggregation per dimension.
 
@@ -185,30 +246,35 @@ def user_table(
     blocks would); ``left`` keeps all users, with 0 for what is missing. ``extra``
     adds plain aggregates. ``presence`` adds boolean columns that say whether the
     user is part of all the named blocks. Events need ``last_ts`` when a block is
-    limited to the last week.
+    limited to the last week. ``base`` is the ``base_counts`` of the events (written,
+    as it is read for each dimension); rolled blocks need it.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     blocks, extra = list(blocks), dict(extra or {})
-    inputs = events.withColumn(HOUR, hour_of_day(F.col("ts")))
-    if "last_ts" in events.columns:
-        inputs = inputs.withColumn(RECENT, is_recent())
-
-    by_dimension: dict[str | None, list[Block]] = {None: []} if extra else {}
+    if base is None and any(block.rolled for block in blocks):
+        raise ValueError("rolled blocks need base_counts")
+    inputs = _with_derived(events)
+    # A user has a bounded number of rows in the base, so they can be put together;
+    # every roll-up then runs where they are.
+    counted = None if base is None else base.repartition(F.col(key))
+
+    by_source: dict[tuple[bool, str | None], list[Block]] = {(False, None): []} if extra else {}
     for block in blocks:
-        by_dimension.setdefault(block.dimension, []).append(block)
+        by_source.setdefault((block.rolled, block.dimension), []).append(block)
     parts = []
-    for dimension, members in by_dimension.items():
-        aggregates = dict(extra) if dimension is None else {}
+    for (rolled, dimension), members in by_source.items():
+        aggregates = {} if rolled or dimension is not None else dict(extra)
         for block in members:
             aggregates.update(block.aggregates)
-        rows = inputs
+        rows = counted if rolled else inputs
         if dimension is not None:
             measures = {name: column for block in members for name, column in block.measures.items()}
-            rows = inputs.groupBy(key, dimension).agg(*_aliased(measures))
-            # A user has one row per value by now, so they can be put together:
-            # the wide row is then built where its parts are, and never shuffled.
-            rows = rows.repartition(F.col(key))
+            rows = rows.groupBy(key, dimension).agg(*_aliased(measures))
+            if not rolled:
+                # A user has one row per value by now, so they can be put together:
+                # the wide row is then built where its parts are, and never shuffled.
+                rows = rows.repartition(F.col(key))
         parts.append(rows.groupBy(key).agg(*_aliased(aggregates)))
     # Every part has all users, partitioned by user.
     table = join_tables(parts, key)

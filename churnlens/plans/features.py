@@ -12,14 +12,17 @@ from churnlens.operators.assemble import assemble_features, join_tables, stored_
 from churnlens.operators.blocks import (
     ALL,
     LAST_WEEK,
+    ROLLED_ALL,
+    ROLLED_LAST_WEEK,
     age_features,
+    base_counts,
     discover_values,
     period_blocks,
     session_features,
     user_table,
 )
 from churnlens.operators.labels import churned
-from churnlens.operators.materialise import run_scope
+from churnlens.operators.materialise import materialise, run_scope
 from churnlens.operators.ratings import item_factors, latent_features, period_ratings, rated
 from churnlens.plans.prepare import Layout
 from churnlens.sources.events import read_table, write_table
@@ -65,6 +68,7 @@ def feature_events(events: DataFrame) -> DataFrame:
 def feature_columns(
     events: DataFrame,
     latent: DataFrame,
+    base: DataFrame,
     pages: Sequence[str],
     levels: Sequence[str],
     *,
@@ -72,11 +76,13 @@ def feature_columns(
 ) -> DataFrame:
     """Features of both periods and the label, for every user with latent features.
 
-    ``in_all`` and ``in_last_week`` say in which feature tables the user belongs:
-    one that lacks a block in the period is in neither table of that period.
+    ``base`` is the written ``base_counts`` of the events, which page, plan and hour
+    features are rolled up from. ``in_all`` and ``in_last_week`` say in which feature
+    tables the user belongs: one that lacks a block in the period is in neither table
+    of that period.
     """
-    whole = [*period_blocks(pages, levels, ALL), age_features()]
-    recent = period_blocks(pages, levels, LAST_WEEK)
+    whole = [*period_blocks(pages, levels, ALL, ROLLED_ALL), age_features()]
+    recent = period_blocks(pages, levels, LAST_WEEK, ROLLED_LAST_WEEK)
     table = user_table(
         events,
         whole + recent,
@@ -84,6 +90,7 @@ def feature_columns(
         how="left",
         extra={"label": churned()},
         presence={IN_ALL: whole, IN_LAST_WEEK: whole + recent},
+        base=base,
     )
     return join_tables([latent, table, session_features(events, key)], key)
 
@@ -111,8 +118,9 @@ def write_features(
 
     The blocks are those of the item factorisation and part of what it gives.
 
-    Events are scanned for ratings, sessions, pages, hours, and everything else;
-    ratings and the feature columns are read twice, so they are written.
+    Events are scanned four times: for ratings, sessions, the base of all page, plan
+    and hour features, and ages and lengths. Ratings, the base and the feature columns
+    are read more than once, so they are written.
     """
     with run_scope(spark):
         events = feature_events(read_table(spark, out.events))
@@ -123,9 +131,10 @@ def write_features(
         prefixes = {LATENT_ALL: "rating", LATENT_LAST_WEEK: "recent_rating"}
         latent = latent_features(ratings, factors, prefixes, key, item, rank=rank)
 
-        pages = discover_values(events, "page", excluded=CANCEL_PAGES)
-        levels = discover_values(events, "level")
-        table = feature_columns(events, latent, pages, levels, key=key)
+        base = materialise(base_counts(events, key))
+        pages = discover_values(base, "page", excluded=CANCEL_PAGES)
+        levels = discover_values(base, "level")
+        table = feature_columns(events, latent, base, pages, levels, key=key)
         table = write_table(stored_key(table, key), out.feature_columns)
         without = write_table(assemble_features(whole_period(table), key), out.no_lw_features)
         full = write_table(assemble_features(both_periods(table), key), out.features)

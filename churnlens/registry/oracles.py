@@ -636,6 +636,16 @@ FROM clean"""
     "hourly_mean_length": _block(WHOLE.hourly_mean_length()),
     "hourly_mean_length_last_week": _block(LAST_WEEK.hourly_mean_length(), True),
     "age_features": sql(AGE),
+    "base_counts": sql(
+        """
+SELECT userId, page, level, CAST(extract(hour FROM "timestamp") AS INTEGER) AS hour,
+  count(*) AS events_all, round(sum(length) + 1e-9, 6) AS length_sum_all, count(length) AS length_n_all,
+  count(*) FILTER (late) AS events_lw, round(sum(length) FILTER (late) + 1e-9, 6) AS length_sum_lw,
+  count(length) FILTER (late) AS length_n_lw
+FROM (SELECT clean.*, last_ts - ts <= 604800000 AS late FROM clean JOIN last_seen USING (userId))
+GROUP BY ALL""",
+        RECENT,
+    ),
     "prefixed_columns": _state("gender", FIRST_ORDER, "first_gender"),
     "session_features": sql(_session_select(), SESSION_FEATURES),
     "artist_ratings": sql("SELECT userId, artist, round(rating + 1e-9, 6) AS rating FROM ratings", RATINGS),

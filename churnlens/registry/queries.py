@@ -298,6 +298,11 @@ def prefixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.prefix_columns(first_gender(spark, sf_dir), "first")
 
 
+def base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narrow table that page, plan and hour features of both periods are rolled up from."""
+    return rounded(blocks.base_counts(slices.with_last_ts(cleaned(spark, sf_dir))))
+
+
 def session_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(blocks.session_features(cleaned(spark, sf_dir)))
 
@@ -343,7 +348,8 @@ def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _formula_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _indexed(spark, sf_dir)
     artists = events.where(F.col("artist").isNotNull()).groupBy(ARTIST_INDEX).agg(F.count(F.lit(1)).alias("n"))
-    return feature_columns(events, _latent(events, artists, USER_INDEX), PAGES, LEVELS)
+    base = materialise(blocks.base_counts(events, USER_INDEX))
+    return feature_columns(events, _latent(events, artists, USER_INDEX), base, PAGES, LEVELS)
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,7 +438,8 @@ def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = materialise(ratings.rated(ratings.period_ratings(events, USER_INDEX, ARTIST_INDEX)))
     factors = materialise(ratings.item_factors(pairs))
     latent = ratings.latent_features(pairs, factors, {"als_all": "rating", "als_lw": "recent_rating"})
-    return materialise(assemble.stored_key(feature_columns(events, latent, PAGES, LEVELS), USER_INDEX))
+    base = materialise(blocks.base_counts(events, USER_INDEX))
+    return materialise(assemble.stored_key(feature_columns(events, latent, base, PAGES, LEVELS), USER_INDEX))
 
 
 # Users are solved last, so theirs are least-squares answers up to the factors' single precision;
@@ -614,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "hourly_mean_length_last_week": _block(blocks.hourly_mean_length, period=blocks.LAST_WEEK),
     "age_features": _block(blocks.age_features),
     "prefixed_columns": prefixed_columns,
+    "base_counts": base_counts,
     "session_features": session_features,
     "artist_ratings": artist_ratings,
     "last_week_ratings": last_week_ratings,

@@ -8,7 +8,10 @@ from churnlens.operators.assemble import join_tables, prefix_columns
 from churnlens.operators.blocks import (
     ALL,
     LAST_WEEK,
+    ROLLED_ALL,
+    ROLLED_LAST_WEEK,
     age_features,
+    base_counts,
     discover_values,
     hourly_counts,
     hourly_mean_length,
@@ -20,6 +23,7 @@ from churnlens.operators.blocks import (
     user_table,
 )
 from churnlens.operators.clean import clean_events
+from churnlens.operators.materialise import materialise
 from churnlens.operators.slices import with_last_ts
 from churnlens.registry import queries as Q
 from churnlens.sources.clickstream import PAGES
@@ -177,3 +181,61 @@ def test_wide_rows_are_not_shuffled(spark, sf_dir):
     assert plan.count("SortMergeJoin") == 2
     # events -> user; events -> (user, page) -> user; events -> (user, hour) -> user
     assert plan.count("Exchange") == 5
+
+
+def rolled_blocks(whole, recent):
+    both = []
+    for period in (whole, recent):
+        both += [page_share(["Home", "NextSong"], period), page_counts(["Home"], period)]
+        both += [level_share(["free", "paid"], period), hourly_counts(period), hourly_mean_length(period)]
+    return both
+
+
+def test_rolled_blocks_equal_those_over_events(spark, sf_dir):
+    frame = with_last_ts(Q.cleaned(spark, sf_dir)).cache()
+    base = base_counts(frame).cache()
+    plain = by_key(user_table(frame, rolled_blocks(ALL, LAST_WEEK), how="left"))
+    rolled = by_key(user_table(frame, rolled_blocks(ROLLED_ALL, ROLLED_LAST_WEEK), how="left", base=base))
+    assert plain.keys() == rolled.keys() and plain
+    for user, row in plain.items():
+        assert rolled[user].keys() == row.keys()
+        assert [v for v in rolled[user].values()][1:] == pytest.approx([v for v in row.values()][1:])
+    assert base.agg({"events_all": "sum"}).first()[0] == frame.count()
+    assert discover_values(base, "page") == discover_values(frame, "page")
+
+
+def test_rolled_blocks_of_odd_events(spark):
+    frame = with_last_ts(
+        events(
+            spark,
+            event(page="Home", ts=START - WEEK, length=2.0),
+            event(page=None, level=None, length=None),
+            event("b", page="Cancel", length=None),
+        )
+    )
+    base = base_counts(frame)
+    plain = by_key(user_table(frame, rolled_blocks(ALL, LAST_WEEK), how="left"))
+    assert by_key(user_table(frame, rolled_blocks(ROLLED_ALL, ROLLED_LAST_WEEK), how="left", base=base)) == plain
+    inner = user_table(frame, rolled_blocks(ROLLED_ALL, ROLLED_LAST_WEEK), base=base)
+    assert by_key(inner) == by_key(user_table(frame, rolled_blocks(ALL, LAST_WEEK)))
+    empty = frame.limit(0)
+    assert user_table(empty, rolled_blocks(ROLLED_ALL, ROLLED_LAST_WEEK), base=base_counts(empty)).count() == 0
+    with pytest.raises(ValueError):
+        user_table(frame, [page_counts(["Home"], ROLLED_ALL)])
+    with pytest.raises(TypeError):
+        length_stats(ROLLED_ALL)
+
+
+def test_roll_ups_share_one_shuffle_of_the_base(spark, sf_dir):
+    """A user's rows of the base are put together once; pages, hours and plans need no further one."""
+    frame = with_last_ts(Q.cleaned(spark, sf_dir))
+    base = materialise(base_counts(frame))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = user_table(frame, [hourly_counts(ROLLED_ALL)], base=base)
+        plan = table._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from churnlens.__main__ import main
 from churnlens.constants import DERIVED_COLUMNS, EVENT_COLUMNS
 from churnlens.operators.assemble import feature_names
+from churnlens.operators.blocks import discover_values
+from churnlens.plans import features
 from churnlens.plans.features import write_features
 from churnlens.plans.prepare import Layout, index_events, prepare
 from churnlens.plans.reports import write_reports
@@ -68,6 +70,25 @@ def test_feature_tables(spark, run):
     assert full.join(without, "userIdIndex", "left_anti").count() == 0
 
 
+def test_features_read_events_four_times(spark, run, monkeypatch):
+    """Every read of the events is a scan in a plan of its own or of a written table."""
+    scans = []
+
+    def noted(table, write):
+        files = {f.rsplit("/", 1)[0].removeprefix("file:").lstrip("/") for f in table.inputFiles()}
+        if run.events.lstrip("/") in files:
+            # Other tables of the run begin with another column.
+            scans.append(table._jdf.queryExecution().optimizedPlan().toString().count("Relation [userId#"))
+        return write()
+
+    writes, kept = features.write_table, features.materialise
+    monkeypatch.setattr(features, "write_table", lambda t, p: noted(t, lambda: writes(t, p)))
+    monkeypatch.setattr(features, "materialise", lambda t: noted(t, lambda: kept(t)))
+    monkeypatch.setattr(features, "discover_values", lambda t, *a, **k: noted(t, lambda: discover_values(t, *a, **k)))
+    write_features(spark, run)
+    assert sum(scans) == 4
+
+
 def test_reports_are_written(spark, run):
     tables = write_reports(spark, run)
     assert len(tables) == 8
