@@ -6,9 +6,10 @@ context stays in the tree if its next-symbol distribution diverges enough from t
 its suffix. Distributions are smoothed along the suffixes, and each symbol is scored in
 the longest suffix that is in the tree.
 
-The tree grows with the corpus, so it never has to fit anywhere whole. It is cut by the
-nearest symbols of its contexts into parts of a bounded size; each part is broadcast in a
-pass of its own and scores the symbols that follow its contexts.
+The tree grows with the corpus, so it never has to fit anywhere whole: it is two tables,
+its grams and its contexts. The contexts seen most often, up to a bounded size, are also
+broadcast, and one pass over the texts scores the symbols whose longest context is surely
+among them. The other symbols' grams, counted for each text, are joined with the tables.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +29,14 @@ from churnlens.operators.materialise import materialise
 
 DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
-PASS_STATES = 200_000  # contexts of the tree that one pass over the texts holds in memory
-NARROW = 64  # symbols of a row of that size
-NEAREST = 3  # symbols before a place that decide its pass
+PASS_STATES = 200_000  # contexts of the tree that the pass over the texts holds in memory, for
+STATE_ROWS = 16  # so many grams and contexts each
+GRADES = 8  # steps in which contexts are held, for each doubling of how often they are seen
 HOT_SHARE = 500_000  # words with at least one in so many tokens are looked up in memory
 WIDE = 8  # bits of a symbol in the operator: every byte is one
 _BITS, _END, _OTHER = 6, 0, 63  # the narrow symbols of `symbol_table`
-_BLOCK = 1 << 20
+_BLOCK = 1 << 22
+_BATCH_BYTES = 1 << 22
 _DISTINCT = 1 << 22
 
 
@@ -169,59 +170,95 @@ def divergent_contexts(levels: list[DataFrame], divergence: float, bits: int = _
     return shorter.distinct()
 
 
+def _found(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``wanted`` stand in the sorted ``table``, and whether they do."""
+    at = np.minimum(np.searchsorted(table, wanted), max(len(table) - 1, 0))
+    return at, table[at] == wanted if len(table) else np.zeros(len(wanted), bool)
+
+
 class Tree:
-    """Nodes by context, read backwards from the symbol; log10 of the next symbols.
+    """Log10 chances of grams, as sorted arrays for each context size.
 
-    Rows have a column for each symbol that the tree has and one for all others, which are
-    alike in every row: they follow nothing that was counted, and nothing follows them.
+    A gram that was counted has its smoothed chance. A context passes on to its suffix what
+    it keeps spare for symbols that it has not seen. ``beyond`` are the contexts, for each
+    size, that the whole tree extends by some that aren't held here.
     """
 
     def __init__(
-        self, rows: list[tuple[np.ndarray, np.ndarray]], depth: int, unlisted: int, states: int, bits: int = _BITS
+        self,
+        rows: list[tuple[np.ndarray, np.ndarray]],
+        depth: int,
+        unlisted: int,
+        states: int,
+        bits: int = _BITS,
+        beyond: list[np.ndarray] | None = None,
     ) -> None:
-        """``rows``: for each context size the gram keys and counts of the tree's contexts,
-        which are ``states`` with the empty one. ``unlisted`` bytes share the symbol ``_OTHER``."""
-        self.depth, alphabet = depth, 1 << bits
-        listed = np.unique(np.concatenate([rows[0][0] & (alphabet - 1), [_END]]))
-        width = len(listed) + 1
-        self.columns = np.full(alphabet, width - 1, np.int64)
-        self.columns[listed] = np.arange(len(listed))
-        deepest = len(np.unique(rows[depth][0] >> bits))  # these have no children
-        self.children = np.full((max(states - deepest, 1), width), -1, np.int32)
-        self.logs = np.zeros((states, width), np.float32)
-        above, before, base = np.zeros(0, np.int64), 0, 0
-        for size, (keys, counts) in enumerate(rows):
-            contexts = np.unique(keys >> bits) if size else np.zeros(1, np.int64)
-            # Worked out in place: chances until the next level has used them, then logs.
-            table = self.logs[base : base + len(contexts)]
-            if len(keys):
-                table[np.searchsorted(contexts, keys >> bits), self.columns[keys & (alphabet - 1)]] = counts
-            total, types = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-            types = np.maximum(types, 1).astype(np.float32)
-            if size == 0:
-                table += types / alphabet
-            else:
-                parents = before + np.searchsorted(above, contexts & ((1 << bits * (size - 1)) - 1))
-                nodes = base + np.arange(len(contexts), dtype=np.int32)
-                self.children[parents, self.columns[contexts >> bits * (size - 1)]] = nodes
-                for at in range(0, len(contexts), 4096):
-                    table[at : at + 4096] += types[at : at + 4096] * self.logs[parents[at : at + 4096]]
-            table /= total + types
-            above, before, base = contexts, base, base + len(contexts)
-        np.log10(self.logs, out=self.logs, where=self.logs > 0)
-        self.shared = np.zeros(alphabet, np.float32)
+        """``rows``: for each context size the gram keys and counts of the contexts held. The
+        whole tree has ``states`` contexts with the empty one. ``unlisted`` bytes share the
+        symbol ``_OTHER``."""
+        self.depth, self.bits, self.beyond = depth, bits, beyond
+        alphabet, held = 1 << bits, 1
+        counts = np.zeros(alphabet)
+        counts[rows[0][0]] = rows[0][1]
+        types = max(len(rows[0][0]), 1)
+        keys, chances = np.arange(alphabet), (counts + types / alphabet) / (counts.sum() + types)
+        self.base = np.log10(chances)
+        self.grams, self.contexts = [], []
+        for size in range(1, depth + 1):
+            order = np.argsort(rows[size][0], kind="stable")
+            shorter, lower = keys, chances
+            keys, counts = rows[size][0][order], rows[size][1][order]
+            own = keys >> bits
+            heads = np.flatnonzero(np.diff(own, prepend=-1))
+            types = np.diff(np.append(heads, len(keys)))
+            weight = np.add.reduceat(counts, heads) + types if len(heads) else types
+            suffix = lower[_found(shorter, keys & ((1 << bits * size) - 1))[0]]
+            chances = (counts + np.repeat(types, types) * suffix) / np.repeat(weight, types)
+            self.grams.append((keys, np.log10(chances).astype(np.float32)))
+            self.contexts.append((own[heads], np.log10(types / weight).astype(np.float32)))
+            held += len(heads)
+        self.whole = held == states
+        self.shared = np.zeros(alphabet)
         self.shared[_OTHER] = np.log10(unlisted)  # bytes of one symbol are alike
 
-    def scores(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """log10 probability of the symbols at these places, each in its longest suffix."""
-        node, alive = np.zeros(len(at), np.int32), np.arange(len(at))
-        for back in range(1, self.depth + 1):
-            step = self.children[node[alive], self.columns[symbols[at[alive] - back]]]
-            going = step >= 0
+    def log_chances(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 chance of the last symbol of each gram, in the longest context of the gram that
+        is held; and whether the whole tree may have a longer one."""
+        logs, far = self.base[keys & ((1 << self.bits) - 1)], np.zeros(len(keys), bool)
+        alive = np.arange(len(keys))
+        for size in range(1, self.depth + 1):
+            grams, chances = self.grams[size - 1]
+            own = keys[alive]
+            at, going = _found(grams, own & ((1 << self.bits * (size + 1)) - 1))
+            logs[alive[going]] = chances[at[going]]
+            # Not counted there: what the context passes on, if there is such a context.
+            contexts, spare = self.contexts[size - 1]
+            rest = np.flatnonzero(~going)
+            above = own[rest] >> self.bits
+            at, known = _found(contexts, above & ((1 << self.bits * size) - 1))
+            logs[alive[rest[known]]] += spare[at[known]]
+            if not self.whole:
+                ended = rest[~known]
+                short = above[~known] & ((1 << self.bits * (size - 1)) - 1)
+                far[alive[ended]] = _found(self.beyond[size - 1], short)[1]
+            going[rest[known]] = True
             alive = alive[going]
-            node[alive] = step[going]
-        own = symbols[at]
-        return self.logs[node, self.columns[own]] - self.shared[own]
+        return logs, far
+
+    def scores(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """log10 probability of the symbols at these places, each in its longest suffix held."""
+        return self.partial_scores(symbols, at)[0]
+
+    def partial_scores(self, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores as by ``scores``; which places may have a longer context in the whole tree (these
+        score 0 instead), and the grams there."""
+        # Each different gram is looked up once.
+        keys, which = np.unique(gram_keys(symbols, at, self.depth, self.bits), return_inverse=True)
+        logs, far = self.log_chances(keys)
+        logs[far] = 0.0
+        logs -= np.where(far, 0.0, self.shared[keys & ((1 << self.bits) - 1)])
+        out = np.flatnonzero(far[which]) if far.any() else np.zeros(0, np.int64)
+        return logs[which], at[out], keys[which[out]]
 
 
 # The operator -----------------------------------------------------------------
@@ -264,95 +301,140 @@ def gram_counts(texts: DataFrame, table: np.ndarray, depth: int, bits: int = _BI
     return partial.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def tree_grams(levels: list[DataFrame], kept: DataFrame, nearest: int) -> DataFrame:
-    """``size``, ``key``, ``n`` of the grams of the tree's contexts, and ``near``: the
-    nearest symbols of a context that has so many, else null."""
+def tree_grams(levels: list[DataFrame], kept: DataFrame) -> DataFrame:
+    """``size``, ``key``, ``n`` of the grams of the tree's contexts."""
     parts = []
     for size, level in enumerate(levels):
         if size:
             of_size = kept.where(F.col("size") == size).select("context")
             keyed = level.withColumn("context", F.shiftright("key", WIDE))
             level = keyed.join(of_size, "context", "left_semi")
-        near = F.shiftright("key", WIDE).bitwiseAND(F.lit((1 << WIDE * nearest) - 1))
-        near = near if size >= nearest else F.lit(None).cast("long")
-        parts.append(level.select(F.lit(size).alias("size"), "key", "n", near.alias("near")))
+        parts.append(level.select(F.lit(size).alias("size"), "key", "n"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def pass_ranges(kept: DataFrame, nearest: int, states: int) -> list[tuple[int, int, int]]:
-    """``(low, high, contexts)`` of each pass: it has the contexts whose nearest symbols are
-    in the range, about ``states`` of them. The driver sees a count for each combination of
-    the nearest symbols that stands somewhere: 256 ** ``nearest`` at most, of which UTF-8 allows
-    a part."""
-    near = F.col("context").bitwiseAND(F.lit((1 << WIDE * nearest) - 1))
-    long = kept.where(F.col("size") >= nearest).groupBy(near.alias("near")).agg(F.count(F.lit(1)).alias("n"))
-    counts = long.toArrow().sort_by("near")
-    nears, sizes = counts["near"].to_numpy(), counts["n"].to_numpy()
-    turn = (np.cumsum(sizes) - sizes) // states
-    heads = np.flatnonzero(turn[1:] != turn[:-1]) + 1
-    bounds = [0, *nears[heads].tolist(), 1 << WIDE * nearest]
-    held = [int(part.sum()) for part in np.split(sizes, heads)]
-    return list(zip(bounds, bounds[1:], held))
-
-
-def part_of_tree(grams: DataFrame, low: int, high: int, depth: int, states: int) -> Tree:
-    """The short contexts, and those whose nearest symbols are in the range."""
-    mine = F.col("near").isNull() | ((F.col("near") >= low) & (F.col("near") < high))
-    found = grams.where(mine).select("size", "key", "n").toArrow()
+def tree_contexts(grams: DataFrame) -> DataFrame:
+    """``size``, ``context``, ``total``, ``types`` and ``grade`` of the tree's contexts. A suffix
+    has no smaller total, and so no lower grade, than what it is a suffix of."""
+    own = grams.where(F.col("size") > 0).groupBy("size", F.shiftright("key", WIDE).alias("context"))
+    totals = own.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
+    return totals.withColumn("grade", F.floor(F.log2("total") * GRADES).cast("int"))
+
+
+def least_grade(contexts: DataFrame, rows: int) -> int | None:
+    """The lowest grade that can be held with all above it in ``rows`` grams and contexts;
+    None if all can. The driver sees a count for each grade, some hundreds at most."""
+    counts = contexts.groupBy("grade").agg(F.sum(F.col("types") + 1).alias("n")).collect()
+    held, least = 0, None
+    for grade, n in sorted(counts, reverse=True):
+        held += n
+        if held > rows:
+            return grade + 1 if least is None else least
+        least = grade
+    return None
+
+
+def _code(size: Column, key: Column) -> Column:
+    """A gram or context and its size as one number."""
+    return F.shiftleft(size.cast("long"), WIDE * (DEPTH + 1)).bitwiseOR(key)
+
+
+def _last(key: Column, size: Column | int) -> Column:
+    """The nearest ``size`` symbols."""
+    if isinstance(size, int):
+        return key.bitwiseAND(F.lit((1 << WIDE * size) - 1))
+    return key.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), size * WIDE) - 1)
+
+
+def held_tree(grams: DataFrame, contexts: DataFrame, depth: int, least: int | None) -> Tree:
+    """The contexts of grade ``least`` and above (None: all) with their grams, in memory."""
+    states, beyond = contexts.count() + 1, None
+    if least is not None:
+        held = contexts.where(F.col("grade") >= least).select("size", "context")
+        short = _last(F.col("context"), F.col("size") - 1)
+        out = contexts.where(F.col("grade") < least)
+        out = out.select((F.col("size") - 1).alias("size"), short.alias("context")).distinct()
+        root = F.col("size") == 0
+        edge = out.join(held, ["size", "context"], "left_semi").union(out.where(root)).toArrow().sort_by("context")
+        sizes, keys = edge["size"].to_numpy(), edge["context"].to_numpy()
+        beyond = [keys[sizes == size] for size in range(depth)]
+        keyed = grams.withColumn("context", F.shiftright("key", WIDE))
+        inner = keyed.join(held, ["size", "context"], "left_semi").select("size", "key", "n")
+        grams = inner.union(grams.where(root).select("size", "key", "n"))
+    found = grams.select("size", "key", "n").toArrow()
     sizes, keys, counts = (found[c].to_numpy() for c in ("size", "key", "n"))
     rows = [(keys[sizes == size], counts[sizes == size]) for size in range(depth + 1)]
-    return Tree(rows, depth, 1, states, WIDE)
+    return Tree(rows, depth, 1, states, WIDE, beyond)
 
 
-def part_scores(texts: DataFrame, tree: Broadcast, table: np.ndarray, depth: int, nearest: int, span: tuple) -> DataFrame:
-    """``text_key``, ``part``: log10 of the symbols of each text that this part of the tree scores."""
-    low, high = span
-
-    def score(batches):
-        model = tree.value
-        for batch in batches:
-            symbols, starts, sizes = stream([_words(t) for t in batch["text"]], table, depth)
-            parts = []
-            for at in places(starts, sizes):
-                near, values = gram_keys(symbols, at - 1, nearest - 1, WIDE), np.zeros(len(at))
-                mine = np.flatnonzero((near >= low) & (near < high))
-                values[mine] = model.scores(symbols, at[mine])
-                parts.append(values)
-            whole = np.concatenate(parts) if parts else np.zeros(0)
-            heads = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
-            sums = np.add.reduceat(whole, heads) if len(sizes) else np.zeros(0)
-            yield {"text_key": batch["text_key"], "part": sums.tolist()}
-
-    return map_batches(texts, {"text_key": "binary", "text": "binary"}, score, "text_key binary, part double")
+def joined_chances(keys: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int, base: list[float]) -> DataFrame:
+    """``key``, ``log``: the smoothed log10 chance of each distinct ``key``'s last symbol in the
+    longest context of the whole tree, which the contexts and grams are joined for.
 
+    ``base`` are the chances of the symbols without a context. A key has a row for each
+    context size, so its chance is worked out from the shortest to the longest in one row.
+    """
+    size = F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("size")
+    rows = keys.select("key", size)
+    rows = rows.select(
+        "key",
+        "size",
+        _code(F.col("size"), _last(F.shiftright("key", WIDE), F.col("size"))).alias("context_code"),
+        _code(F.col("size"), _last(F.col("key"), F.col("size") + 1)).alias("gram_code"),
+    )
+    by_context = contexts.select(_code(F.col("size"), F.col("context")).alias("context_code"), "total", "types")
+    by_gram = grams.where(F.col("size") > 0).select(_code(F.col("size"), F.col("key")).alias("gram_code"), "n")
+    met = lookup(rows, materialise(by_context), "context_code", how="inner")
+    met = lookup(met, materialise(by_gram), "gram_code")
+    steps = F.sort_array(F.collect_list(F.struct("size", F.coalesce("n", F.lit(0)).alias("n"), "total", "types")))
+    steps = keys.join(met.groupBy("key").agg(steps.alias("steps")), "key", "left")
+    own = _last(F.col("key"), 1) + 1
+    start = F.element_at(F.array(*[F.lit(chance) for chance in base]), own.cast("int"))
+    chance = F.aggregate(
+        F.coalesce("steps", F.expr("CAST(array() AS array<struct<size:int,n:bigint,total:bigint,types:bigint>>)")),
+        start,
+        lambda chance, step: (step["n"] + step["types"] * chance) / (step["total"] + step["types"]),
+    )
+    return steps.select("key", F.log10(chance).alias("log"))
 
-def tree_scores(
-    texts: DataFrame, training: DataFrame, table: np.ndarray, *, depth: int, divergence: float, pass_states: int
-) -> DataFrame:
-    """``text_key``, ``score``, ``n``: one row for each distinct key of ``texts``, and its rows.
 
-    Each pass writes its part of every text's score. Rows that repeat a key have equal texts,
-    so the mean of a key's parts, times the passes, is the score of each.
-    """
-    nearest = min(NEAREST, depth)
-    levels = context_levels(materialise(gram_counts(training, table, depth, WIDE)), depth, WIDE)
+def suffix_tree(training: DataFrame, depth: int, divergence: float) -> tuple[DataFrame, DataFrame]:
+    """The tree of the training texts as two written tables: its grams and its contexts."""
+    levels = context_levels(materialise(gram_counts(training, byte_symbols(), depth, WIDE)), depth, WIDE)
     kept = materialise(divergent_contexts(levels, divergence, WIDE))
-    grams = materialise(tree_grams(levels, kept, nearest))
-    short = kept.where(F.col("size") < nearest).count() + 1
-    # A context's row has a column for each symbol that was counted: wider rows, fewer of them.
-    width = levels[0].count() + 2
-    spans = pass_ranges(kept, nearest, max(1, pass_states * NARROW // max(width, NARROW)))
-    parts = []
-    for low, high, states in spans:
-        tree = texts.sparkSession.sparkContext.broadcast(
-            part_of_tree(grams, low, high, depth, short + states)
-        )
-        parts.append(materialise(part_scores(texts, tree, table, depth, nearest, (low, high))))
-        tree.destroy()
-    scores = reduce(DataFrame.union, parts).groupBy("text_key")
-    scores = scores.agg(F.avg("part").alias("part"), F.count(F.lit(1)).alias("n"))
-    passes = len(spans)
-    return scores.select("text_key", (F.col("part") * passes).alias("score"), (F.col("n") / passes).cast("long").alias("n"))
+    grams = materialise(tree_grams(levels, kept))
+    return grams, materialise(tree_contexts(grams))
+
+
+def gathered(batches: Iterator[dict[str, list]], size: int) -> Iterator[dict[str, list]]:
+    """Batches put together until their texts have ``size`` bytes: more grams in common."""
+    held, count = None, 0
+    for batch in batches:
+        held = batch if held is None else {name: held[name] + values for name, values in batch.items()}
+        count += sum(len(t or b"") for t in batch["text"])
+        if count >= size:
+            yield held
+            held, count = None, 0
+    if held is not None:
+        yield held
+
+
+def tree_scores(tree: Tree, texts: list[list[bytes]], table: np.ndarray) -> tuple[list, list, list]:
+    """For each text (as words) the score of the symbols that the held tree decides, and the other
+    grams with how often they stand in it."""
+    symbols, starts, sizes = stream(texts, table, tree.depth)
+    if not len(sizes):
+        return [], [], []
+    parts = [tree.partial_scores(symbols, at) for at in places(starts, sizes)]
+    values, far_at, far_keys = (np.concatenate(part) for part in zip(*parts))
+    heads = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
+    scores = np.add.reduceat(values, heads).tolist()
+    far, far_times = [], []
+    for own in np.split(far_keys, np.searchsorted(far_at, starts[1:])):
+        keys, times = np.unique(own, return_counts=True)
+        far.append(keys.tolist())
+        far_times.append(times.tolist())
+    return scores, far, far_times
 
 
 def score_texts(
@@ -377,9 +459,9 @@ def score_texts(
     Repeated rows get equal rows; other columns aren't looked at.
 
     The tree has every context that passes the divergence test. ``pass_states`` only says how
-    much of it is in memory at a time, and so how often the texts are read; the scores don't
-    depend on it (beyond rounding). It counts rows of up to 64 symbols; with more byte values in
-    the training texts the rows are wider and a pass has fewer of them.
+    much of it is in memory (a context counts for ``STATE_ROWS`` grams and contexts of 12
+    bytes), and so how many symbols are scored by joins; the scores don't depend on it
+    (beyond rounding).
 
     Words with one in ``hot_share`` tokens or more (so at most that many words) are looked up
     in memory; only the rarer ones are joined, which no word can skew.
@@ -388,13 +470,9 @@ def score_texts(
         raise ValueError(f"contexts of 1 to {DEPTH} bytes fit a gram's key")
     held = held_out if held_out is not None else id_remainder(id_col, 10) == 0
     kind = dict(docs.dtypes)[id_col]
-    text = F.col(text_col)
-    # What a text is known by from pass to pass: the passes may split the table in different ways.
-    key = F.concat_ws("\n", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
-    texts = docs.select(
-        F.col(id_col).alias("id"), text.alias("text"), held.alias("held_out"), F.unhex(F.md5(key)).alias("text_key")
-    )
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held_out"))
     training = texts.where(~F.col("held_out"))
+    context = docs.sparkSession.sparkContext
 
     partial = materialise(word_counts(training.select("text")))
     vocabulary = materialise(
@@ -404,23 +482,23 @@ def score_texts(
     n_ends = training.count()
     total, distinct = n_words + n_ends, n_distinct + (n_ends > 0)
     floor = total + 0.1 * (distinct + 1)
-    table = byte_symbols()
-
-    by_tree = materialise(
-        tree_scores(
-            texts, training.select("text"), table, depth=depth, divergence=divergence, pass_states=pass_states
-        )
-    )
     hot = vocabulary.where(F.col("c") * hot_share >= total).toArrow()
     logs = np.log10((hot["c"].to_numpy() + 0.1) / floor).tolist()
-    common = docs.sparkSession.sparkContext.broadcast(dict(zip(hot["word"].to_pylist(), logs)))
+    common = context.broadcast(dict(zip(hot["word"].to_pylist(), logs)))
     end = float(np.log10((n_ends + 0.1) / floor))
 
+    grams, contexts = suffix_tree(training.select("text"), depth, divergence)
+    model = held_tree(grams, contexts, depth, least_grade(contexts, pass_states * STATE_ROWS))
+    whole, base = model.whole, (10.0**model.base).tolist()
+    tree, table = context.broadcast(model), byte_symbols()
+
     def score(batches):
         known = common.value
-        for batch in batches:
+        for batch in gathered(batches, _BATCH_BYTES):
             words = [_words(t) for t in batch["text"]]
-            out = {c: batch[c] for c in ("id", "held_out", "text_key")} | {"n_tokens": [len(w) + 1 for w in words]}
+            scores, far, far_times = tree_scores(tree.value, words, table)
+            out = {c: batch[c] for c in ("id", "held_out")} | {"n_tokens": [len(w) + 1 for w in words]}
+            out |= {"near_score": scores, "far": far, "far_times": far_times}
             hot_sums, hot_counts, rare, times = [], [], [], []
             for own in words:
                 found = [known.get(w) for w in own]
@@ -432,10 +510,10 @@ def score_texts(
             yield out | {"hot_sum": hot_sums, "hot_count": hot_counts, "rare": rare, "times": times}
 
     schema = (
-        f"id {kind}, held_out boolean, text_key binary, n_tokens bigint, hot_sum double, hot_count bigint,"
-        " rare array<binary>, times array<int>"
+        f"id {kind}, held_out boolean, n_tokens bigint, hot_sum double, hot_count bigint, rare array<binary>,"
+        " times array<int>, near_score double, far array<bigint>, far_times array<int>"
     )
-    kinds = {"id": kind, "text": "binary", "held_out": "boolean", "text_key": "binary"}
+    kinds = {"id": kind, "text": "binary", "held_out": "boolean"}
     scored = map_batches(texts, kinds, score, schema).withColumn("row", F.monotonically_increasing_id())
     scored = materialise(scored)
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
@@ -446,11 +524,19 @@ def score_texts(
         F.sum(F.col("times") * F.log10((c + 0.1) / F.lit(floor))).alias("rare_sum"),
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_count"),
     )
-    joined = scored.drop("rare", "times").join(sums, "row", "left")
-    joined = lookup(joined, by_tree, "text_key", weight="n")
+    joined = scored.drop("rare", "times", "far", "far_times").join(sums, "row", "left")
+    score = F.col("near_score")
+    if not whole:
+        far = scored.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("g"))
+        far = far.select("row", F.col("g.far").alias("key"), F.col("g.far_times").alias("times"))
+        keys = materialise(far.select("key").distinct())
+        chances = materialise(joined_chances(keys, grams, contexts, depth, base))
+        far_sums = lookup(far, chances, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("far_sum"))
+        joined = joined.join(far_sums, "row", "left")
+        score = score + F.coalesce("far_sum", F.lit(0.0))
     return joined.select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("hot_count") + F.coalesce("rare_count", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0.0))).alias("base_score"), score.alias("score"),
     )

@@ -2,10 +2,13 @@
 
 import math
 import zlib
+from functools import partial
 
 import numpy as np
 
+from churnlens.llm import suffix_tree_lm
 from churnlens.llm.suffix_tree_lm import score_texts
+from churnlens.operators.lookup import lookup
 
 from .cases import by_id, table
 
@@ -47,3 +50,29 @@ def test_rare_scripts_keep_their_contexts(spark):
         got = by_id(score_texts(table(spark, texts), depth=4, divergence=0.5, pass_states=states))
         assert np.allclose([got[i]["score"] for i in range(len(texts))], wanted, rtol=1e-4)
     assert abs(got[len(texts) - 6]["score"] - got[len(texts) - 5]["score"]) > 0.5  # of equal shape
+
+
+def test_scores_by_joins_are_the_plain_ones(spark):
+    """A tree held in part, down to no context at all, scores like the whole one."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["ab", "abc", "bca", "The", "é", "日本", "q"], 14)) for _ in range(90)]
+    texts += [None, "", "unheard zzz", texts[0], "ab " * 400]
+    train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 10]
+    wanted = plain_scores([t or "" for t in texts], train + [i for i in train if i == 0], 5, 0.3)
+    repeated = table(spark, texts).union(table(spark, texts[:1]))
+    for states in (0, 8):
+        rows = score_texts(repeated, depth=5, divergence=0.3, pass_states=states)
+        got = by_id(rows)
+        assert rows.count() == len(texts) + 1
+        assert np.allclose([got[i]["score"] for i in range(len(texts))], wanted, rtol=1e-5)
+
+
+def test_joins_by_salted_keys(spark, monkeypatch):
+    """The same scores when no table is small enough to be broadcast."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(["ab", "abc", "bca", "The"], 14)) for _ in range(60)]
+    train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 10]
+    wanted = plain_scores(texts, train, 3, 0.3)
+    monkeypatch.setattr(suffix_tree_lm, "lookup", partial(lookup, broadcast_bytes=0))
+    got = by_id(score_texts(table(spark, texts), depth=3, divergence=0.3, pass_states=1))
+    assert np.allclose([got[i]["score"] for i in range(len(texts))], wanted, rtol=1e-5)
