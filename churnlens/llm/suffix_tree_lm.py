@@ -15,7 +15,7 @@ among them. The other symbols' grams, counted for each text, are joined with the
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -30,7 +30,7 @@ from churnlens.operators.materialise import materialise
 DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
 PASS_STATES = 200_000  # contexts of the tree that the pass over the texts holds in memory, for
-STATE_ROWS = 16  # so many grams and contexts each
+STATE_ROWS = 10  # so many grams and contexts each
 GRADES = 8  # steps in which contexts are held, for each doubling of how often they are seen
 HOT_SHARE = 500_000  # words with at least one in so many tokens are looked up in memory
 WIDE = 8  # bits of a symbol in the operator: every byte is one
@@ -186,37 +186,39 @@ class Tree:
 
     def __init__(
         self,
-        rows: list[tuple[np.ndarray, np.ndarray]],
+        rows: Iterable[tuple[np.ndarray, np.ndarray]],
         depth: int,
         unlisted: int,
         states: int,
         bits: int = _BITS,
         beyond: list[np.ndarray] | None = None,
     ) -> None:
-        """``rows``: for each context size the gram keys and counts of the contexts held. The
-        whole tree has ``states`` contexts with the empty one. ``unlisted`` bytes share the
+        """``rows``: for each context size the gram keys and counts of the contexts held, one
+        size at a time. The whole tree has ``states`` contexts with the empty one. ``unlisted`` bytes share the
         symbol ``_OTHER``."""
         self.depth, self.bits, self.beyond = depth, bits, beyond
         alphabet, held = 1 << bits, 1
-        counts = np.zeros(alphabet)
-        counts[rows[0][0]] = rows[0][1]
-        types = max(len(rows[0][0]), 1)
-        keys, chances = np.arange(alphabet), (counts + types / alphabet) / (counts.sum() + types)
-        self.base = np.log10(chances)
         self.grams, self.contexts = [], []
-        for size in range(1, depth + 1):
-            order = np.argsort(rows[size][0], kind="stable")
+        for size, (own_keys, own_counts) in enumerate(rows):
+            if size == 0:
+                counts, types = np.zeros(alphabet), max(len(own_keys), 1)
+                counts[own_keys] = own_counts
+                keys, chances = np.arange(alphabet), (counts + types / alphabet) / (counts.sum() + types)
+                self.base = np.log10(chances)
+                continue
+            order = np.argsort(own_keys, kind="stable")
             shorter, lower = keys, chances
-            keys, counts = rows[size][0][order], rows[size][1][order]
+            keys, chances = own_keys[order], own_counts[order].astype(float)
             own = keys >> bits
             heads = np.flatnonzero(np.diff(own, prepend=-1))
-            types = np.diff(np.append(heads, len(keys)))
-            weight = np.add.reduceat(counts, heads) + types if len(heads) else types
-            suffix = lower[_found(shorter, keys & ((1 << bits * size) - 1))[0]]
-            chances = (counts + np.repeat(types, types) * suffix) / np.repeat(weight, types)
+            contexts, types = own[heads], np.diff(np.append(heads, len(keys)))
+            weight = np.add.reduceat(chances, heads) + types if len(heads) else types
+            del order, own
+            chances += np.repeat(types, types) * lower[_found(shorter, keys & ((1 << bits * size) - 1))[0]]
+            chances /= np.repeat(weight, types)
             self.grams.append((keys, np.log10(chances).astype(np.float32)))
-            self.contexts.append((own[heads], np.log10(types / weight).astype(np.float32)))
-            held += len(heads)
+            self.contexts.append((contexts, np.log10(types / weight).astype(np.float32)))
+            held += len(contexts)
         self.whole = held == states
         self.shared = np.zeros(alphabet)
         self.shared[_OTHER] = np.log10(unlisted)  # bytes of one symbol are alike
@@ -358,13 +360,16 @@ def held_tree(grams: DataFrame, contexts: DataFrame, depth: int, least: int | No
         edge = out.join(held, ["size", "context"], "left_semi").union(out.where(root)).toArrow().sort_by("context")
         sizes, keys = edge["size"].to_numpy(), edge["context"].to_numpy()
         beyond = [keys[sizes == size] for size in range(depth)]
-        keyed = grams.withColumn("context", F.shiftright("key", WIDE))
-        inner = keyed.join(held, ["size", "context"], "left_semi").select("size", "key", "n")
-        grams = inner.union(grams.where(root).select("size", "key", "n"))
-    found = grams.select("size", "key", "n").toArrow()
-    sizes, keys, counts = (found[c].to_numpy() for c in ("size", "key", "n"))
-    rows = [(keys[sizes == size], counts[sizes == size]) for size in range(depth + 1)]
-    return Tree(rows, depth, 1, states, WIDE, beyond)
+
+    def rows(size: int) -> tuple[np.ndarray, np.ndarray]:
+        own = grams.where(F.col("size") == size)
+        if size and least is not None:
+            mine = held.where(F.col("size") == size).select("context")
+            own = own.withColumn("context", F.shiftright("key", WIDE)).join(mine, "context", "left_semi")
+        found = own.select("key", "n").toArrow()
+        return found["key"].to_numpy(), found["n"].to_numpy()
+
+    return Tree((rows(size) for size in range(depth + 1)), depth, 1, states, WIDE, beyond)
 
 
 def joined_chances(keys: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int, base: list[float]) -> DataFrame:
@@ -491,6 +496,7 @@ def score_texts(
     model = held_tree(grams, contexts, depth, least_grade(contexts, pass_states * STATE_ROWS))
     whole, base = model.whole, (10.0**model.base).tolist()
     tree, table = context.broadcast(model), byte_symbols()
+    del model
 
     def score(batches):
         known = common.value
