@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +32,12 @@ DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
 PASS_STATES = 200_000  # contexts of the tree that the pass over the texts holds in memory, for
 STATE_ROWS = 10  # so many grams and contexts each
+JOIN_BYTES = 16 << 20  # tables of the rest that are broadcast; larger ones are shuffled
 GRADES = 8  # steps in which contexts are held, for each doubling of how often they are seen
 HOT_SHARE = 500_000  # words with at least one in so many tokens are looked up in memory
 WIDE = 8  # bits of a symbol in the operator: every byte is one
 _BITS, _END, _OTHER = 6, 0, 63  # the narrow symbols of `symbol_table`
-_BLOCK = 1 << 22
+_BLOCK = 1 << 21
 _BATCH_BYTES = 1 << 22
 _DISTINCT = 1 << 22
 
@@ -255,8 +257,10 @@ class Tree:
         """Scores as by ``scores``; which places may have a longer context in the whole tree (these
         score 0 instead), and the grams there."""
         # Each different gram is looked up once.
-        keys, which = np.unique(gram_keys(symbols, at, self.depth, self.bits), return_inverse=True)
-        logs, far = self.log_chances(keys)
+        which, keys = pd.factorize(gram_keys(symbols, at, self.depth, self.bits))
+        order = np.argsort(keys)
+        logs, far = np.empty(len(keys)), np.empty(len(keys), bool)
+        logs[order], far[order] = self.log_chances(keys[order])
         logs[far] = 0.0
         logs -= np.where(far, 0.0, self.shared[keys & ((1 << self.bits) - 1)])
         out = np.flatnonzero(far[which]) if far.any() else np.zeros(0, np.int64)
@@ -372,7 +376,9 @@ def held_tree(grams: DataFrame, contexts: DataFrame, depth: int, least: int | No
     return Tree((rows(size) for size in range(depth + 1)), depth, 1, states, WIDE, beyond)
 
 
-def joined_chances(keys: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int, base: list[float]) -> DataFrame:
+def joined_chances(
+    keys: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int, base: list[float], broadcast_bytes: int
+) -> DataFrame:
     """``key``, ``log``: the smoothed log10 chance of each distinct ``key``'s last symbol in the
     longest context of the whole tree, which the contexts and grams are joined for.
 
@@ -389,8 +395,8 @@ def joined_chances(keys: DataFrame, grams: DataFrame, contexts: DataFrame, depth
     )
     by_context = contexts.select(_code(F.col("size"), F.col("context")).alias("context_code"), "total", "types")
     by_gram = grams.where(F.col("size") > 0).select(_code(F.col("size"), F.col("key")).alias("gram_code"), "n")
-    met = lookup(rows, materialise(by_context), "context_code", how="inner")
-    met = lookup(met, materialise(by_gram), "gram_code")
+    met = lookup(rows, materialise(by_context), "context_code", how="inner", broadcast_bytes=broadcast_bytes)
+    met = lookup(met, materialise(by_gram), "gram_code", broadcast_bytes=broadcast_bytes)
     steps = F.sort_array(F.collect_list(F.struct("size", F.coalesce("n", F.lit(0)).alias("n"), "total", "types")))
     steps = keys.join(met.groupBy("key").agg(steps.alias("steps")), "key", "left")
     own = _last(F.col("key"), 1) + 1
@@ -450,6 +456,7 @@ def score_texts(
     divergence: float = DIVERGENCE,
     pass_states: int = PASS_STATES,
     hot_share: int = HOT_SHARE,
+    broadcast_bytes: int = JOIN_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -536,8 +543,9 @@ def score_texts(
         far = scored.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("g"))
         far = far.select("row", F.col("g.far").alias("key"), F.col("g.far_times").alias("times"))
         keys = materialise(far.select("key").distinct())
-        chances = materialise(joined_chances(keys, grams, contexts, depth, base))
-        far_sums = lookup(far, chances, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("far_sum"))
+        chances = materialise(joined_chances(keys, grams, contexts, depth, base, broadcast_bytes))
+        met = lookup(far, chances, "key", broadcast_bytes=broadcast_bytes)
+        far_sums = met.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("far_sum"))
         joined = joined.join(far_sums, "row", "left")
         score = score + F.coalesce("far_sum", F.lit(0.0))
     return joined.select(

@@ -2,13 +2,10 @@
 
 import math
 import zlib
-from functools import partial
 
 import numpy as np
 
-from churnlens.llm import suffix_tree_lm
 from churnlens.llm.suffix_tree_lm import score_texts
-from churnlens.operators.lookup import lookup
 
 from .cases import by_id, table
 
@@ -67,12 +64,11 @@ def test_scores_by_joins_are_the_plain_ones(spark):
         assert np.allclose([got[i]["score"] for i in range(len(texts))], wanted, rtol=1e-5)
 
 
-def test_joins_by_salted_keys(spark, monkeypatch):
+def test_joins_by_salted_keys(spark):
     """The same scores when no table is small enough to be broadcast."""
     rng = np.random.default_rng(9)
     texts = [" ".join(rng.choice(["ab", "abc", "bca", "The"], 14)) for _ in range(60)]
     train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 10]
     wanted = plain_scores(texts, train, 3, 0.3)
-    monkeypatch.setattr(suffix_tree_lm, "lookup", partial(lookup, broadcast_bytes=0))
-    got = by_id(score_texts(table(spark, texts), depth=3, divergence=0.3, pass_states=1))
+    got = by_id(score_texts(table(spark, texts), depth=3, divergence=0.3, pass_states=1, broadcast_bytes=0))
     assert np.allclose([got[i]["score"] for i in range(len(texts))], wanted, rtol=1e-5)
