@@ -227,8 +227,8 @@ class Tree:
 
     def log_chances(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 chance of the last symbol of each gram, in the longest context of the gram that
-        is held; and whether the whole tree may have a longer one."""
-        logs, far = self.base[keys & ((1 << self.bits) - 1)], np.zeros(len(keys), bool)
+        is held; and the size of that context if the whole tree may have a longer one, else -1."""
+        logs, far = self.base[keys & ((1 << self.bits) - 1)], np.full(len(keys), -1)
         alive = np.arange(len(keys))
         for size in range(1, self.depth + 1):
             grams, chances = self.grams[size - 1]
@@ -244,7 +244,7 @@ class Tree:
             if not self.whole:
                 ended = rest[~known]
                 short = above[~known] & ((1 << self.bits * (size - 1)) - 1)
-                far[alive[ended]] = _found(self.beyond[size - 1], short)[1]
+                far[alive[ended]] = np.where(_found(self.beyond[size - 1], short)[1], size - 1, -1)
             going[rest[known]] = True
             alive = alive[going]
         return logs, far
@@ -253,18 +253,21 @@ class Tree:
         """log10 probability of the symbols at these places, each in its longest suffix held."""
         return self.partial_scores(symbols, at)[0]
 
-    def partial_scores(self, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def partial_scores(self, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         """Scores as by ``scores``; which places may have a longer context in the whole tree (these
-        score 0 instead), and the grams there."""
+        score 0 instead), the grams there, each with the size of its context held, and the
+        chances in that context."""
         # Each different gram is looked up once.
         which, keys = pd.factorize(gram_keys(symbols, at, self.depth, self.bits))
         order = np.argsort(keys)
-        logs, far = np.empty(len(keys)), np.empty(len(keys), bool)
-        logs[order], far[order] = self.log_chances(keys[order])
-        logs[far] = 0.0
-        logs -= np.where(far, 0.0, self.shared[keys & ((1 << self.bits) - 1)])
+        logs, reached = np.empty(len(keys)), np.empty(len(keys), np.int64)
+        logs[order], reached[order] = self.log_chances(keys[order])
+        logs -= self.shared[keys & ((1 << self.bits) - 1)]
+        far = reached >= 0
         out = np.flatnonzero(far[which]) if far.any() else np.zeros(0, np.int64)
-        return logs[which], at[out], keys[which[out]]
+        own = which[out]
+        codes = keys[own] | reached[own] << WIDE * (DEPTH + 1)
+        return np.where(far, 0.0, logs)[which], at[out], codes, logs[own]
 
 
 # The operator -----------------------------------------------------------------
@@ -377,15 +380,16 @@ def held_tree(grams: DataFrame, contexts: DataFrame, depth: int, least: int | No
 
 
 def joined_chances(
-    keys: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int, base: list[float], broadcast_bytes: int
+    keys: DataFrame, grams: DataFrame, contexts: DataFrame, depth: int, broadcast_bytes: int
 ) -> DataFrame:
     """``key``, ``log``: the smoothed log10 chance of each distinct ``key``'s last symbol in the
     longest context of the whole tree, which the contexts and grams are joined for.
 
-    ``base`` are the chances of the symbols without a context. A key has a row for each
-    context size, so its chance is worked out from the shortest to the longest in one row.
+    ``keys`` have the size of a shorter context in their top bits, and ``log``, the chance in
+    it. A key has a row for each longer size, and they are put together from the shortest on.
     """
-    size = F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("size")
+    reached = F.shiftright("key", WIDE * (DEPTH + 1)).cast("int")
+    size = F.explode(F.sequence(reached + 1, F.lit(depth))).alias("size")
     rows = keys.select("key", size)
     rows = rows.select(
         "key",
@@ -399,8 +403,7 @@ def joined_chances(
     met = lookup(met, materialise(by_gram), "gram_code", broadcast_bytes=broadcast_bytes)
     steps = F.sort_array(F.collect_list(F.struct("size", F.coalesce("n", F.lit(0)).alias("n"), "total", "types")))
     steps = keys.join(met.groupBy("key").agg(steps.alias("steps")), "key", "left")
-    own = _last(F.col("key"), 1) + 1
-    start = F.element_at(F.array(*[F.lit(chance) for chance in base]), own.cast("int"))
+    start = F.pow(F.lit(10.0), F.col("log"))
     chance = F.aggregate(
         F.coalesce("steps", F.expr("CAST(array() AS array<struct<size:int,n:bigint,total:bigint,types:bigint>>)")),
         start,
@@ -430,22 +433,24 @@ def gathered(batches: Iterator[dict[str, list]], size: int) -> Iterator[dict[str
         yield held
 
 
-def tree_scores(tree: Tree, texts: list[list[bytes]], table: np.ndarray) -> tuple[list, list, list]:
+def tree_scores(tree: Tree, texts: list[list[bytes]], table: np.ndarray) -> tuple[list, list, list, list]:
     """For each text (as words) the score of the symbols that the held tree decides, and the other
-    grams with how often they stand in it."""
+    grams with how often they stand in it and their chances in the held tree."""
     symbols, starts, sizes = stream(texts, table, tree.depth)
     if not len(sizes):
-        return [], [], []
+        return [], [], [], []
     parts = [tree.partial_scores(symbols, at) for at in places(starts, sizes)]
-    values, far_at, far_keys = (np.concatenate(part) for part in zip(*parts))
+    values, far_at, far_keys, far_starts = (np.concatenate(part) for part in zip(*parts))
     heads = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
     scores = np.add.reduceat(values, heads).tolist()
-    far, far_times = [], []
-    for own in np.split(far_keys, np.searchsorted(far_at, starts[1:])):
-        keys, times = np.unique(own, return_counts=True)
+    far, far_times, far_logs = [], [], []
+    cuts = np.searchsorted(far_at, starts[1:])
+    for own, logs in zip(np.split(far_keys, cuts), np.split(far_starts, cuts)):
+        keys, first, times = np.unique(own, return_index=True, return_counts=True)
         far.append(keys.tolist())
         far_times.append(times.tolist())
-    return scores, far, far_times
+        far_logs.append(logs[first].tolist())
+    return scores, far, far_times, far_logs
 
 
 def score_texts(
@@ -501,7 +506,7 @@ def score_texts(
 
     grams, contexts = suffix_tree(training.select("text"), depth, divergence)
     model = held_tree(grams, contexts, depth, least_grade(contexts, pass_states * STATE_ROWS))
-    whole, base = model.whole, (10.0**model.base).tolist()
+    whole = model.whole
     tree, table = context.broadcast(model), byte_symbols()
     del model
 
@@ -509,9 +514,9 @@ def score_texts(
         known = common.value
         for batch in gathered(batches, _BATCH_BYTES):
             words = [_words(t) for t in batch["text"]]
-            scores, far, far_times = tree_scores(tree.value, words, table)
+            scores, far, far_times, far_logs = tree_scores(tree.value, words, table)
             out = {c: batch[c] for c in ("id", "held_out")} | {"n_tokens": [len(w) + 1 for w in words]}
-            out |= {"near_score": scores, "far": far, "far_times": far_times}
+            out |= {"near_score": scores, "far": far, "far_times": far_times, "far_logs": far_logs}
             hot_sums, hot_counts, rare, times = [], [], [], []
             for own in words:
                 found = [known.get(w) for w in own]
@@ -524,7 +529,8 @@ def score_texts(
 
     schema = (
         f"id {kind}, held_out boolean, n_tokens bigint, hot_sum double, hot_count bigint, rare array<binary>,"
-        " times array<int>, near_score double, far array<bigint>, far_times array<int>"
+        " times array<int>, near_score double, far array<bigint>, far_times array<int>,"
+        " far_logs array<double>"
     )
     kinds = {"id": kind, "text": "binary", "held_out": "boolean"}
     scored = map_batches(texts, kinds, score, schema).withColumn("row", F.monotonically_increasing_id())
@@ -537,14 +543,14 @@ def score_texts(
         F.sum(F.col("times") * F.log10((c + 0.1) / F.lit(floor))).alias("rare_sum"),
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_count"),
     )
-    joined = scored.drop("rare", "times", "far", "far_times").join(sums, "row", "left")
+    joined = scored.drop("rare", "times", "far", "far_times", "far_logs").join(sums, "row", "left")
     score = F.col("near_score")
     if not whole:
-        far = scored.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("g"))
-        far = far.select("row", F.col("g.far").alias("key"), F.col("g.far_times").alias("times"))
-        keys = materialise(far.select("key").distinct())
-        chances = materialise(joined_chances(keys, grams, contexts, depth, base, broadcast_bytes))
-        met = lookup(far, chances, "key", broadcast_bytes=broadcast_bytes)
+        far = scored.select("row", F.explode(F.arrays_zip("far", "far_times", "far_logs")).alias("g"))
+        far = far.select("row", F.col("g.far").alias("key"), F.col("g.far_times").alias("times"), "g.far_logs")
+        keys = materialise(far.groupBy("key").agg(F.min("far_logs").alias("log")))
+        chances = materialise(joined_chances(keys, grams, contexts, depth, broadcast_bytes))
+        met = lookup(far.drop("far_logs"), chances, "key", broadcast_bytes=broadcast_bytes)
         far_sums = met.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("far_sum"))
         joined = joined.join(far_sums, "row", "left")
         score = score + F.coalesce("far_sum", F.lit(0.0))
