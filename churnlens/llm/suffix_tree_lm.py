@@ -16,13 +16,13 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.llm.context_tree import context_tree
 from churnlens.llm.language_id import id_remainder
 from churnlens.llm.tables import map_batches
 from churnlens.operators.lookup import lookup
@@ -128,50 +128,6 @@ class GramCounts:
 # The tree ---------------------------------------------------------------------
 
 
-def context_levels(grams: DataFrame, depth: int, bits: int = _BITS) -> list[DataFrame]:
-    """``key``, ``n`` of grams with contexts of 0 to ``depth`` symbols."""
-    levels = [grams]
-    for size in range(depth - 1, -1, -1):
-        mask = (1 << bits * (size + 1)) - 1
-        shorter = levels[0].groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
-        levels.insert(0, materialise(shorter))
-    return levels
-
-
-def divergent_contexts(levels: list[DataFrame], divergence: float, bits: int = _BITS) -> DataFrame:
-    """``size``, ``context`` of the tree: all contexts whose distribution saves at least
-    ``divergence`` nats per next symbol against their suffix's, and their suffixes."""
-    found = None
-    for size in range(1, len(levels)):
-        mask = (1 << bits * size) - 1
-        above = levels[size - 1].select(F.col("key").alias("short"), F.col("n").alias("n_short"))
-        above_totals = levels[size - 1].groupBy(F.shiftright("key", bits).alias("short_context")).agg(
-            F.sum("n").alias("total_short")
-        )
-        rows = levels[size].select(
-            "n", F.shiftright("key", bits).alias("context"), F.col("key").bitwiseAND(F.lit(mask)).alias("short")
-        )
-        # The totals of a context are constant in it, so they come in after its rows are summed.
-        sums = rows.join(above, "short").groupBy("context").agg(
-            F.sum(F.col("n") * F.log(F.col("n") / F.col("n_short"))).alias("saved"),
-            F.sum("n").alias("total"),
-            F.count(F.lit(1)).alias("types"),
-        )
-        sums = sums.withColumn("short_context", F.col("context").bitwiseAND(F.lit(mask >> bits)))
-        gains = sums.join(above_totals, "short_context").withColumn(
-            "gain", F.col("saved") + F.col("total") * F.log(F.col("total_short") / F.col("total"))
-        )
-        gains = gains.where(F.col("gain") >= divergence * F.col("types"))
-        gains = gains.select(F.lit(size).alias("size"), "context")
-        found = gains if found is None else found.unionByName(gains)
-    sizes = F.explode(F.sequence(F.lit(1), F.col("size"))).alias("kept")
-    shorter = found.select(sizes, "context").select(
-        F.col("kept").alias("size"),
-        F.expr(f"context & (shiftleft(1L, {bits} * kept) - 1)").alias("context"),
-    )
-    return shorter.distinct()
-
-
 def _found(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where ``wanted`` stand in the sorted ``table``, and whether they do."""
     at = np.minimum(np.searchsorted(table, wanted), max(len(table) - 1, 0))
@@ -310,18 +266,6 @@ def gram_counts(texts: DataFrame, table: np.ndarray, depth: int, bits: int = _BI
     return partial.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def tree_grams(levels: list[DataFrame], kept: DataFrame) -> DataFrame:
-    """``size``, ``key``, ``n`` of the grams of the tree's contexts."""
-    parts = []
-    for size, level in enumerate(levels):
-        if size:
-            of_size = kept.where(F.col("size") == size).select("context")
-            keyed = level.withColumn("context", F.shiftright("key", WIDE))
-            level = keyed.join(of_size, "context", "left_semi")
-        parts.append(level.select(F.lit(size).alias("size"), "key", "n"))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def tree_contexts(grams: DataFrame) -> DataFrame:
     """``size``, ``context``, ``total``, ``types`` and ``grade`` of the tree's contexts. A suffix
     has no smaller total, and so no lower grade, than what it is a suffix of."""
@@ -414,9 +358,8 @@ def joined_chances(
 
 def suffix_tree(training: DataFrame, depth: int, divergence: float) -> tuple[DataFrame, DataFrame]:
     """The tree of the training texts as two written tables: its grams and its contexts."""
-    levels = context_levels(materialise(gram_counts(training, byte_symbols(), depth, WIDE)), depth, WIDE)
-    kept = materialise(divergent_contexts(levels, divergence, WIDE))
-    grams = materialise(tree_grams(levels, kept))
+    counted = materialise(gram_counts(training, byte_symbols(), depth, WIDE))
+    grams = materialise(context_tree(counted, depth, divergence, WIDE))
     return grams, materialise(tree_contexts(grams))
 
 

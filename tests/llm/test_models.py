@@ -7,10 +7,10 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from churnlens.llm.context_tree import context_tree, divergent_contexts
 from churnlens.llm.language_id import Network, cut_segments, identify_languages
 from churnlens.llm.suffix_tree_lm import (
-    GramCounts, Tree, context_levels, divergent_contexts, gram_counts, gram_keys, places, score_texts, stream,
-    symbol_table,
+    GramCounts, Tree, gram_counts, gram_keys, places, score_texts, stream, symbol_table,
 )
 
 from .cases import ODD, by_id, table
@@ -143,10 +143,13 @@ def test_tree_is_the_plain_one(spark, corpus):
         return (own.get(x, 0) + len(own) * lower) / (sum(own.values()) + len(own))
 
     frame = spark.createDataFrame([(t,) for t in corpus], "text string")
-    levels = context_levels(gram_counts(frame, symbols, depth), depth)
-    found = {(r["size"], r["context"]) for r in divergent_contexts(levels, limit).collect()}
     code = lambda c: sum(x << 6 * d for d, x in enumerate(reversed(c)))
+    grams = gram_counts(frame, symbols, depth)
+    levels = [spark.createDataFrame([(code(g), n) for g, n in own.items()], "key long, n long") for own in counts]
+    found = {(r["size"], r["context"]) for r in divergent_contexts(levels, limit, 6).collect()}
     assert found == {(len(c), code(c)) for c in kept if c}
+    wanted = sorted((size, code(g), n) for size, own in enumerate(counts) for g, n in own.items() if g[:-1] in kept)
+    assert sorted(map(tuple, context_tree(grams, depth, limit, 6).collect())) == wanted
 
     rows = []
     for size in range(depth + 1):
@@ -164,6 +167,43 @@ def test_tree_is_the_plain_one(spark, corpus):
         assert math.isclose(got, wanted, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_tree_does_not_depend_on_where_the_grams_are_cut(spark, partitions):
+    depth, limit, bits, rng = 3, 0.4, 3, np.random.default_rng(partitions)
+    keys = np.unique(rng.integers(0, 1 << bits * (depth + 1), 700) & rng.integers(0, 1 << bits * (depth + 1), 700))
+    grams = [(int(k), int(n)) for k, n in zip(keys, rng.integers(1, 30, len(keys)))]
+    counts = [Counter() for _ in range(depth + 1)]
+    for size in range(depth + 1):
+        for k, n in grams:
+            counts[size][k & (1 << bits * (size + 1)) - 1] += n
+    totals = [Counter() for _ in counts]
+    kept = {(0, 0)}
+    for size, own in enumerate(counts):
+        for k, n in own.items():
+            totals[size][k >> bits] += n
+    for size in range(1, depth + 1):
+        gains, types = Counter(), Counter(k >> bits for k in counts[size])
+        for k, n in counts[size].items():
+            short = k & (1 << bits * size) - 1
+            gains[k >> bits] += n * math.log(
+                n / totals[size][k >> bits] * totals[size - 1][short >> bits] / counts[size - 1][short]
+            )
+        for c, gain in gains.items():
+            if gain >= limit * types[c]:
+                kept |= {(s, c & (1 << bits * s) - 1) for s in range(1, size + 1)}
+    wanted = sorted((s, k, n) for s, own in enumerate(counts) for k, n in own.items() if (s, k >> bits) in kept)
+    assert 20 < len(kept) < sum(map(len, totals))
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame = spark.createDataFrame(grams, "key long, n long")
+        assert sorted(map(tuple, context_tree(frame, depth, limit, bits).collect())) == wanted
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_scores_of_odd_texts(spark, corpus):
     texts = [*ODD, *corpus, "unheard words only"]
     got = by_id(score_texts(table(spark, texts), hot_share=50))
