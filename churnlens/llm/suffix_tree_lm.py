@@ -15,10 +15,12 @@ among them. The other symbols' grams, counted for each text, are joined with the
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from churnlens.operators.materialise import materialise
 
 DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
-PASS_STATES = 200_000  # contexts of the tree that the pass over the texts holds in memory, for
+PASS_STATES = 800_000  # contexts of the tree that the pass over the texts holds in memory, for
 STATE_ROWS = 10  # so many grams and contexts each
 JOIN_BYTES = 16 << 20  # tables of the rest that are broadcast; larger ones are shuffled
 GRADES = 8  # steps in which contexts are held, for each doubling of how often they are seen
@@ -134,6 +136,11 @@ def _found(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, table[at] == wanted if len(table) else np.zeros(len(wanted), bool)
 
 
+def _here(part: Any) -> Any:
+    """What a broadcast holds; anything else as it is."""
+    return part.value if isinstance(part, Broadcast) else part
+
+
 class Tree:
     """Log10 chances of grams, as sorted arrays for each context size.
 
@@ -150,11 +157,13 @@ class Tree:
         states: int,
         bits: int = _BITS,
         beyond: list[np.ndarray] | None = None,
+        share: Callable[[Any], Any] = lambda part: part,
     ) -> None:
         """``rows``: for each context size the gram keys and counts of the contexts held, one
         size at a time. The whole tree has ``states`` contexts with the empty one. ``unlisted`` bytes share the
-        symbol ``_OTHER``."""
-        self.depth, self.bits, self.beyond = depth, bits, beyond
+        symbol ``_OTHER``. ``share`` takes the arrays of a size as soon as they are made and may
+        give a broadcast for them, so that only two sizes are ever held together here."""
+        self.depth, self.bits, self.beyond = depth, bits, share(beyond)
         alphabet, held = 1 << bits, 1
         self.grams, self.contexts = [], []
         for size, (own_keys, own_counts) in enumerate(rows):
@@ -174,8 +183,9 @@ class Tree:
             del order, own
             chances += np.repeat(types, types) * lower[_found(shorter, keys & ((1 << bits * size) - 1))[0]]
             chances /= np.repeat(weight, types)
-            self.grams.append((keys, np.log10(chances).astype(np.float32)))
-            self.contexts.append((contexts, np.log10(types / weight).astype(np.float32)))
+            self.grams.append(share((keys, np.log10(chances).astype(np.float32))))
+            self.contexts.append(share((contexts, np.log10(types / weight).astype(np.float32))))
+            del own_keys, own_counts
             held += len(contexts)
         self.whole = held == states
         self.shared = np.zeros(alphabet)
@@ -187,12 +197,12 @@ class Tree:
         logs, far = self.base[keys & ((1 << self.bits) - 1)], np.full(len(keys), -1)
         alive = np.arange(len(keys))
         for size in range(1, self.depth + 1):
-            grams, chances = self.grams[size - 1]
+            grams, chances = _here(self.grams[size - 1])
             own = keys[alive]
             at, going = _found(grams, own & ((1 << self.bits * (size + 1)) - 1))
             logs[alive[going]] = chances[at[going]]
             # Not counted there: what the context passes on, if there is such a context.
-            contexts, spare = self.contexts[size - 1]
+            contexts, spare = _here(self.contexts[size - 1])
             rest = np.flatnonzero(~going)
             above = own[rest] >> self.bits
             at, known = _found(contexts, above & ((1 << self.bits * size) - 1))
@@ -200,7 +210,7 @@ class Tree:
             if not self.whole:
                 ended = rest[~known]
                 short = above[~known] & ((1 << self.bits * (size - 1)) - 1)
-                far[alive[ended]] = np.where(_found(self.beyond[size - 1], short)[1], size - 1, -1)
+                far[alive[ended]] = np.where(_found(_here(self.beyond)[size - 1], short)[1], size - 1, -1)
             going[rest[known]] = True
             alive = alive[going]
         return logs, far
@@ -300,7 +310,7 @@ def _last(key: Column, size: Column | int) -> Column:
 
 
 def held_tree(grams: DataFrame, contexts: DataFrame, depth: int, least: int | None) -> Tree:
-    """The contexts of grade ``least`` and above (None: all) with their grams, in memory."""
+    """The contexts of grade ``least`` and above (None: all) with their grams, broadcast."""
     states, beyond = contexts.count() + 1, None
     if least is not None:
         held = contexts.where(F.col("grade") >= least).select("size", "context")
@@ -320,7 +330,8 @@ def held_tree(grams: DataFrame, contexts: DataFrame, depth: int, least: int | No
         found = own.select("key", "n").toArrow()
         return found["key"].to_numpy(), found["n"].to_numpy()
 
-    return Tree((rows(size) for size in range(depth + 1)), depth, 1, states, WIDE, beyond)
+    share = grams.sparkSession.sparkContext.broadcast
+    return Tree((rows(size) for size in range(depth + 1)), depth, 1, states, WIDE, beyond, share)
 
 
 def joined_chances(
@@ -448,16 +459,14 @@ def score_texts(
     end = float(np.log10((n_ends + 0.1) / floor))
 
     grams, contexts = suffix_tree(training.select("text"), depth, divergence)
-    model = held_tree(grams, contexts, depth, least_grade(contexts, pass_states * STATE_ROWS))
-    whole = model.whole
-    tree, table = context.broadcast(model), byte_symbols()
-    del model
+    tree = held_tree(grams, contexts, depth, least_grade(contexts, pass_states * STATE_ROWS))
+    whole, table = tree.whole, byte_symbols()
 
     def score(batches):
         known = common.value
         for batch in gathered(batches, _BATCH_BYTES):
             words = [_words(t) for t in batch["text"]]
-            scores, far, far_times, far_logs = tree_scores(tree.value, words, table)
+            scores, far, far_times, far_logs = tree_scores(tree, words, table)
             out = {c: batch[c] for c in ("id", "held_out")} | {"n_tokens": [len(w) + 1 for w in words]}
             out |= {"near_score": scores, "far": far, "far_times": far_times, "far_logs": far_logs}
             hot_sums, hot_counts, rare, times = [], [], [], []
