@@ -28,7 +28,7 @@ from churnlens.llm.context_tree import context_tree
 from churnlens.llm.language_id import id_remainder
 from churnlens.llm.tables import map_batches
 from churnlens.operators.lookup import lookup
-from churnlens.operators.materialise import materialise
+from churnlens.operators.materialise import materialise, scratch
 
 DEPTH = 6
 DIVERGENCE = 1.0  # nats that a context must save for each of its next symbols
@@ -368,9 +368,11 @@ def joined_chances(
 
 
 def suffix_tree(training: DataFrame, depth: int, divergence: float) -> tuple[DataFrame, DataFrame]:
-    """The tree of the training texts as two written tables: its grams and its contexts."""
-    counted = materialise(gram_counts(training, byte_symbols(), depth, WIDE))
-    grams = materialise(context_tree(counted, depth, divergence, WIDE))
+    """The tree of the training texts as two written tables: its grams and its contexts. The
+    counts of all grams and the steps between are deleted once the tree is written."""
+    with scratch(training.sparkSession) as keep:
+        counted = materialise(gram_counts(training, byte_symbols(), depth, WIDE))
+        grams = keep(context_tree(counted, depth, divergence, WIDE))
     return grams, materialise(tree_contexts(grams))
 
 
@@ -445,10 +447,9 @@ def score_texts(
     training = texts.where(~F.col("held_out"))
     context = docs.sparkSession.sparkContext
 
-    partial = materialise(word_counts(training.select("text")))
-    vocabulary = materialise(
-        partial.groupBy("word").agg(F.sum("n").alias("c"))
-    )
+    with scratch(docs.sparkSession) as keep:
+        partial = materialise(word_counts(training.select("text")))
+        vocabulary = keep(partial.groupBy("word").agg(F.sum("n").alias("c")))
     n_words, n_distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_ends = training.count()
     total, distinct = n_words + n_ends, n_distinct + (n_ends > 0)
@@ -500,8 +501,9 @@ def score_texts(
     if not whole:
         far = scored.select("row", F.explode(F.arrays_zip("far", "far_times", "far_logs")).alias("g"))
         far = far.select("row", F.col("g.far").alias("key"), F.col("g.far_times").alias("times"), "g.far_logs")
-        keys = materialise(far.groupBy("key").agg(F.min("far_logs").alias("log")))
-        chances = materialise(joined_chances(keys, grams, contexts, depth, broadcast_bytes))
+        with scratch(docs.sparkSession) as keep:
+            keys = materialise(far.groupBy("key").agg(F.min("far_logs").alias("log")))
+            chances = keep(joined_chances(keys, grams, contexts, depth, broadcast_bytes))
         met = lookup(far.drop("far_logs"), chances, "key", broadcast_bytes=broadcast_bytes)
         far_sums = met.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("far_sum"))
         joined = joined.join(far_sums, "row", "left")
