@@ -409,6 +409,24 @@ def tree_scores(tree: Tree, texts: list[list[bytes]], table: np.ndarray) -> tupl
     return scores, far, far_times, far_logs
 
 
+def held_logs(tree: Tree) -> Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]]:
+    """For batches of codes of grams that `Tree.partial_scores` gives out: the chance of each in
+    the context held, as it gives it. It depends on the gram alone, so it is found once for each."""
+
+    def logs(batches):
+        for batch in batches:
+            codes = np.array(batch["key"], np.int64)
+            keys = codes & ((1 << WIDE * (DEPTH + 1)) - 1)
+            order = np.argsort(keys)
+            found = np.empty(len(keys))
+            if len(keys):
+                found[order] = tree.log_chances(keys[order])[0]
+            found -= tree.shared[keys & ((1 << tree.bits) - 1)]
+            yield {"key": batch["key"], "log": found.tolist()}
+
+    return logs
+
+
 def score_texts(
     docs: DataFrame,
     *,
@@ -467,9 +485,9 @@ def score_texts(
         known = common.value
         for batch in gathered(batches, _BATCH_BYTES):
             words = [_words(t) for t in batch["text"]]
-            scores, far, far_times, far_logs = tree_scores(tree, words, table)
+            scores, far, far_times, _ = tree_scores(tree, words, table)
             out = {c: batch[c] for c in ("id", "held_out")} | {"n_tokens": [len(w) + 1 for w in words]}
-            out |= {"near_score": scores, "far": far, "far_times": far_times, "far_logs": far_logs}
+            out |= {"near_score": scores, "far": far, "far_times": far_times}
             hot_sums, hot_counts, rare, times = [], [], [], []
             for own in words:
                 found = [known.get(w) for w in own]
@@ -482,8 +500,7 @@ def score_texts(
 
     schema = (
         f"id {kind}, held_out boolean, n_tokens bigint, hot_sum double, hot_count bigint, rare array<binary>,"
-        " times array<int>, near_score double, far array<bigint>, far_times array<int>,"
-        " far_logs array<double>"
+        " times array<int>, near_score double, far array<bigint>, far_times array<int>"
     )
     kinds = {"id": kind, "text": "binary", "held_out": "boolean"}
     scored = map_batches(texts, kinds, score, schema).withColumn("row", F.monotonically_increasing_id())
@@ -499,12 +516,13 @@ def score_texts(
     joined = scored.drop("rare", "times", "far", "far_times", "far_logs").join(sums, "row", "left")
     score = F.col("near_score")
     if not whole:
-        far = scored.select("row", F.explode(F.arrays_zip("far", "far_times", "far_logs")).alias("g"))
-        far = far.select("row", F.col("g.far").alias("key"), F.col("g.far_times").alias("times"), "g.far_logs")
+        far = scored.select("row", F.explode(F.arrays_zip("far", "far_times")).alias("g"))
+        far = far.select("row", F.col("g.far").alias("key"), F.col("g.far_times").alias("times"))
         with scratch(docs.sparkSession) as keep:
-            keys = materialise(far.groupBy("key").agg(F.min("far_logs").alias("log")))
+            distinct = far.select("key").distinct()
+            keys = materialise(map_batches(distinct, {"key": "bigint"}, held_logs(tree), "key bigint, log double"))
             chances = keep(joined_chances(keys, grams, contexts, depth, broadcast_bytes))
-        met = lookup(far.drop("far_logs"), chances, "key", broadcast_bytes=broadcast_bytes)
+        met = lookup(far, chances, "key", broadcast_bytes=broadcast_bytes)
         far_sums = met.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("far_sum"))
         joined = joined.join(far_sums, "row", "left")
         score = score + F.coalesce("far_sum", F.lit(0.0))
